@@ -73,8 +73,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         (F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("upto"))
     )
     low, high = F.min("value"), F.max("value")
-    fraction = F.first("position") - F.floor(F.first("position"))
-    return hits.groupBy("metric", "probability").agg((low + (high - low) * fraction).alias("quantile"))
+    fraction = F.max("position") - F.floor(F.max("position"))
+    return hits.groupBy("metric", "probability").agg((low * (1.0 - fraction) + high * fraction).alias("quantile"))
 
 
 def _segment(edges: int) -> Column:

@@ -151,7 +151,8 @@ def field_state(normalized: DataFrame, order: Sequence[str]) -> DataFrame:
     marks = []
     for event_type in EVENT_BITS:
         own = F.col("event_type") == event_type
-        marks.append(F.max_by("timestamp", F.when(own, rank)).alias(f"{event_type}_timestamp"))
+        has_time = own & F.col("timestamp").isNotNull()
+        marks.append(F.max_by("timestamp", F.when(has_time, rank)).alias(f"{event_type}_timestamp"))
         has_id = own & F.col("event_id").isNotNull()
         marks.append(F.max_by("event_id", F.when(has_id, rank)).alias(f"{event_type}_event_id"))
     return normalized.groupBy("trip_key").agg(*fields, *marks)
