@@ -6,17 +6,19 @@ from pyspark.sql import Column, functions as F
 
 from meterline.schemas import DEFAULT_FLEET_SIZE
 
-# Fixed formats: ISO 8601 without a fraction when there is none, with six digits otherwise.
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# Fixed format: ISO 8601 without a fraction when there is none, with six digits otherwise.
+ISO_SECONDS_LENGTH = len("2025-01-01T00:00:00")
+ISO_MICROS_LENGTH = len("2025-01-01T00:00:00.000000")
 SEPARATOR = "|"
 VEHICLE_PREFIX = "veh_"
 VEHICLE_DIGITS = 12
 
 
 def iso_text(ts: Column) -> Column:
-    whole = F.date_format(ts, "SSSSSS") == F.lit("000000")
-    return F.when(whole, F.date_format(ts, ISO_SECONDS)).otherwise(F.date_format(ts, ISO_MICROS))
+    """The text cast drops trailing zeros of a fraction; they are put back. One formatting per value."""
+    text = F.translate(ts.cast("string"), " ", "T")
+    width = F.when(F.length(text) == ISO_SECONDS_LENGTH, ISO_SECONDS_LENGTH).otherwise(ISO_MICROS_LENGTH)
+    return F.rpad(text, width, F.lit("0"))
 
 
 def _joined_hash(*parts: Column) -> Column:

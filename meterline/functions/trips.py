@@ -24,7 +24,7 @@ def duration_min(pickup: Column, dropoff: Column) -> Column:
 
 def speed(distance: Column, minutes: Column) -> Column:
     """Distance per hour; NULL when the trip took no time."""
-    return F.when(minutes != 0, distance / (F.nullif(minutes, F.lit(0.0)) / F.lit(SECONDS_PER_MINUTE)))
+    return F.try_divide(distance, minutes / F.lit(SECONDS_PER_MINUTE))
 
 
 def has_tip(tip: Column) -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterline.functions.numeric import count_if, fixed_avg, percent
-from meterline.functions.trips import distance_km, duration_min, hour_start, seconds_between
+from meterline.functions.trips import distance_km, hour_start, seconds_between
 from meterline.operators.staging import timestamp_literal
 from meterline.schemas import ZONE_HOURLY_KPIS
 
@@ -51,14 +51,14 @@ def zone_hourly_kpis(trips: DataFrame, within: TimeRange | None = None) -> DataF
         rows = rows.where(within.contains("pickup_ts"))
     pickup, dropoff = F.col("pickup_ts"), F.col("dropoff_ts")
     km, seconds = distance_km(F.col("trip_distance")), seconds_between(pickup, dropoff)
-    kmh = F.when(seconds > 0, km / (F.nullif(seconds, F.lit(0.0)) / F.lit(3600.0)))
+    kmh = F.when(seconds > 0, km / (seconds / F.lit(3600.0)))
     return rows.groupBy(F.col("pu_zone_id").alias("zone_id"), hour_start(pickup).alias("hour_ts")).agg(
         F.count("*").alias("trips"),
         fixed_avg(F.col("fare_amount")).alias("avg_fare"),
         fixed_avg(F.col("tip_amount")).alias("avg_tip"),
         fixed_avg(kmh).alias("avg_speed_kmh"),
         fixed_avg(km).alias("avg_distance_km"),
-        fixed_avg(duration_min(pickup, dropoff)).alias("avg_duration_min"),
+        fixed_avg(seconds / F.lit(60.0)).alias("avg_duration_min"),
         percent(count_if(F.col("payment_type") == CARD), F.count("*")).alias("pct_card"),
         F.count_distinct("vehicle_id_h").alias("unique_vehicles"),
     )

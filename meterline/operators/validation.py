@@ -1,4 +1,7 @@
-"""Field rules of trips, zones and contract events: every row gets the list of rules it breaks."""
+"""Field rules of trips, zones and contract events.
+
+A rule is a plain condition of a valid row; a missing value does not satisfy it.
+"""
 
 from __future__ import annotations
 
@@ -23,7 +26,7 @@ def _holds(condition: Column) -> Column:
 
 
 def required_between(column: str, bounds: tuple[int, int]) -> Column:
-    return _holds(F.col(column).between(*bounds))
+    return F.col(column).between(*bounds)
 
 
 def optional_between(column: str, bounds: tuple[int, int]) -> Column:
@@ -35,7 +38,7 @@ def optional_not_negative(column: str) -> Column:
 
 
 def required_text(column: str, length: int) -> Column:
-    return _holds(F.length(column) <= length)
+    return F.length(column) <= length
 
 
 def update_rules() -> dict[str, Column]:
@@ -55,7 +58,7 @@ def create_rules() -> dict[str, Column]:
     return {
         "vendor_id": required_between("vendor_id", VENDORS),
         "pickup_ts": F.col("pickup_ts").isNotNull(),
-        "dropoff_ts": _holds((F.col("dropoff_ts") > F.col("pickup_ts"))),
+        "dropoff_ts": F.col("dropoff_ts") > F.col("pickup_ts"),
         "pu_zone_id": required_between("pu_zone_id", ZONES),
         "do_zone_id": required_between("do_zone_id", ZONES),
         **update_rules(),
@@ -80,7 +83,14 @@ def zone_rules() -> dict[str, Column]:
 
 def failed_rules(rules: Mapping[str, Column]) -> Column:
     """Names of the rules that do not hold, in rule order; empty for a valid row."""
-    return F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()]))
+    return F.array_compact(F.array(*[F.when(~_holds(ok), F.lit(name)) for name, ok in rules.items()]))
+
+
+def only_valid(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Rows that break no rule, as plain filters that can reach the scan."""
+    for condition in rules.values():
+        df = df.where(condition)
+    return df
 
 
 def validate(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -107,7 +117,7 @@ def contract_failed_rules(strict: bool = False) -> Column:
     off by default because the published one never fires.
     """
     def not_negative(column: str) -> Column:
-        return _holds(F.col(column) >= 0)
+        return F.col(column) >= 0
 
     identity = {
         "vendor_id": required_between("vendor_id", VENDORS),
@@ -121,8 +131,8 @@ def contract_failed_rules(strict: bool = False) -> Column:
         "total_amount": not_negative("total_amount"),
     }
     if strict:
-        identity["event_ts"] = _holds(F.col("event_ts") == F.col("pickup_ts"))
-        drop["event_ts"] = _holds(F.col("event_ts") == F.col("dropoff_ts"))
+        identity["event_ts"] = F.col("event_ts") == F.col("pickup_ts")
+        drop["event_ts"] = F.col("event_ts") == F.col("dropoff_ts")
     by_type = {
         "IDENTITY": identity,
         "PASSENGERS": {"passenger_count": required_between("passenger_count", PASSENGERS)},

@@ -19,10 +19,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a table of few files; a table with more splits than cores stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw trip per order line."""
+    """One raw trip per order line.
+
+    The two times are computed by a generator, one struct per row: as plain projections they
+    would be repeated inside every filter and derived column above.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_linestatus",
+    )
     trips = (
-        table(spark, sf_dir, "lineitem")
+        spread(lines)
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -31,11 +45,13 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     pickup = F.timestamp_add("SECOND", start_second, F.lit("2025-01-01").cast("timestamp_ntz"))
     fare = F.col("l_extendedprice") / 1000.0
     total = fare * (1.0 + F.col("l_discount") + F.col("l_tax"))
-    trips = trips.select(
+    dropoff = F.timestamp_add("SECOND", F.expr("cast((l_quantity - 2) * 60 as int)"), pickup)
+    times = F.struct(pickup.alias("tpep_pickup_datetime"), dropoff.alias("tpep_dropoff_datetime"))
+    trips = trips.select("*", F.inline(F.array(times))).select(
         F.expr("l_orderkey * 10 + l_linenumber").alias("row_offset"),
         F.col("l_linenumber").alias("VendorID"),
-        pickup.alias("tpep_pickup_datetime"),
-        F.timestamp_add("SECOND", F.expr("cast((l_quantity - 2) * 60 as int)"), pickup).alias("tpep_dropoff_datetime"),
+        "tpep_pickup_datetime",
+        "tpep_dropoff_datetime",
         F.expr("nullif(l_linenumber, 7)").alias("passenger_count"),
         (F.col("l_extendedprice") / 5000.0).alias("trip_distance"),
         F.expr("cast(l_quantity as int) % 6 + 1").alias("RatecodeID"),
@@ -78,7 +94,7 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     A trip is a user's day. Fields belong to the event type that carries them.
     """
     k, kind = F.col("k"), F.col("kind")
-    events = table(spark, sf_dir, "events").withColumn("k", _event_number()).withColumn(
+    events = spread(table(spark, sf_dir, "events")).withColumn("k", _event_number()).withColumn(
         "kind",
         F.expr("""case event_type when 'click' then 'trip_started' when 'view' then 'trip_ended'
                   when 'purchase' then 'payment_processed' when 'signup' then 'zone_entered'
@@ -138,7 +154,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k < 20, F.concat_ws(" ", ts, level, message))
         .otherwise(F.concat_ws(" ", ts, level, F.concat(F.lit("["), component, F.lit("]")), message))
     )
-    return table(spark, sf_dir, "events").withColumn("k", _event_number()).select("event_id", line.alias("line"))
+    return spread(table(spark, sf_dir, "events")).withColumn("k", _event_number()).select("event_id", line.alias("line"))
 
 
 def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,4 +169,4 @@ def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 2 == 0, F.concat(F.lit("trip_events_total"), label, F.lit(" "), k.cast("string")))
         .otherwise(F.concat(F.lit("queue_lag_seconds"), label, F.lit(" "), k.cast("string")))
     )
-    return table(spark, sf_dir, "events").withColumn("k", _event_number()).select("event_id", line.alias("line"))
+    return spread(table(spark, sf_dir, "events")).withColumn("k", _event_number()).select("event_id", line.alias("line"))

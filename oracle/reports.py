@@ -139,9 +139,16 @@ SQL: dict[str, str] = {
         SELECT * FROM ({_value_counts({'PULocationID': 'pu_zone_id'}, 'raw')} ORDER BY row_count DESC, value LIMIT 10)
         UNION ALL
         SELECT * FROM ({_value_counts({'DOLocationID': 'do_zone_id'}, 'raw')} ORDER BY row_count DESC, value LIMIT 10)"""),
-    "quantiles": with_ctes("curated", " UNION ALL ".join(
-        f"SELECT '{m}' AS metric, CAST({q} AS DOUBLE) AS probability, quantile_cont({m}, {q}) AS quantile FROM curated"
-        for m in _KEY_METRICS for q in _QUANTILES)),
+    # ranks and interpolation spelled out: quantile_cont differs in the last bit
+    "quantiles": with_ctes("curated", f"""
+        WITH lists AS ({' UNION ALL '.join(
+            f"SELECT '{m}' AS metric, list_sort(list({m}) FILTER (WHERE {m} IS NOT NULL)) AS l FROM curated"
+            for m in _KEY_METRICS)}),
+        ranks AS (SELECT metric, l, p AS probability, (len(l) - 1) * p AS pos
+                  FROM lists, (SELECT unnest([{', '.join(f'CAST({q} AS DOUBLE)' for q in _QUANTILES)}]) AS p))
+        SELECT metric, probability,
+               l[CAST(floor(pos) AS BIGINT) + 1] * (1 - (pos - floor(pos)))
+               + l[CAST(ceil(pos) AS BIGINT) + 1] * (pos - floor(pos)) AS quantile FROM ranks"""),
     "trip_distance_stats": with_ctes("timed", f"""
         WITH {_PLAUSIBLE} {_stats('trip_distance', 'trip_distance', 'plausible', _MEDIAN)}
         UNION ALL {_stats('trip_duration_min', 'trip_duration_min', 'plausible', _MEDIAN)}"""),
