@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SKETCH_ACCURACY = 100_000
+SLOTS = 256
+POINTS = 200
+SKETCH_ACCURACY = 2_000
+MARGIN = 2.0 / POINTS
 
 
 def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -15,22 +18,37 @@ def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return typed.unpivot([], list(columns), "metric", "value").where(F.col("value").isNotNull())
 
 
-def per_metric(df: DataFrame, columns: Sequence[str], measures: dict[str, object]) -> DataFrame:
-    """One row per column with the given aggregates, from one pass over ``df``.
+def per_metric(df: DataFrame, columns: Sequence[str], measures: dict[str, object], *by: str) -> DataFrame:
+    """One row per column (and group) with the given aggregates, from one pass over ``df``.
 
     ``measures`` maps a name to a function from Column to aggregate Column.
     """
     structs = [
         F.struct(F.lit(c).alias("metric"), *[make(F.col(c)).alias(n) for n, make in measures.items()]) for c in columns
     ]
-    return df.agg(F.array(*structs).alias("_rows")).select(F.inline("_rows"))
+    return df.groupBy(*by).agg(F.array(*structs).alias("_rows")).select(*by, F.inline("_rows"))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+def cut_values(df: DataFrame, columns: Sequence[str], edges: Sequence[float]) -> DataFrame:
+    """``(metric, cuts)``: about the values at the ``edges``, from a sketch merged in two levels.
+
+    The sketches of the reading tasks are first merged in up to ``SLOTS`` groups; only the points
+    of those, a number that does not depend on the data, meet in one task.
+    """
+    grid = F.array(*[F.lit(i / POINTS) for i in range(POINTS + 1)])
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns],
+                        (F.spark_partition_id() % SLOTS).alias("slot"))
+    merged = per_metric(numbers, columns, {
+        "points": lambda c: F.percentile_approx(c, grid, SKETCH_ACCURACY), "weight": F.count,
+    }, "slot").where("weight > 0")
+    points = merged.select("metric", "weight", F.explode("points").alias("point"))
+    return points.groupBy("metric").agg(F.percentile("point", list(edges), F.col("weight")).alias("cuts"))
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """``(metric, probability, quantile)`` with linear interpolation between the closest ranks.
 
-    1. A mergeable sketch gives, around each probability, two cut values that are close together.
+    1. A sketch gives two close cut values around each probability.
     2. Equal values are counted, so a value that fills a third of the rows becomes one row; the
        counts per segment between cuts are then exact.
     3. The segments that hold a wanted rank are known exactly, and only their values are ordered.
@@ -38,33 +56,30 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     """
     if not probabilities:
         raise ValueError("no probabilities")
-    margin = 2.0 / accuracy
-    edges = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
-    bounds = per_metric(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns, {
-        "cuts": lambda c: F.percentile_approx(c, [float(e) for e in edges], accuracy),
-        "total": F.count,
-    }).where("total > 0")
-    # one row per column, of a fixed number of cuts: bounded whatever the data
+    edges = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-MARGIN, MARGIN)})
+    # one row per column with a fixed number of cuts: bounded whatever the data
+    cuts = F.broadcast(cut_values(df, columns, edges))
     counted = long_form(df, columns).groupBy("metric", "value").agg(F.count("*").alias("n"))
-    counted = counted.join(F.broadcast(bounds), "metric").withColumn("segment", _segment(len(edges))).drop("cuts")
-    segments = counted.groupBy("metric", "segment", "total").agg(F.sum("n").alias("n"))
-    before = Window.partitionBy("metric").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    segments = segments.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-
-    ranks = segments.select(
-        "metric", "segment", "start", "n", "total", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
-    ).withColumn("position", (F.col("total") - 1) * F.col("probability"))
-    ranks = ranks.select(
-        "metric", "segment", "start", "n", "probability", "position",
-        F.explode(F.array(F.floor("position"), F.ceil("position"))).alias("rank"),
-    ).where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n"))).drop("n").distinct()
-
-    # segments x probabilities rows at most
-    wanted = ranks.select("metric", "segment", "start").distinct()
+    counted = counted.join(cuts, "metric").withColumn("segment", _segment(len(edges))).drop("cuts")
+    segments = counted.groupBy("metric", "segment").agg(F.sum("n").alias("n"))
+    of_metric = Window.partitionBy("metric")
+    before = of_metric.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    segments = segments.withColumns({
+        "start": F.coalesce(F.sum("n").over(before), F.lit(0)), "total": F.sum("n").over(of_metric),
+    })
+
+    wishes = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
+    ranks = segments.withColumn("probability", wishes) \
+        .withColumn("position", (F.col("total") - 1) * F.col("probability")) \
+        .withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position")))) \
+        .where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n"))) \
+        .select("metric", "segment", "start", "probability", "position", "rank").distinct()
+
+    # at most two rows per column and probability
+    wanted = F.broadcast(ranks.select("metric", "segment", "start").distinct())
     inside = Window.partitionBy("metric", "segment").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ordered = (
-        counted.select("metric", "segment", "value", "n")
-        .join(F.broadcast(wanted), ["metric", "segment"])
+        counted.select("metric", "segment", "value", "n").join(wanted, ["metric", "segment"])
         .withColumn("upto", F.col("start") + F.sum("n").over(inside))
         .withColumn("from", F.col("upto") - F.col("n"))
         .drop("start", "n")

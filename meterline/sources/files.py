@@ -34,25 +34,25 @@ def with_missing_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(absent) if absent else df
 
 
-def read_raw_month(spark: SparkSession, path: str) -> DataFrame:
-    """One raw month (or any glob of months) with its row position; a missing path is an error."""
-    raw = spark.read.parquet(path)
+def with_source_columns(raw: DataFrame) -> DataFrame:
+    """Row position and month of the file each row comes from; absent columns as NULLs."""
     raw = raw.withColumns(
         {"row_offset": F.col("_metadata.row_index"), **month_of_path(F.col("_metadata.file_name"))}
     )
     return nan_to_null(with_missing_columns(raw))
 
 
+def read_raw_month(spark: SparkSession, path: str) -> DataFrame:
+    """One raw month (or any glob of months) with its row position; a missing path is an error."""
+    return with_source_columns(spark.read.parquet(path))
+
+
 def read_all_months(spark: SparkSession, data_root: str) -> DataFrame:
     """Every raw month under ``data_root`` as one frame with ``year`` and ``month``.
 
     Month files drift in schema, so columns are merged by name.
     """
-    raw = spark.read.option("mergeSchema", "true").parquet(f"{data_root}/{RAW_GLOB}")
-    raw = raw.withColumns(
-        {"row_offset": F.col("_metadata.row_index"), **month_of_path(F.col("_metadata.file_name"))}
-    )
-    return nan_to_null(with_missing_columns(raw))
+    return with_source_columns(spark.read.option("mergeSchema", "true").parquet(f"{data_root}/{RAW_GLOB}"))
 
 
 def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:

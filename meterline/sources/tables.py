@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -17,6 +18,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(jvm_path, True).close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
@@ -42,6 +48,11 @@ class KeyedTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark).drop(self.partition)
 
+    def read_days(self, spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
+        """Rows of the partitions from ``first`` to ``last``; other partitions are not listed or read."""
+        day = F.col(self.partition)
+        return self._stored(spark).where(day.between(F.lit(first), F.lit(last))).drop(self.partition)
+
     def _full_schema(self) -> T.StructType:
         return T.StructType(self.schema.fields + [T.StructField(self.partition, T.DateType())])
 
@@ -51,17 +62,23 @@ class KeyedTable:
         return spark.read.schema(self._full_schema()).parquet(self.path)
 
     def upsert(self, spark: SparkSession, updates: DataFrame, batch_id: str, order_by: Sequence[str] = ()) -> None:
-        """Insert or replace rows by key. Repeating a ``batch_id`` after a failure is safe.
+        """Insert or replace rows by key. ``batch_id`` names the delivery; repeating it is safe.
 
         The merged content of every touched partition is first written to the shared work folder
         and then replaces those partitions. A driver lost in the middle of the second step may
         leave a partition removed but not yet replaced; the repeated call publishes the finished
-        copy again instead of computing a new one from the gap.
+        copy again instead of computing a new one from the gap. A delivery that was published is
+        only remembered by an empty marker file.
         """
         stage = f"{work_dir(spark)}/upserts/{self.name}/{batch_id}"
+        if path_exists(spark, f"{stage}/published"):
+            return
         if not path_exists(spark, f"{stage}/merged/_SUCCESS"):
             self._stage(spark, updates, order_by, stage)
         self._publish(spark, stage)
+        touch(spark, f"{stage}/published")
+        for part in ("updates", "touched", "merged"):
+            remove_path(spark, f"{stage}/{part}")
 
     def _stage(self, spark: SparkSession, updates: DataFrame, order_by: Sequence[str], stage: str) -> None:
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
