@@ -11,8 +11,8 @@ from meterline.sources import files
 from meterline.sources.tables import KeyedTable, path_exists
 
 
-def curate_months(spark: SparkSession, data_root: str, curated_path: str, force: bool = False) -> DataFrame:
-    """Curate the raw months without curated output; returns the months taken.
+def curate_months(spark: SparkSession, data_root: str, curated_path: str, force: bool = False) -> int:
+    """Curate the raw months without curated output; returns how many were taken.
 
     Only the list of month files, one path each, comes to the driver. All months are one job.
     """
@@ -25,7 +25,7 @@ def curate_months(spark: SparkSession, data_root: str, curated_path: str, force:
     if paths:
         raw = spark.read.option("mergeSchema", "true").parquet(*paths)
         files.write_curated(quality.curate(files.with_source_columns(raw)), curated_path)
-    return pending
+    return len(paths)
 
 
 def load_staging(spark: SparkSession, curated: DataFrame, zones: DataFrame, table: KeyedTable, salt: str,

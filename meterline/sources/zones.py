@@ -23,9 +23,5 @@ def fallback_zones(spark: SparkSession) -> DataFrame:
 
 
 def seed_zones(existing: DataFrame, candidate: DataFrame) -> DataFrame:
-    """Rows to insert: all candidates when the dimension is empty, none otherwise.
-
-    The test is a one-row subquery, so no row of either side moves.
-    """
-    is_empty = existing.agg((F.count("*") == 0).alias("is_empty")).scalar()
-    return candidate.where(is_empty)
+    """Rows to insert: all candidates when the dimension is empty, none otherwise."""
+    return candidate if existing.isEmpty() else candidate.limit(0)
