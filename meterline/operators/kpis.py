@@ -43,8 +43,11 @@ def backfill_range(start: dt.datetime, end: dt.datetime) -> TimeRange:
 def zone_hourly_kpis(trips: DataFrame, within: TimeRange | None = None) -> DataFrame:
     """KPIs per pickup zone and hour.
 
-    The distinct vehicle count makes Spark group by zone, hour and vehicle first, so the rows of
-    a busy zone are spread over many tasks and arrive pre-aggregated at the final one.
+    Vehicles are counted beside the other measures, not with them: a distinct count in the same
+    aggregate would send every sum through a shuffle by zone, hour and vehicle, about one row per
+    trip. So the measures are combined per zone and hour where they are read, and only distinct
+    (zone, hour, vehicle) keys are shuffled, which also spreads a busy zone over many tasks. Both
+    sides end up partitioned by zone and hour and join without a further shuffle.
     """
     rows = trips.where(F.col("pu_zone_id").isNotNull())
     if within is not None:
@@ -52,7 +55,8 @@ def zone_hourly_kpis(trips: DataFrame, within: TimeRange | None = None) -> DataF
     pickup, dropoff = F.col("pickup_ts"), F.col("dropoff_ts")
     km, seconds = distance_km(F.col("trip_distance")), seconds_between(pickup, dropoff)
     kmh = F.when(seconds > 0, km / (seconds / F.lit(3600.0)))
-    return rows.groupBy(F.col("pu_zone_id").alias("zone_id"), hour_start(pickup).alias("hour_ts")).agg(
+    keys = {"zone_id": F.col("pu_zone_id"), "hour_ts": hour_start(pickup)}
+    measures = rows.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
         F.count("*").alias("trips"),
         fixed_avg(F.col("fare_amount")).alias("avg_fare"),
         fixed_avg(F.col("tip_amount")).alias("avg_tip"),
@@ -60,8 +64,12 @@ def zone_hourly_kpis(trips: DataFrame, within: TimeRange | None = None) -> DataF
         fixed_avg(km).alias("avg_distance_km"),
         fixed_avg(seconds / F.lit(60.0)).alias("avg_duration_min"),
         percent(count_if(F.col("payment_type") == CARD), F.count("*")).alias("pct_card"),
-        F.count_distinct("vehicle_id_h").alias("unique_vehicles"),
     )
+    vehicles = (
+        rows.select(*[c.alias(n) for n, c in keys.items()], "vehicle_id_h").distinct()
+        .groupBy(*keys).agg(F.count("vehicle_id_h").alias("unique_vehicles"))
+    )
+    return measures.join(vehicles, list(keys))
 
 
 def kpi_full_refresh(trips: DataFrame) -> DataFrame:

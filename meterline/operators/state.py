@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterline.functions.parsing import safe_float, safe_int
 from meterline.operators.staging import timestamp_literal
@@ -159,14 +159,23 @@ def field_state(normalized: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def trip_sessions(events: DataFrame, ts: str = "event_ts", gap: str = STATE_TTL) -> DataFrame:
-    """State lifetimes in event time: a trip's state ends ``gap`` after its last event."""
-    sessions = events.groupBy("trip_key", F.session_window(ts, gap).alias("session")).agg(
-        F.count("*").alias("events"), F.bit_or(mask_bit()).alias("mask"),
-    )
-    return sessions.select(
-        "trip_key", F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"),
-        "events", is_complete_mask(F.col("mask")).alias("complete"),
+    """State lifetimes in event time: a trip's state ends ``gap`` after its last event.
+
+    Events of one trip in one ``gap``-wide slot of time are always in one session, so they are
+    combined where they are read. What is ordered per trip is its slots, whose number depends on
+    the time covered and not on the events of a busy trip.
+    """
+    length = F.expr(f"INTERVAL '{gap}'")
+    slots = events.groupBy("trip_key", F.window(ts, gap)["start"].alias("slot")).agg(
+        F.min(ts).alias("first"), F.max(ts).alias("last"), F.count("*").alias("n"), F.bit_or(mask_bit()).alias("bits"),
     )
+    in_time = Window.partitionBy("trip_key").orderBy("slot")
+    is_new = F.coalesce(F.col("first") > F.lag("last").over(in_time) + length, F.lit(False))
+    numbered = slots.withColumn("is_new", is_new.cast("int")).withColumn("session", F.sum("is_new").over(in_time))
+    return numbered.groupBy("trip_key", "session").agg(
+        F.min("first").alias("session_start"), (F.max("last") + length).alias("session_end"),
+        F.sum("n").alias("events"), is_complete_mask(F.bit_or("bits")).alias("complete"),
+    ).drop("session")
 
 
 def dedup_events(events: DataFrame, key: str = "event_id") -> DataFrame:

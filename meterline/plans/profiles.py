@@ -62,11 +62,12 @@ def fare_speed_by_hour(trips: DataFrame, ts: str = "pickup_ts") -> DataFrame:
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count and percent of all rows per value of each column; missing values are left out."""
-    texts = df.select(*[F.col(c).cast("bigint").alias(c) for c in columns])
-    counts = texts.unpivot([], list(columns), "column_name", "value").where("value is not null") \
+    values = df.select(*[F.col(c).cast("bigint").alias(c) for c in columns])
+    counts = values.unpivot([], list(columns), "column_name", "value") \
         .groupBy("column_name", "value").agg(F.count("*").alias("row_count"))
-    total = df.agg(F.count("*")).scalar()
-    return counts.withColumn("pct", percent(F.col("row_count"), total))
+    # the counts of one column, missing values included, add up to all rows: no second pass
+    total = counts.agg(F.sum(F.when(F.col("column_name") == columns[0], F.col("row_count")))).scalar()
+    return counts.where("value is not null").withColumn("pct", percent(F.col("row_count"), total))
 
 
 def top_values(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:

@@ -38,14 +38,22 @@ def dedup_stream(events: DataFrame, delay: str = STATE_TTL) -> DataFrame:
     return with_event_watermark(events, delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def session_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
+def session_stream(events: DataFrame, delay: str = "1 hour", gap: str = STATE_TTL) -> DataFrame:
     """Trip sessions, emitted when the watermark passes their end; state is bounded by the delay."""
-    return state.trip_sessions(with_event_watermark(events, delay))
+    sessions = with_event_watermark(events, delay).groupBy("trip_key", F.session_window("event_ts", gap).alias("session")).agg(
+        F.count("*").alias("events"), F.bit_or(state.mask_bit()).alias("mask"),
+    )
+    return sessions.select(
+        "trip_key", F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"),
+        "events", state.is_complete_mask(F.col("mask")).alias("complete"),
+    )
 
 
 def delivery_id(batch: DataFrame, epoch: int) -> str:
     """Name of a micro-batch that is stable across restarts and new for a new checkpoint."""
     query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query_id:
+        raise ValueError("not called from a streaming query")
     return f"{query_id}-{epoch}"
 
 

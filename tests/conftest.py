@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="6g",
+        spark__sql__maxMetadataStringLength="100000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("work")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )

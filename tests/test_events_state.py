@@ -150,3 +150,12 @@ def test_late_events_depend_on_the_key_only(spark):
     late = {r.trip_key for r in first.where("is_late").collect()}
     assert 20 < len(late) < 120
     assert late == {r.trip_key for r in ev.late_events(trips.repartition(5), 3).where("is_late").collect()}
+
+
+def test_sessions_split_after_the_gap(spark):
+    hours = [0, 5, 10.9, 17, 17.5, 40]
+    rows = [message("zone_entered", "a", int(h * 3600)) for h in hours] + [message("trip_started", "b")]
+    events = ev.valid_events(ev.parse_messages(messages(spark, *rows)))
+    got = sorted((r.trip_key, (r.session_start - BASE).total_seconds() / 3600, (r.session_end - BASE).total_seconds() / 3600, r.events)
+                 for r in state.trip_sessions(events).collect())
+    assert got == [("a", 0.0, 16.9, 3), ("a", 17.0, 23.5, 2), ("a", 40.0, 46.0, 1), ("b", 0.0, 6.0, 1)]
