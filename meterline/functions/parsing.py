@@ -10,8 +10,18 @@ def safe_int(text: Column, default: int = 0) -> Column:
     return F.coalesce(text.try_cast("int"), F.lit(default))
 
 
+# Fixed format: what counts as a number in text.
+FLOAT_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf(inity)?)\s*$"
+
+
+def float_or_null(text: Column) -> Column:
+    """Number or NULL. Text of another form is not handed to the cast, which would raise and
+    catch an error per row, and would take suffixes such as ``1.5f``."""
+    return F.when(text.rlike(FLOAT_PATTERN), text.try_cast("double"))
+
+
 def safe_float(text: Column, default: float = 0.0) -> Column:
-    return F.coalesce(text.try_cast("double"), F.lit(default))
+    return F.coalesce(float_or_null(text), F.lit(default))
 
 
 def iso_timestamp(text: Column) -> Column:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterline.functions.numeric import count_if, fixed_sum
+from meterline.functions.parsing import float_or_null
 from meterline.schemas import LATENCY_BUCKETS
 
 # Line formats, windows and alert rules.
@@ -175,7 +176,7 @@ def parse_metric_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     rows = lines.where(~F.col(column).startswith("#") & (F.trim(column) != "") & (F.size(parts) >= 2))
     return rows.select(
         *[c for c in lines.columns if c != column],
-        parts[0].alias("metric"), parts[1].try_cast("double").alias("value"),
+        parts[0].alias("metric"), float_or_null(parts[1]).alias("value"),
     ).where("value is not null")
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -54,9 +56,7 @@ def with_reject_reason(df: DataFrame) -> DataFrame:
 
 def dq_filter(df: DataFrame) -> DataFrame:
     """Rows that pass every curation rule."""
-    for condition in curation_rules().values():
-        df = df.where(condition)
-    return df
+    return df.where(reduce(and_, curation_rules().values()))
 
 
 def dq_rejections(df: DataFrame) -> DataFrame:

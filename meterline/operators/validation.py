@@ -6,6 +6,8 @@ A rule is a plain condition of a valid row; a missing value does not satisfy it.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -88,9 +90,7 @@ def failed_rules(rules: Mapping[str, Column]) -> Column:
 
 def only_valid(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Rows that break no rule, as plain filters that can reach the scan."""
-    for condition in rules.values():
-        df = df.where(condition)
-    return df
+    return df.where(reduce(and_, rules.values()))
 
 
 def validate(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

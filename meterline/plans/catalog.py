@@ -223,10 +223,9 @@ def trip_properties(t: Inputs) -> DataFrame:
 @query
 def safe_parse(t: Inputs) -> DataFrame:
     """Text that is sometimes a number: priorities, their first character, decimal and whole prices."""
-    texts = t.table("orders").select(
-        "o_orderkey", "o_orderpriority", F.substring("o_orderpriority", 1, 1).alias("digit"),
-        F.format_string("%.2f", "o_totalprice").alias("price"), F.lit(None).cast("string").alias("nothing"),
-    )
+    orders = star.spread(t.table("orders").select("o_orderkey", "o_orderpriority", "o_totalprice"))
+    texts = star.once(orders, digit=F.substring("o_orderpriority", 1, 1),
+                      price=F.format_string("%.2f", "o_totalprice"), nothing=F.lit(None).cast("string"))
     return texts.select(
         "o_orderkey",
         parsing.safe_int(F.col("o_orderpriority")).alias("bad_int"), parsing.safe_int(F.col("digit")).alias("good_int"),

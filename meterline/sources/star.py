@@ -25,12 +25,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw trip per order line.
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns computed once per row, by a generator of one struct.
 
-    The two times are computed by a generator, one struct per row: as plain projections they
-    would be repeated inside every filter and derived column above.
+    As plain projections Catalyst would repeat the expressions inside every filter and derived
+    column above. Use it for columns a real table would simply store.
     """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw trip per order line."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_linestatus",
@@ -46,8 +51,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     fare = F.col("l_extendedprice") / 1000.0
     total = fare * (1.0 + F.col("l_discount") + F.col("l_tax"))
     dropoff = F.timestamp_add("SECOND", F.expr("cast((l_quantity - 2) * 60 as int)"), pickup)
-    times = F.struct(pickup.alias("tpep_pickup_datetime"), dropoff.alias("tpep_dropoff_datetime"))
-    trips = trips.select("*", F.inline(F.array(times))).select(
+    trips = once(trips, tpep_pickup_datetime=pickup, tpep_dropoff_datetime=dropoff).select(
         F.expr("l_orderkey * 10 + l_linenumber").alias("row_offset"),
         F.col("l_linenumber").alias("VendorID"),
         "tpep_pickup_datetime",
@@ -94,12 +98,10 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     A trip is a user's day. Fields belong to the event type that carries them.
     """
     k, kind = F.col("k"), F.col("kind")
-    events = spread(table(spark, sf_dir, "events")).withColumn("k", _event_number()).withColumn(
-        "kind",
-        F.expr("""case event_type when 'click' then 'trip_started' when 'view' then 'trip_ended'
-                  when 'purchase' then 'payment_processed' when 'signup' then 'zone_entered'
-                  when 'error' then 'zone_exited' else event_type end"""),
-    )
+    renamed = F.expr("""case event_type when 'click' then 'trip_started' when 'view' then 'trip_ended'
+                        when 'purchase' then 'payment_processed' when 'signup' then 'zone_entered'
+                        when 'error' then 'zone_exited' else event_type end""")
+    events = once(spread(table(spark, sf_dir, "events")), k=_event_number(), kind=renamed)
     started, ended, paid = (kind == t for t in ("trip_started", "trip_ended", "payment_processed"))
     moved = kind.isin("zone_entered", "zone_exited")
     fields = {
@@ -154,7 +156,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k < 20, F.concat_ws(" ", ts, level, message))
         .otherwise(F.concat_ws(" ", ts, level, F.concat(F.lit("["), component, F.lit("]")), message))
     )
-    return spread(table(spark, sf_dir, "events")).withColumn("k", _event_number()).select("event_id", line.alias("line"))
+    events = once(spread(table(spark, sf_dir, "events")), k=_event_number())
+    return once(events, line=line).select("event_id", "line")
 
 
 def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,4 +172,5 @@ def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 2 == 0, F.concat(F.lit("trip_events_total"), label, F.lit(" "), k.cast("string")))
         .otherwise(F.concat(F.lit("queue_lag_seconds"), label, F.lit(" "), k.cast("string")))
     )
-    return spread(table(spark, sf_dir, "events")).withColumn("k", _event_number()).select("event_id", line.alias("line"))
+    events = once(spread(table(spark, sf_dir, "events")), k=_event_number())
+    return once(events, line=line).select("event_id", "line")
