@@ -118,10 +118,10 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
     Reasons in order: not JSON, unknown type, a required field missing, bad time.
     """
+    # a generator, so that the text is parsed once and not once per field and filter
     body = F.from_json("value", TRIP_EVENT, {"mode": "PERMISSIVE"})
-    parsed = messages.withColumn("_e", body)
     others = [c for c in messages.columns if c != "value"]
-    wide = parsed.select(*others, "value", "_e.*").withColumn("event_ts", iso_timestamp(F.col("timestamp")))
+    wide = messages.select(*others, "value", F.inline(F.array(body))).withColumn("event_ts", iso_timestamp(F.col("timestamp")))
     empty = F.coalesce("event_type", "trip_key", "event_id", "timestamp").isNull()
     missing = F.lit(False)
     for name in ("event_id", "trip_key", "vendor_id", "vehicle_id_h", "timestamp"):
@@ -160,7 +160,7 @@ def normalize_messages(messages: DataFrame) -> DataFrame:
     The type is not restricted here, unlike in :func:`parse_messages`.
     """
     others = [c for c in messages.columns if c not in ("key", "value")]
-    raw = messages.select(*others, F.from_json("value", _NORMALIZED_SCHEMA).alias("_e")).select(*others, "_e.*")
+    raw = messages.select(*others, F.inline(F.array(F.from_json("value", _NORMALIZED_SCHEMA))))
     present = F.coalesce((F.col("trip_key") != "") & (F.col("event_type") != ""), F.lit(False))
     event_ts = iso_timestamp(F.col("timestamp"))
     return raw.where(present).select(

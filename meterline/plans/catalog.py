@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.functions import parsing
-from meterline.functions.hashing import iso_text
+from meterline.functions.rows import once
 from meterline.operators import events as ev
 from meterline.operators import kpis, metrics, quality, staging, state, validation
 from meterline.operators.upsert import latest_per_key, merge_by_key
 from meterline.plans import profiles, reports
 from meterline.schemas import BATCH_SIZE_BUCKETS, COMPLETE_TRIP, LATENCY_BUCKETS
-from meterline.session import configure
+from meterline.session import configure, work_dir
 from meterline.sources import files, star, zones
+from meterline.sources.tables import staging_table
+from meterline.streaming.assembly import start_assembly
 
 SALT = "meterline"
 AS_OF = dt.datetime(2025, 2, 1)
@@ -69,8 +72,7 @@ class Inputs:
 
     @cached_property
     def events(self) -> DataFrame:
-        events = star.stream_events(self.spark, self.sf_dir)
-        return events.withColumn("event_ts", F.col("seq_ts"))
+        return star.stream_events(self.table("events")).withColumn("event_ts", F.col("seq_ts"))
 
     @cached_property
     def state(self) -> DataFrame:
@@ -78,7 +80,7 @@ class Inputs:
 
     @cached_property
     def messages(self) -> DataFrame:
-        return star.event_messages(self.spark, self.sf_dir)
+        return star.event_messages(self.table("events"))
 
     @cached_property
     def parsed(self) -> DataFrame:
@@ -224,7 +226,7 @@ def trip_properties(t: Inputs) -> DataFrame:
 def safe_parse(t: Inputs) -> DataFrame:
     """Text that is sometimes a number: priorities, their first character, decimal and whole prices."""
     orders = star.spread(t.table("orders").select("o_orderkey", "o_orderpriority", "o_totalprice"))
-    texts = star.once(orders, digit=F.substring("o_orderpriority", 1, 1),
+    texts = once(orders, digit=F.substring("o_orderpriority", 1, 1),
                       price=F.format_string("%.2f", "o_totalprice"), nothing=F.lit(None).cast("string"))
     return texts.select(
         "o_orderkey",
@@ -716,6 +718,17 @@ def assembled_trips_full(t: Inputs) -> DataFrame:
     return state.assembled_trips_full(t.state, AS_OF)
 
 
+@query
+def assembled_trips_stream(t: Inputs) -> DataFrame:
+    """A streaming run over all messages into a keyed table: parse, keep state, upsert; then the table."""
+    run = f"{work_dir(t.spark)}/streams/{uuid.uuid4()}"
+    trips = staging_table(f"{run}/trips")
+    messages = star.event_messages(star.event_stream(t.spark, t.sf_dir))
+    stream = start_assembly(messages, trips, f"{run}/checkpoint", AS_OF)
+    stream.awaitTermination()
+    return trips.read(t.spark)
+
+
 @query
 def assembly_round_trip(t: Inputs) -> DataFrame:
     """Trips to events and back: what the assembled trips keep of the staged ones."""

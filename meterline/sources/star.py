@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.functions.hashing import iso_text
 from meterline.functions.numeric import nan_to_null
+from meterline.functions.rows import once
 from meterline.schemas import TRIP_EVENT
 from meterline.sources.files import with_missing_columns
 
@@ -25,15 +26,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns computed once per row, by a generator of one struct.
-
-    As plain projections Catalyst would repeat the expressions inside every filter and derived
-    column above. Use it for columns a real table would simply store.
-    """
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
-
-
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw trip per order line."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -92,16 +84,23 @@ def _event_number() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide stream events, with ``seq_ts`` and ``seq_id`` as arrival order.
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as a stream."""
+    schema = table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def stream_events(events: DataFrame) -> DataFrame:
+    """Wide stream events of the event table or stream, with ``seq_ts`` and ``seq_id`` as arrival order.
 
-    A trip is a user's day. Fields belong to the event type that carries them.
+    A trip is a user's day. Fields belong to the event type that carries them; ``k`` is the event's
+    number, from which faults are derived.
     """
     k, kind = F.col("k"), F.col("kind")
     renamed = F.expr("""case event_type when 'click' then 'trip_started' when 'view' then 'trip_ended'
                         when 'purchase' then 'payment_processed' when 'signup' then 'zone_entered'
                         when 'error' then 'zone_exited' else event_type end""")
-    events = once(spread(table(spark, sf_dir, "events")), k=_event_number(), kind=renamed)
+    events = once(events if events.isStreaming else spread(events), k=_event_number(), kind=renamed)
     started, ended, paid = (kind == t for t in ("trip_started", "trip_ended", "payment_processed"))
     moved = kind.isin("zone_entered", "zone_exited")
     fields = {
@@ -123,25 +122,22 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "zone_id": F.when(moved, k + 1),
     }
     columns = [fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in TRIP_EVENT.fields]
-    return events.select(*columns, F.col("ts").alias("seq_ts"), F.col("event_id").alias("seq_id"))
+    return events.select(*columns, F.col("ts").alias("seq_ts"), F.col("event_id").alias("seq_id"), "k")
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON messages of the stream events with the faults a real topic has.
+def event_messages(events: DataFrame) -> DataFrame:
+    """JSON messages of the event table or stream, with the faults a real topic has.
 
-    Some have an unknown type, no trip key, a broken time or are cut off in the middle.
+    Some have an unknown type, no trip key, a broken time or are no JSON at all.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
-    marks = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq_id"), k.alias("k"))
-    events = stream_events(spark, sf_dir).join(marks, "seq_id")
-    broken = events.withColumns({
+    broken = stream_events(events).withColumns({
         "event_type": F.when(F.col("k") >= 95, F.lit("driver_break")).otherwise(F.col("event_type")),
         "trip_key": F.when(F.col("k") >= 3, F.col("trip_key")),
         "timestamp": F.when(F.col("k") == 50, F.lit("not-a-time")).when(F.col("k") != 51, F.col("timestamp")),
     })
     text = F.to_json(F.struct(*TRIP_EVENT.names))
-    value = F.when(F.col("k") == 60, F.substring(text, 1, 20)).otherwise(text)
-    return broken.select(F.col("trip_key").alias("key"), value.alias("value"), "seq_ts", "seq_id")
+    value = F.when(F.col("k") == 60, F.translate(text, "{}", "")).otherwise(text)
+    return once(broken, key=F.col("trip_key"), value=value).select("key", "value", "seq_ts", "seq_id")
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

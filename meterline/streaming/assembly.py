@@ -59,9 +59,15 @@ def delivery_id(batch: DataFrame, epoch: int) -> str:
 
 def start_assembly(messages: DataFrame, table: KeyedTable, checkpoint: str, as_of: dt.datetime,
                    **trigger: object) -> StreamingQuery:
-    """Assemble trips from ``messages`` and upsert them into ``table``."""
+    """Assemble trips from ``messages`` and upsert them into ``table``.
+
+    A stateful query runs without adaptive execution. Only its own micro-batch does: the merge
+    with the table runs in the caller's session, where skewed days are still split.
+    """
+    spark = messages.sparkSession
+
     def upsert(batch: DataFrame, epoch: int) -> None:
-        table.upsert(batch.sparkSession, batch, delivery_id(batch, epoch))
+        table.upsert(spark, batch, delivery_id(batch, epoch))
 
     return (
         assembled_stream(messages, as_of).writeStream.outputMode("update")

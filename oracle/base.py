@@ -206,6 +206,13 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN 'payment_processed' THEN 16 WHEN 'zone_entered' THEN 32 WHEN 'zone_exited' THEN 64
                     ELSE 0 END) AS INTEGER) AS mask
         FROM ev GROUP BY trip_key"""),
+    "good": (("parsed",), "SELECT * FROM parsed WHERE reject_reason IS NULL"),
+    "good_typed": (("good",), """
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trip_key, event_type
+                                                    ORDER BY event_ts DESC, seq_id DESC) AS rn FROM good) WHERE rn = 1"""),
+    "good_newest": (("good",), """
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trip_key
+                                                    ORDER BY event_ts DESC, seq_id DESC) AS rn FROM good) WHERE rn = 1"""),
     # latest event per trip and type
     "typed": (("ev",), """
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trip_key, event_type

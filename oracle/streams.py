@@ -199,6 +199,17 @@ SQL: dict[str, str] = {
                coalesce(pa.fare_amount, 0) AS fare_amount, coalesce(pa.tip_amount, 0) AS tip_amount,
                coalesce(pa.total_amount, 0) AS total_amount, pa.payment_type, n.vehicle_id_h, 'stream' AS source,
                {AS_OF} AS created_at, {AS_OF} AS updated_at FROM state s {_LATEST} WHERE {_COMPLETE}"""),
+    "assembled_trips_stream": with_ctes("good_typed good_newest", f"""
+        SELECT n.trip_key, n.vendor_id, st.event_ts AS pickup_ts, en.event_ts AS dropoff_ts,
+               st.pickup_zone_id AS pu_zone_id, en.dropoff_zone_id AS do_zone_id,
+               coalesce(st.passenger_count, 0) AS passenger_count, en.trip_distance,
+               coalesce(pa.fare_amount, 0) AS fare_amount, coalesce(pa.tip_amount, 0) AS tip_amount,
+               coalesce(pa.total_amount, 0) AS total_amount, pa.payment_type, n.vehicle_id_h, 'stream' AS source,
+               {AS_OF} AS created_at, {AS_OF} AS updated_at
+        FROM good_newest n
+        JOIN good_typed st ON st.trip_key = n.trip_key AND st.event_type = 'trip_started'
+        JOIN good_typed en ON en.trip_key = n.trip_key AND en.event_type = 'trip_ended'
+        JOIN good_typed pa ON pa.trip_key = n.trip_key AND pa.event_type = 'payment_processed'"""),
     "assembly_round_trip": with_ctes("uniq", "SELECT * FROM uniq"),
     "assembly_stats": with_ctes("parsed", """
         WITH valid AS (SELECT * FROM parsed WHERE reject_reason IS NULL),

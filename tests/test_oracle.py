@@ -1,5 +1,7 @@
 """Every registered query against DuckDB on the same tables."""
 
+import re
+
 import duckdb
 import pandas as pd
 import pytest
@@ -32,13 +34,23 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns), key=lambda s: s.astype(str), kind="stable").reset_index(drop=True)
 
 
+def check_plan(df):
+    """No cross join, no Python in the plan, no window over a whole table in one task."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+        assert operator not in plan
+    assert not re.search(r"Window \[[^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", plan)
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    got = canonical(QUERIES[name](spark, SF_DIR).toPandas())
+    result = QUERIES[name](spark, SF_DIR)
+    check_plan(result)
+    got = canonical(result.toPandas())
     want = canonical(duck.sql(ORACLE[name]).df())
     assert list(got.columns) == list(want.columns)
     assert len(got) == len(want)

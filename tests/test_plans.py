@@ -17,14 +17,6 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cross_join_python_or_global_window(spark, name):
-    plan = plan_of(QUERIES[name](spark, SF_DIR))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
-        assert operator not in plan
-    assert not re.search(r"Window \[[^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", plan)
-
-
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("stored")

@@ -20,7 +20,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def topic(spark, tmp_path_factory):
     """The event messages as files, in order of time."""
     path = str(tmp_path_factory.mktemp("topic") / "messages")
-    star.event_messages(spark, SF_DIR).orderBy("seq_id").select("key", "value").repartitionByRange(4, "value") \
+    star.event_messages(star.table(spark, SF_DIR, "events")).orderBy("seq_id").select("key", "value").repartitionByRange(4, "value") \
         .write.parquet(path)
     return path
 
@@ -29,7 +29,7 @@ def topic(spark, tmp_path_factory):
 def time_ordered(spark, tmp_path_factory):
     """Parsed events, one file per stretch of time, written oldest first."""
     path = str(tmp_path_factory.mktemp("events") / "parsed")
-    Inputs(spark, SF_DIR).events.drop("seq_ts", "seq_id").coalesce(1).sortWithinPartitions("event_ts").write.parquet(path)
+    Inputs(spark, SF_DIR).events.drop("seq_ts", "seq_id", "k").coalesce(1).sortWithinPartitions("event_ts").write.parquet(path)
     return path
 
 
