@@ -24,6 +24,7 @@ from meterline.streaming.assembly import start_assembly
 SALT = "meterline"
 AS_OF = dt.datetime(2025, 2, 1)
 ARRIVAL = ("seq_ts", "seq_id")
+STREAM_LIMIT_SECONDS = 1800
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -725,7 +726,9 @@ def assembled_trips_stream(t: Inputs) -> DataFrame:
     trips = staging_table(f"{run}/trips")
     messages = star.event_messages(star.event_stream(t.spark, t.sf_dir))
     stream = start_assembly(messages, trips, f"{run}/checkpoint", AS_OF)
-    stream.awaitTermination()
+    if not stream.awaitTermination(STREAM_LIMIT_SECONDS):
+        stream.stop()
+        raise TimeoutError("the stream did not end")
     return trips.read(t.spark)
 
 
