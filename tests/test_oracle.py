@@ -7,11 +7,13 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
+import oracle
+from meterline.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, oracle.SQL
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +48,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_queries_are_registered():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     result = QUERIES[name](spark, SF_DIR)
