@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import decontaminate, rules, sharding
+from meterline.llm import decontaminate, rules, sanitise, sharding, warc
 from meterline.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,16 @@ def op1_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.vector_shards(table(prepare(spark), sf_dir, "documents"), 40))
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back through the index."""
+    return warc.digest(warc.write_archives(warc.plan_records(table(prepare(spark), sf_dir, "pages"))))
+
+
+def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents and the terms that give it away."""
+    return sanitise.digest(sanitise.find(table(prepare(spark), sf_dir, "documents")))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     prepare(spark)
@@ -30,6 +40,8 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_vector_shards": op1_vector_shards,
+    "op4_warc_index": op4_warc_index,
+    "op7_disclosure": op7_disclosure,
     "op9_winnowing": op9_winnowing,
     "op10_rule_ledger": op10_rule_ledger,
 }
