@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import decontaminate, rules, sanitise, sharding, warc
+from meterline.llm import decontaminate, grading, mixing, rules, sanitise, sharding, warc
 from meterline.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +17,29 @@ def op1_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.vector_shards(table(prepare(spark), sf_dir, "documents"), 40))
 
 
+#: Target shares of expected tokens: languages of good text, and what little of the rest is wanted.
+MIX_TARGETS = {"en": 0.40, "de": 0.20, "fr": 0.20, "es": 0.15, "low": 0.03, "toxic": 0.02}
+
+
+def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents that bring the expected domain totals to the targets."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    return mixing.digest(mixing.mix(docs, mixing.label_domains(docs, table(spark, sf_dir, "labels")), MIX_TARGETS))
+
+
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back through the index."""
     return warc.digest(warc.write_archives(warc.plan_records(table(prepare(spark), sf_dir, "pages"))))
 
 
+def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and chance of being good of all documents."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    return grading.score(docs, grading.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents and the terms that give it away."""
     return sanitise.digest(sanitise.find(table(prepare(spark), sf_dir, "documents")))
@@ -40,7 +58,9 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_vector_shards": op1_vector_shards,
+    "op2_soft_mixing": op2_soft_mixing,
     "op4_warc_index": op4_warc_index,
+    "op6_ordinal_quality": op6_ordinal_quality,
     "op7_disclosure": op7_disclosure,
     "op9_winnowing": op9_winnowing,
     "op10_rule_ledger": op10_rule_ledger,
