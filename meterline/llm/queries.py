@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import decontaminate, grading, mixing, rules, sanitise, sharding, warc
+from meterline.llm import chosen_path, decontaminate, grading, mixing, rules, sanitise, sharding, warc
 from meterline.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.mix(docs, mixing.label_domains(docs, table(spark, sf_dir, "labels")), MIX_TARGETS))
 
 
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of all documents at a similarity of 0.8 on five-word shingles."""
+    return chosen_path.digest(chosen_path.near_duplicates(table(prepare(spark), sf_dir, "documents")))
+
+
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back through the index."""
     return warc.digest(warc.write_archives(warc.plan_records(table(prepare(spark), sf_dir, "pages"))))
@@ -59,6 +64,7 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_vector_shards": op1_vector_shards,
     "op2_soft_mixing": op2_soft_mixing,
+    "op3_chosen_path": op3_chosen_path,
     "op4_warc_index": op4_warc_index,
     "op6_ordinal_quality": op6_ordinal_quality,
     "op7_disclosure": op7_disclosure,
