@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import chosen_path, decontaminate, grading, mixing, rules, sanitise, sharding, warc
+from meterline.llm import chosen_path, decontaminate, grading, line_runs, mixing, rules, sanitise, sharding, warc
 from meterline.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.digest(sanitise.find(table(prepare(spark), sf_dir, "documents")))
 
 
+def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without later copies of repeated line runs."""
+    return line_runs.without_runs(table(prepare(spark), sf_dir, "documents"))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents."""
     prepare(spark)
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op4_warc_index": op4_warc_index,
     "op6_ordinal_quality": op6_ordinal_quality,
     "op7_disclosure": op7_disclosure,
+    "op8_line_runs": op8_line_runs,
     "op9_winnowing": op9_winnowing,
     "op10_rule_ledger": op10_rule_ledger,
 }
