@@ -172,3 +172,24 @@ def label_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def digest(mixed_rows: DataFrame) -> DataFrame:
     return mixed_rows.select("doc_id", "n_tokens", "domain", "posterior", "rate", "copies")
+
+
+def repeated(docs: DataFrame, model: DomainModel, history: np.ndarray, low: float, high: float) -> DataFrame:
+    """The rows of ``docs``, columns unchanged, each as often as its ``copies``; texts are scored again instead of joined."""
+    columns = docs.columns
+    unit = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(1 << 30)) / float(1 << 30)
+    at = columns.index("text")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = Words()
+        for batch in batches:
+            p = np.array([model.posteriors(features(t, cache)[0]) for t in batch.column(at).to_pylist()]).reshape(-1, len(model.domains))
+            copies = np.floor(rates(p, history, low, high) + batch.column(len(columns)).to_numpy(zero_copy_only=False)).astype(int)
+            yield batch.select(list(range(len(columns)))).take(pa.array(np.repeat(np.arange(len(copies)), copies), pa.int64()))
+    return docs.select(*columns, unit.alias("_unit")).mapInArrow(each, docs.schema)
+
+
+def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float], low: float = 0.0, high: float = 1e6, grow: bool = False) -> DataFrame:
+    model = train(docs, labels)
+    history, _, _ = fit_rates(saved(posteriors(docs, model), "mix-posteriors"), model.domains, weights, low, high, grow)
+    return repeated(docs, model, history, low, high)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import chosen_path, decontaminate, grading, line_runs, mixing, rules, sanitise, sharding, warc
+from meterline.llm import chosen_path, decontaminate, grading, line_runs, mixing, rules, sanitise, sharding, transcripts, warc
 from meterline.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,13 @@ def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.write_archives(warc.plan_records(table(prepare(spark), sf_dir, "pages"))))
 
 
+def op5_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from raw transcripts of all conversations."""
+    lines = transcripts.raw_lines(table(prepare(spark), sf_dir, "conversations"))
+    model = transcripts.train(transcripts.known_part(lines))
+    return transcripts.digest(transcripts.turns(transcripts.label_lines(lines, model)))
+
+
 def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and chance of being good of all documents."""
     prepare(spark)
@@ -71,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op2_soft_mixing": op2_soft_mixing,
     "op3_chosen_path": op3_chosen_path,
     "op4_warc_index": op4_warc_index,
+    "op5_transcripts": op5_transcripts,
     "op6_ordinal_quality": op6_ordinal_quality,
     "op7_disclosure": op7_disclosure,
     "op8_line_runs": op8_line_runs,
