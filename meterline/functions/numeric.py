@@ -5,17 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MICROS = 1_000_000.0
-_SUMMABLE = T.DecimalType(20, 0)
+_SUMMABLE = T.DecimalType(28, 0)
+#: Below this every double in millionths is a long; above it doubles are whole numbers anyway.
+_LONG_MICROS = 9.0e15
 
 
 def fixed_sum(value: Column) -> Column:
     """Sum in whole millionths, returned as double.
 
     Floating sums change in the last digits with the order in which partial results arrive, so a
-    retried task would rewrite a KPI with another value. Integers add up the same in any order,
-    and the decimal buffer cannot overflow at any row count.
+    retried task would rewrite a KPI with another value. Integers add up the same in any order.
+    Values up to 1e21 are taken, at any row count; a NaN or an infinite value makes the sum NULL.
     """
-    return F.sum(F.floor(value * F.lit(MICROS) + F.lit(0.5)).cast(_SUMMABLE)).cast("double") / F.lit(MICROS)
+    value = value.cast("double")
+    micros = value * F.lit(MICROS) + F.lit(0.5)
+    whole = F.when(F.abs(micros) < _LONG_MICROS, F.floor(micros).cast(_SUMMABLE)).when(_finite(value), micros.cast(_SUMMABLE))
+    total = F.sum(whole).cast("double") / F.lit(MICROS)
+    return F.when(F.coalesce(F.bool_and(_finite(value)), F.lit(True)), total)
+
+
+def _finite(value: Column) -> Column:
+    """NULL for NULL; comparisons take NaN for the greatest value."""
+    return F.abs(value) < F.lit(float("inf"))
 
 
 def fixed_avg(value: Column) -> Column:

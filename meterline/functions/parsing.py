@@ -24,6 +24,13 @@ def safe_float(text: Column, default: float = 0.0) -> Column:
     return F.coalesce(float_or_null(text), F.lit(default))
 
 
+# Fixed format: a whole date, and a time after it if any.
+DATE_PATTERN = r"^\s*\d{4}-\d{2}-\d{2}([T ].+)?\s*$"
+
+
 def iso_timestamp(text: Column) -> Column:
-    """Timestamp without zone from ISO text (``Z`` and offsets are taken to UTC); NULL when malformed."""
-    return text.try_cast("timestamp").cast("timestamp_ntz")
+    """Timestamp without zone from ISO text (``Z`` and offsets are taken to UTC); NULL when malformed.
+
+    Text without a whole date is malformed: the cast would take a time alone for today.
+    """
+    return F.when(text.rlike(DATE_PATTERN), text.try_cast("timestamp")).cast("timestamp_ntz")

@@ -89,14 +89,22 @@ def queue_lag(events: DataFrame, event_ts: str, ingest_ts: str) -> DataFrame:
 
 
 def rates(events: DataFrame, ts: str, amount: Column | None = None) -> DataFrame:
-    """Per-second rates over sliding five-minute windows; events are combined per window where read."""
-    window = F.window(ts, RATE_WINDOW, RATE_STEP)
-    measures = [(F.count("*") / F.lit(RATE_SECONDS)).alias("events_per_second")]
+    """Per-second rates over sliding five-minute windows."""
+    sums = {"_n": F.count("*")}
     if amount is not None:
-        measures.append((fixed_sum(amount) / F.lit(RATE_SECONDS)).alias("amount_per_second"))
-    rows = events.groupBy(window.alias("w")).agg(*measures)
-    return rows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                       *[c for c in rows.columns if c != "w"])
+        sums["_amount"] = fixed_sum(amount)
+    rows = _over_windows(events, ts, sums)
+    out = rows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      (F.col("_n") / F.lit(RATE_SECONDS)).alias("events_per_second"),
+                      *[(F.col(c) / F.lit(RATE_SECONDS)).alias("amount_per_second") for c in sums if c == "_amount"])
+    return out
+
+
+def _over_windows(events: DataFrame, ts: str, sums: dict[str, Column]) -> DataFrame:
+    """Sums per sliding window: rows are combined per minute, and only minutes are copied into the windows that hold them."""
+    minutes = events.where(F.col(ts).isNotNull()).groupBy(F.date_trunc("minute", F.col(ts)).cast(events.schema[ts].dataType).alias("_minute")).agg(*[c.alias(n) for n, c in sums.items()])
+    totals = [(fixed_sum(F.col(n)) if n == "_amount" else F.sum(n)).alias(n) for n in sums]
+    return minutes.groupBy(F.window("_minute", RATE_WINDOW, RATE_STEP).alias("w")).agg(*totals)
 
 
 def held(breaching: DataFrame, rule: str, minutes: int, step: str = "step_ts") -> DataFrame:
@@ -127,8 +135,7 @@ def alerts(lag: DataFrame, failures: DataFrame, limits: AlertLimits = AlertLimit
 
 def failure_rate(events: DataFrame, ts: str, failed: Column) -> DataFrame:
     """Failures per second and share of failures over the five minutes before each minute."""
-    window = F.window(ts, RATE_WINDOW, RATE_STEP)
-    rows = events.groupBy(window.alias("w")).agg(count_if(failed).alias("_failed"), F.count("*").alias("_all"))
+    rows = _over_windows(events, ts, {"_failed": count_if(failed), "_all": F.count("*")})
     return rows.select(
         F.col("w.end").alias("step_ts"),
         (F.col("_failed") / F.lit(RATE_SECONDS)).alias("failures_per_second"),
@@ -170,16 +177,14 @@ def log_volume(logs: DataFrame, ts: str, minutes: int = 5) -> DataFrame:
     return rows.select(F.col("w.start").alias("window_start"), "level", "lines", "problem_lines")
 
 
-def parse_metric_lines(lines: DataFrame, column: str = "line") -> DataFrame:
-    """Metric name with labels, and value; comments, blanks and non-numbers are skipped."""
+def parse_metric_lines(lines: DataFrame, order: str, column: str = "line") -> DataFrame:
+    """Last value of each series (metric name with labels) by ``order``; comments, blanks and non-numbers are skipped."""
     parts = F.split(F.col(column), " ")
     rows = lines.where(~F.col(column).startswith("#") & (F.trim(column) != "") & (F.size(parts) >= 2))
-    return rows.select(
-        *[c for c in lines.columns if c != column],
-        parts[0].alias("metric"), float_or_null(parts[1]).alias("value"),
-    ).where("value is not null")
+    samples = rows.select(order, parts[0].alias("metric"), float_or_null(parts[1]).alias("value")).where("value is not null")
+    return samples.groupBy("metric").agg(F.max_by("value", order).alias("value"), F.max(order).alias(order))
 
 
 def metric_total(samples: DataFrame, name: str) -> DataFrame:
-    """Sum of the samples whose name contains ``name``, over all label sets."""
+    """Sum of the series whose name contains ``name``; NULL when one of them is not finite."""
     return samples.where(F.col("metric").contains(name)).agg(fixed_sum(F.col("value")).alias("total"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterline.functions import trips
 from meterline.functions.hashing import trip_key, vehicle_id
-from meterline.operators.validation import complete_rules, only_valid
+from meterline.operators.validation import complete_rules, failed_rules, only_valid
 from meterline.schemas import COMPLETE_TRIP, DEFAULT_FLEET_SIZE
 
 _INTS = ("vendor_id", "pu_zone_id", "do_zone_id", "passenger_count", "rate_code", "payment_type")
@@ -42,16 +42,30 @@ def with_trip_keys(df: DataFrame, salt: str, fleet_size: int = DEFAULT_FLEET_SIZ
 
 def to_complete_trip(curated: DataFrame, salt: str, source: str, as_of: dt.datetime) -> DataFrame:
     """Typed trip record per keyable curated row; missing values stay NULL."""
-    keyed = with_trip_keys(keyable(curated), salt)
+    return _typed(with_trip_keys(keyable(curated), salt), source, as_of)
+
+
+def _typed(keyed: DataFrame, source: str, as_of: dt.datetime, *also: str) -> DataFrame:
     now = timestamp_literal(as_of)
     return keyed.select(
         "trip_key", "vehicle_id_h", "pickup_ts", "dropoff_ts", "store_and_fwd_flag",
         *[F.col(c).cast("int").alias(c) for c in _INTS],
         *[F.col(c).cast("double").alias(c) for c in _DOUBLES],
-        F.lit(source).alias("source"), now.alias("created_at"), now.alias("updated_at"),
+        F.lit(source).alias("source"), now.alias("created_at"), now.alias("updated_at"), *also,
     )
 
 
+def judged_trips(curated: DataFrame, zones: DataFrame, salt: str, source: str, as_of: dt.datetime) -> DataFrame:
+    """Every curated row as staging row with ``reject_reason``: no key, first broken rule, or unknown zone; NULL for a good one."""
+    keyed = with_trip_keys(curated, salt).withColumn("key_reason", key_reject_reason())
+    rules = {name: ok for name, ok in complete_rules().items() if name not in ("trip_key", "vehicle_id_h")}
+    rows = _typed(keyed, source, as_of, "key_reason", "row_offset")
+    broken = F.concat(F.lit("rule:"), F.get(failed_rules(rules), F.lit(0)))
+    marked = _with_known_zones(rows.withColumn("rule_reason", broken), zones)
+    reason = F.coalesce("key_reason", "rule_reason", zone_reject_reason())
+    return marked.withColumn("reject_reason", reason).select(*COMPLETE_TRIP.names, "row_offset", "reject_reason")
+
+
 def stage_trips(curated: DataFrame, salt: str, source: str, as_of: dt.datetime) -> DataFrame:
     """Valid staging rows of a curated table.
 
@@ -107,15 +121,23 @@ def zone_orphans(trips_df: DataFrame, zones: DataFrame) -> DataFrame:
 
 def enforce_zones(trips_df: DataFrame, zones: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Trips whose two zones exist, and the rejected rest with the failed side."""
-    marked = _with_known_zones(trips_df, zones)
-    reason = F.when(F.col("pu_known").isNull(), "pu_zone_unknown").when(F.col("do_known").isNull(), "do_zone_unknown")
-    marked = marked.withColumn("reject_reason", reason).drop("pu_known", "do_known")
+    marked = with_zone_reason(trips_df, zones)
     return (
         marked.where("reject_reason is null").drop("reject_reason"),
         marked.where("reject_reason is not null"),
     )
 
 
+def with_zone_reason(trips_df: DataFrame, zones: DataFrame) -> DataFrame:
+    """Trips with ``reject_reason``: the side whose zone is unknown, NULL when both are known."""
+    marked = _with_known_zones(trips_df, zones)
+    return marked.withColumn("reject_reason", zone_reject_reason()).drop("pu_known", "do_known")
+
+
+def zone_reject_reason() -> Column:
+    return F.when(F.col("pu_known").isNull(), "pu_zone_unknown").when(F.col("do_known").isNull(), "do_zone_unknown")
+
+
 def _with_known_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
     pu = zones.select(F.col("zone_id").alias("pu_zone_id"), F.lit(True).alias("pu_known"))
     do = zones.select(F.col("zone_id").alias("do_zone_id"), F.lit(True).alias("do_known"))

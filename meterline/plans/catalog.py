@@ -13,18 +13,17 @@ from meterline.functions import parsing
 from meterline.functions.rows import once
 from meterline.operators import events as ev
 from meterline.operators import kpis, metrics, quality, staging, state, validation
-from meterline.operators.upsert import latest_per_key, merge_by_key
+from meterline.operators.upsert import latest_per_key
 from meterline.plans import profiles, reports
-from meterline.schemas import BATCH_SIZE_BUCKETS, COMPLETE_TRIP, LATENCY_BUCKETS
+from meterline.schemas import BATCH_SIZE_BUCKETS, LATENCY_BUCKETS
 from meterline.session import configure, work_dir
 from meterline.sources import files, star, zones
-from meterline.sources.tables import staging_table
+from meterline.sources.tables import mart_table, staging_table
 from meterline.streaming.assembly import start_assembly
 
 SALT = "meterline"
 AS_OF = dt.datetime(2025, 2, 1)
 ARRIVAL = ("seq_ts", "seq_id")
-STREAM_LIMIT_SECONDS = 1800
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,6 +78,10 @@ class Inputs:
     def state(self) -> DataFrame:
         return state.trip_state(self.events, ARRIVAL_OF_EVENTS)
 
+    @cached_property
+    def stream_trips(self) -> DataFrame:
+        return state.assembled_trips_full(self.state, AS_OF)
+
     @cached_property
     def messages(self) -> DataFrame:
         return star.event_messages(self.table("events"))
@@ -117,7 +120,7 @@ def joined(column: str):
 
 @query
 def curate_pending_months(t: Inputs) -> DataFrame:
-    """Months with orders whose lines have not all been shipped and curated yet."""
+    """Months with orders but without events: the months of the events count as curated."""
     def path(ts: str):
         return F.concat(F.lit("raw/yellow/"), F.date_format(ts, "yyyy/MM/"), F.lit("yellow_tripdata_"), month(ts), F.lit(".parquet"))
     raw = files.months_from_paths(t.table("orders").select(path("o_orderdate").alias("path")).distinct())
@@ -143,8 +146,10 @@ CURATED_COLUMNS = (
 
 @query
 def load_zones(t: Inputs) -> DataFrame:
+    """Rows to insert into an empty dimension, and into one that is filled already (none)."""
     candidate = zones.standardize_zones(star.zone_file(t.spark, t.sf_dir))
-    return zones.seed_zones(t.table("nation").where(F.col("n_regionkey").isNull()), candidate)
+    empty, filled = zones.seed_zones(t.zones.limit(0), candidate), zones.seed_zones(t.zones, candidate)
+    return empty.withColumn("target", F.lit("empty")).unionByName(filled.withColumn("target", F.lit("filled")))
 
 
 def _upsert_sides(t: Inputs) -> tuple[DataFrame, DataFrame]:
@@ -156,22 +161,43 @@ def _upsert_sides(t: Inputs) -> tuple[DataFrame, DataFrame]:
         "source": F.concat(F.lit("stream-"), F.col("seq").cast("string")),
         "total_amount": F.col("total_amount") + F.col("seq"),
     })
-    return latest_per_key(first, ["trip_key"]), update
+    return first, update
+
+
+def _run_folder(t: Inputs) -> str:
+    return f"{work_dir(t.spark)}/tables/{uuid.uuid4()}"
+
+
+def _upserted_trips(t: Inputs) -> DataFrame:
+    """A stored table after both deliveries."""
+    first, update = _upsert_sides(t)
+    stored = staging_table(f"{_run_folder(t)}/trips", keys_hold_time=True)
+    stored.upsert(t.spark, first, "first")
+    stored.upsert(t.spark, update, "late", ["seq"])
+    return stored.read(t.spark)
 
 
 @query
 def upsert_trips(t: Inputs) -> DataFrame:
-    target, update = _upsert_sides(t)
-    latest = latest_per_key(update, ["trip_key"], ["seq"]).select(*COMPLETE_TRIP.names)
-    return merge_by_key(target, latest, ["trip_key"])
+    return _upserted_trips(t)
 
 
 @query
 def upsert_kpis(t: Inputs) -> DataFrame:
-    target = kpis.kpi_backfill(t.staged, dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 10))
+    stored = mart_table(f"{_run_folder(t)}/kpis")
+    first = kpis.kpi_backfill(t.staged, dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 10))
+    stored.upsert(t.spark, kpis.mart_rows(first, AS_OF), "first")
     corrected = t.staged.withColumn("fare_amount", F.col("fare_amount") * 2)
     update = kpis.kpi_backfill(corrected, dt.datetime(2025, 1, 8), dt.datetime(2025, 1, 14))
-    return merge_by_key(target, update, ["zone_id", "hour_ts"])
+    stored.upsert(t.spark, kpis.mart_rows(update, AS_OF), "corrected")
+    return stored.read(t.spark).select("zone_id", "hour_ts", "trips", "unique_vehicles", *_as_doubles(MART_MEASURES))
+
+
+def _as_doubles(columns) -> list:
+    return [F.col(c).cast("double").alias(c) for c in columns]
+
+
+MART_MEASURES = ("avg_fare", "avg_tip", "avg_speed_kmh", "avg_distance_km", "avg_duration_min", "pct_card")
 
 
 @query
@@ -226,7 +252,7 @@ def trip_properties(t: Inputs) -> DataFrame:
 @query
 def safe_parse(t: Inputs) -> DataFrame:
     """Text that is sometimes a number: priorities, their first character, decimal and whole prices."""
-    orders = star.spread(t.table("orders").select("o_orderkey", "o_orderpriority", "o_totalprice"))
+    orders = t.table("orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     texts = once(orders, digit=F.substring("o_orderpriority", 1, 1),
                       price=F.format_string("%.2f", "o_totalprice"), nothing=F.lit(None).cast("string"))
     return texts.select(
@@ -239,7 +265,12 @@ def safe_parse(t: Inputs) -> DataFrame:
 
 @query
 def normalize_events(t: Inputs) -> DataFrame:
-    return ev.normalize_messages(t.messages).drop("seq_ts", "fare_amount", "tip_amount", "total_amount")
+    return _amounts_as_numbers(ev.normalize_messages(t.messages).drop("seq_ts"))
+
+
+def _amounts_as_numbers(df: DataFrame) -> DataFrame:
+    """Amounts are text in these records; engines write the same number differently."""
+    return df.withColumns({c: F.col(c).cast("double") for c in ("fare_amount", "tip_amount", "total_amount")})
 
 
 @query
@@ -346,8 +377,9 @@ def validate_contract_events(t: Inputs) -> DataFrame:
 @query
 def parse_events(t: Inputs) -> DataFrame:
     return t.parsed.select(
-        "seq_id", "event_id", "trip_key", "event_type", "event_ts", "vendor_id", "passenger_count", "fare_amount",
-        "trip_distance", "zone_id", "reject_reason",
+        "seq_id", "event_id", "trip_key", "event_type", "event_ts", "vendor_id", "vehicle_id_h", "source", "pickup_zone_id",
+        "passenger_count", "dropoff_zone_id", "trip_distance", "trip_duration_minutes", "fare_amount", "tip_amount",
+        "total_amount", "payment_type", "zone_id", "reject_reason",
     )
 
 
@@ -373,8 +405,8 @@ def trip_distance_stats(t: Inputs) -> DataFrame:
 
 @query
 def dq_documented_rules(t: Inputs) -> DataFrame:
-    known = t.zones.where(F.col("borough") != "ASIA")
-    return quality.documented_rules(known, quality.standardize_columns(t.raw))
+    """Trips of the event stream, whose zones go beyond the dimension."""
+    return quality.documented_rules(t.zones, t.stream_trips)
 
 
 @query
@@ -390,8 +422,10 @@ def recent_trips(t: Inputs) -> DataFrame:
 
 @query
 def trip_lookup(t: Inputs) -> DataFrame:
-    trips = _one_per_key(t.staged)
-    return staging.trip_by_key(trips, t.staged.agg(F.max("trip_key")).scalar())
+    """The greatest key, looked up in a stored table."""
+    stored = staging_table(f"{_run_folder(t)}/trips", keys_hold_time=True)
+    stored.upsert(t.spark, t.staged, "all")
+    return stored.lookup(t.spark, stored.read(t.spark).agg(F.max("trip_key")).scalar())
 
 
 @query
@@ -427,8 +461,8 @@ def top_zones_mart(t: Inputs) -> DataFrame:
 
 @query
 def fk_orphans(t: Inputs) -> DataFrame:
-    """Against a dimension without the zones of one borough, so that orphans exist."""
-    return staging.zone_orphans(t.staged, t.zones.where(F.col("borough") != "ASIA"))
+    """Trips of the event stream, whose zones go beyond the dimension."""
+    return staging.zone_orphans(t.stream_trips, t.zones)
 
 
 @query
@@ -440,10 +474,17 @@ def trips_with_zones(t: Inputs) -> DataFrame:
 
 @query
 def fk_enforce(t: Inputs) -> DataFrame:
-    kept, rejected = staging.enforce_zones(t.staged, t.zones.where(F.col("borough") != "ASIA"))
-    both = kept.select("trip_key", F.lit("kept").alias("outcome")).unionByName(
-        rejected.select("trip_key", F.col("reject_reason").alias("outcome")))
-    return both
+    marked = staging.with_zone_reason(t.stream_trips, t.zones)
+    return marked.select("trip_key", F.coalesce("reject_reason", F.lit("kept")).alias("outcome"))
+
+
+@query
+def reject_ledger(t: Inputs) -> DataFrame:
+    """What became of every raw trip: curation, then key, rules and zones of staging. The counts add up to the input."""
+    curation = quality.with_reject_reason(t.derived).groupBy("reject_reason").agg(F.count("*").alias("trips"))
+    staged = staging.judged_trips(t.curated, t.zones, SALT, "batch", AS_OF).groupBy("reject_reason").agg(F.count("*").alias("trips"))
+    rows = curation.where("reject_reason is not null").withColumn("stage", F.lit("curation")).unionByName(staged.withColumn("stage", F.lit("staging")))
+    return rows.select("stage", F.coalesce("reject_reason", F.lit("kept")).alias("reason"), "trips")
 
 
 # --------------------------------------------------------------- aggregations
@@ -456,9 +497,9 @@ def zone_hourly_kpis(t: Inputs) -> DataFrame:
 
 @query
 def kpi_full_refresh(t: Inputs) -> DataFrame:
-    """Mart rows of the full refresh, whose decimals are compared as text in whole cents."""
+    """Mart rows of the full refresh with all measures; the mart's decimals as numbers."""
     rows = kpis.mart_rows(kpis.kpi_full_refresh(t.staged), AS_OF)
-    return rows.select("zone_id", "hour_ts", "trips", "unique_vehicles", "created_at",
+    return rows.select("zone_id", "hour_ts", "trips", "unique_vehicles", *_as_doubles(MART_MEASURES), "created_at",
                        F.col("outlier_rate").isNull().alias("no_outlier_rate"))
 
 
@@ -499,9 +540,7 @@ def revenue_stats(t: Inputs) -> DataFrame:
 
 @query
 def reconcile_source(t: Inputs) -> DataFrame:
-    target, update = _upsert_sides(t)
-    latest = latest_per_key(update, ["trip_key"], ["seq"]).select(*COMPLETE_TRIP.names)
-    return reports.reconcile_source(merge_by_key(target, latest, ["trip_key"]))
+    return reports.reconcile_source(_upserted_trips(t))
 
 
 @query
@@ -679,14 +718,15 @@ def flatten_contract(t: Inputs) -> DataFrame:
 @query
 def event_state(t: Inputs) -> DataFrame:
     rows = state.event_state(t.events, ARRIVAL_OF_EVENTS)
-    return rows.select("trip_key", "event_type", "event_id", "timestamp", "vendor_id", "passenger_count",
-                       "trip_distance", "fare_amount", "zone_id")
+    return rows.select("trip_key", "event_type", "event_id", "timestamp", "vendor_id", "vehicle_id_h", "pickup_zone_id",
+                       "passenger_count", "dropoff_zone_id", "trip_distance", "fare_amount", "tip_amount",
+                       "total_amount", "payment_type", "zone_id")
 
 
 @query
 def field_state(t: Inputs) -> DataFrame:
     rows = state.field_state(ev.normalize_messages(t.messages), ARRIVAL)
-    return rows.drop("fare_amount", "tip_amount", "total_amount", "distance_km", "duration_min", "avg_speed_kmh")
+    return _amounts_as_numbers(rows)
 
 
 @query
@@ -726,9 +766,7 @@ def assembled_trips_stream(t: Inputs) -> DataFrame:
     trips = staging_table(f"{run}/trips")
     messages = star.event_messages(star.event_stream(t.spark, t.sf_dir))
     stream = start_assembly(messages, trips, f"{run}/checkpoint", AS_OF)
-    if not stream.awaitTermination(STREAM_LIMIT_SECONDS):
-        stream.stop()
-        raise TimeoutError("the stream did not end")
+    stream.awaitTermination()
     return trips.read(t.spark)
 
 
@@ -828,16 +866,15 @@ def log_parse(t: Inputs) -> DataFrame:
 
 @query
 def log_volume(t: Inputs) -> DataFrame:
-    logs = t.logs.join(t.table("events").select("event_id", "ts"), "event_id")
-    return metrics.log_volume(logs, "ts")
+    return metrics.log_volume(t.logs, "ts")
 
 
 @query
 def parse_metric_lines(t: Inputs) -> DataFrame:
-    return metrics.parse_metric_lines(star.metric_lines(t.spark, t.sf_dir))
+    return metrics.parse_metric_lines(star.metric_lines(t.spark, t.sf_dir), "event_id")
 
 
 @query
 def metric_total(t: Inputs) -> DataFrame:
-    samples = metrics.parse_metric_lines(star.metric_lines(t.spark, t.sf_dir))
+    samples = metrics.parse_metric_lines(star.metric_lines(t.spark, t.sf_dir), "event_id")
     return metrics.metric_total(samples, "trip_events_total")

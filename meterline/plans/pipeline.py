@@ -8,31 +8,46 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.operators import kpis, quality, staging
 from meterline.sources import files
-from meterline.sources.tables import KeyedTable, path_exists
+from meterline.sources.tables import KeyedTable, remove_path, touch
 
 
 def curate_months(spark: SparkSession, data_root: str, curated_path: str, force: bool = False) -> int:
-    """Curate the raw months without curated output; returns how many were taken.
+    """Curate the raw months that are not done; returns how many were taken.
 
-    Only the list of month files, one path each, comes to the driver. All months are one job.
+    Only the list of month files, one path each, comes to the driver. All months are one job. A month
+    is done when its marker is there, also when no row of it was good, so no curated row is read to
+    find out. What a month held before goes before it is written again: it may have no row now.
     """
     discovered = files.discover_months(spark, data_root)
-    done = discovered.limit(0).select("year", "month")
-    if path_exists(spark, curated_path):
-        done = spark.read.parquet(curated_path).select("year", "month")
+    done = spark.createDataFrame(files.done_months(spark, curated_path), "year int, month int")
     pending = files.pending_months(discovered, done, force)
-    paths = [row.path for row in pending.select("path").orderBy("path").collect()]
-    if paths:
-        raw = spark.read.option("mergeSchema", "true").parquet(*paths)
+    months = pending.select("path", "year", "month").orderBy("path").collect()
+    for m in months:
+        remove_path(spark, files.done_marker(curated_path, m.year, m.month))
+        remove_path(spark, f"{curated_path}/year={m.year}/month={m.month}")
+    if months:
+        raw = spark.read.option("mergeSchema", "true").parquet(*[m.path for m in months])
         files.write_curated(quality.curate(files.with_source_columns(raw)), curated_path)
-    return len(paths)
+    for m in months:
+        touch(spark, files.done_marker(curated_path, m.year, m.month))
+    return len(months)
 
 
 def load_staging(spark: SparkSession, curated: DataFrame, zones: DataFrame, table: KeyedTable, salt: str,
-                 as_of: dt.datetime, batch_id: str, source: str = "batch") -> None:
-    """Key, validate and check curated trips, then upsert them."""
-    kept, _ = staging.enforce_zones(staging.stage_trips(curated, salt, source, as_of), zones)
-    table.upsert(spark, kept, batch_id)
+                 as_of: dt.datetime, batch_id: str, source: str = "batch") -> dict[str, int]:
+    """Key, validate and check curated trips, then upsert them; returns rows rejected and keys upserted.
+
+    Rejected rows are kept with their reason beside the table, in ``rejects_path``.
+    """
+    judged = staging.judged_trips(curated, zones, salt, source, as_of)
+    rejects = rejects_path(table, batch_id)
+    judged.where("reject_reason is not null").write.mode("overwrite").parquet(rejects)
+    taken = table.upsert(spark, judged.where("reject_reason is null").select(*table.schema.names), batch_id)
+    return {"rejected": spark.read.parquet(rejects).count(), "upserted": taken}
+
+
+def rejects_path(table: KeyedTable, batch_id: str) -> str:
+    return f"{table.path}/_rejects/{batch_id}"
 
 
 def refresh_kpis(spark: SparkSession, trips: KeyedTable, mart: KeyedTable, as_of: dt.datetime, batch_id: str,

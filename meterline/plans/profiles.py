@@ -17,7 +17,6 @@ HISTOGRAM_CAPS = {"distance_km": 50.0, "duration_min": 60.0, "avg_speed_kmh": 10
 HISTOGRAM_BINS = 50
 MAX_MILES, MAX_MINUTES, MAX_MPH = 100, 180, 60
 KEY_METRICS = ("distance_km", "duration_min", "avg_speed_kmh", "fare_amount")
-WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
 def trips_by_hour(trips: DataFrame, ts: str) -> DataFrame:

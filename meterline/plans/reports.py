@@ -10,15 +10,18 @@ from meterline.operators.kpis import CARD
 
 
 def trip_report(trips: DataFrame) -> DataFrame:
-    return trips.agg(
-        F.count("*").alias("total_trips"),
+    """Totals; distinct zones are counted on one row per pair of zones, not on copies of the trips."""
+    amounts = {"fare_amount": "avg_fare", "tip_amount": "avg_tip", "total_amount": "avg_total"}
+    pairs = trips.groupBy("pu_zone_id", "do_zone_id").agg(
+        F.count("*").alias("_n"), *[fixed_sum(F.col(c)).alias(f"_{c}") for c in amounts], *[F.count(c).alias(f"_n_{c}") for c in amounts],
+        F.min("pickup_ts").alias("_first"), F.max("pickup_ts").alias("_last"))
+    return pairs.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_trips"),
         F.count_distinct("pu_zone_id").alias("pickup_zones"),
         F.count_distinct("do_zone_id").alias("dropoff_zones"),
-        fixed_avg(F.col("fare_amount")).alias("avg_fare"),
-        fixed_avg(F.col("tip_amount")).alias("avg_tip"),
-        fixed_avg(F.col("total_amount")).alias("avg_total"),
-        F.min("pickup_ts").alias("earliest_trip"),
-        F.max("pickup_ts").alias("latest_trip"),
+        *[(fixed_sum(F.col(f"_{c}")) / F.nullif(F.sum(f"_n_{c}"), F.lit(0))).alias(name) for c, name in amounts.items()],
+        F.min("_first").alias("earliest_trip"),
+        F.max("_last").alias("latest_trip"),
     )
 
 
@@ -51,12 +54,12 @@ def top_zones(trips: DataFrame, zones: DataFrame, n: int = 10) -> DataFrame:
 
 
 def top_zones_mart(kpis: DataFrame, zones: DataFrame, n: int = 10) -> DataFrame:
-    named = kpis.join(zones, "zone_id")
-    return named.groupBy("zone_name", "borough").agg(
-        F.sum("trips").alias("total_trips"),
-        fixed_avg(F.col("avg_fare")).alias("avg_fare"),
-        fixed_avg(F.col("avg_tip")).alias("avg_tip"),
-    ).orderBy(F.desc("total_trips"), "zone_name", "borough").limit(n)
+    """Busiest zone names of the mart, which shrinks to one row per zone before it meets the dimension."""
+    sums = {c: fixed_sum(F.col(c)).alias(f"_{c}") for c in ("avg_fare", "avg_tip")}
+    counts = [F.count(c).alias(f"_n_{c}") for c in sums]
+    per_zone = kpis.groupBy("zone_id").agg(F.sum("trips").alias("_trips"), *sums.values(), *counts)
+    averages = [(fixed_sum(F.col(f"_{c}")) / F.nullif(F.sum(f"_n_{c}"), F.lit(0))).alias(c) for c in sums]
+    return per_zone.join(zones, "zone_id").groupBy("zone_name", "borough").agg(F.sum("_trips").alias("total_trips"), *averages).orderBy(F.desc("total_trips"), "zone_name", "borough").limit(n)
 
 
 def revenue_stats(trips: DataFrame) -> DataFrame:

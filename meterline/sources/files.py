@@ -77,6 +77,18 @@ def months_from_paths(files: DataFrame, path_col: str = "path") -> DataFrame:
     return files.withColumns(month_of_path(F.col(path_col))).where("year is not null and month is not null")
 
 
+def done_marker(curated_path: str, year: int, month: int) -> str:
+    return f"{curated_path}/_done/{year}-{month:02d}"
+
+
+def done_months(spark: SparkSession, curated_path: str) -> list[tuple[int, int]]:
+    """Months with a marker: one name each."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{curated_path}/_done")
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in store.listStatus(folder)] if store.exists(folder) else []
+    return [(int(y), int(m)) for y, _, m in (n.partition("-") for n in names)]
+
+
 def pending_months(discovered: DataFrame, curated: DataFrame, force: bool = False) -> DataFrame:
     """Months still to curate: all of them when forced, else those without curated output."""
     if force:

@@ -20,12 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a table of few files; a table with more splits than cores stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw trip per order line."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -33,7 +27,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linestatus",
     )
     trips = (
-        spread(lines)
+        lines
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -100,7 +94,7 @@ def stream_events(events: DataFrame) -> DataFrame:
     renamed = F.expr("""case event_type when 'click' then 'trip_started' when 'view' then 'trip_ended'
                         when 'purchase' then 'payment_processed' when 'signup' then 'zone_entered'
                         when 'error' then 'zone_exited' else event_type end""")
-    events = once(events if events.isStreaming else spread(events), k=_event_number(), kind=renamed)
+    events = once(events, k=_event_number(), kind=renamed)
     started, ended, paid = (kind == t for t in ("trip_started", "trip_ended", "payment_processed"))
     moved = kind.isin("zone_entered", "zone_exited")
     fields = {
@@ -152,8 +146,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k < 20, F.concat_ws(" ", ts, level, message))
         .otherwise(F.concat_ws(" ", ts, level, F.concat(F.lit("["), component, F.lit("]")), message))
     )
-    events = once(spread(table(spark, sf_dir, "events")), k=_event_number())
-    return once(events, line=line).select("event_id", "line")
+    events = once(table(spark, sf_dir, "events"), k=_event_number())
+    return once(events, line=line).select("event_id", "ts", "line")
 
 
 def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,5 +162,5 @@ def metric_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 2 == 0, F.concat(F.lit("trip_events_total"), label, F.lit(" "), k.cast("string")))
         .otherwise(F.concat(F.lit("queue_lag_seconds"), label, F.lit(" "), k.cast("string")))
     )
-    events = once(spread(table(spark, sf_dir, "events")), k=_event_number())
+    events = once(table(spark, sf_dir, "events"), k=_event_number())
     return once(events, line=line).select("event_id", "line")

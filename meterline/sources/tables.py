@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from meterline.operators.upsert import latest_per_key, merge_by_key
 from meterline.schemas import COMPLETE_TRIP, ZONE_HOURLY_KPIS
-from meterline.session import work_dir
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -61,24 +60,37 @@ class KeyedTable:
             return spark.createDataFrame([], self._full_schema())
         return spark.read.schema(self._full_schema()).parquet(self.path)
 
-    def upsert(self, spark: SparkSession, updates: DataFrame, batch_id: str, order_by: Sequence[str] = ()) -> None:
-        """Insert or replace rows by key. ``batch_id`` names the delivery; repeating it is safe.
+    def lookup(self, spark: SparkSession, *key: object, day: dt.date | None = None) -> DataFrame:
+        """The row of a key. With its ``day`` one partition is read, else the key column filters the row groups."""
+        rows = self._stored(spark) if day is None else self._stored(spark).where(F.col(self.partition) == F.lit(day))
+        for name, value in zip(self.keys, key, strict=True):
+            rows = rows.where(F.col(name) == value)
+        return rows.drop(self.partition)
 
-        The merged content of every touched partition is first written to the shared work folder
+    def stage_path(self, batch_id: str) -> str:
+        """Where a delivery is prepared and remembered: below the table, so that it lives and goes with it."""
+        return f"{self.path}/_deliveries/{batch_id}"
+
+    def upsert(self, spark: SparkSession, updates: DataFrame, batch_id: str, order_by: Sequence[str] = ()) -> int:
+        """Insert or replace rows by key; returns the rows taken. ``batch_id`` names the delivery; repeating it is safe.
+
+        The merged content of every touched partition is first written beside the table's data
         and then replaces those partitions. A driver lost in the middle of the second step may
         leave a partition removed but not yet replaced; the repeated call publishes the finished
         copy again instead of computing a new one from the gap. A delivery that was published is
-        only remembered by an empty marker file.
+        only remembered by an empty marker file, and taking it again returns 0.
         """
-        stage = f"{work_dir(spark)}/upserts/{self.name}/{batch_id}"
+        stage = self.stage_path(batch_id)
         if path_exists(spark, f"{stage}/published"):
-            return
+            return 0
         if not path_exists(spark, f"{stage}/merged/_SUCCESS"):
             self._stage(spark, updates, order_by, stage)
+        taken = spark.read.parquet(f"{stage}/updates").count()
         self._publish(spark, stage)
         touch(spark, f"{stage}/published")
         for part in ("updates", "touched", "merged"):
             remove_path(spark, f"{stage}/{part}")
+        return taken
 
     def _stage(self, spark: SparkSession, updates: DataFrame, order_by: Sequence[str], stage: str) -> None:
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
@@ -118,10 +130,15 @@ class KeyedTable:
             remove_path(spark, f"{self.path}/{self.partition}={day}")
 
 
-def staging_table(path: str) -> KeyedTable:
-    """Complete trips by ``trip_key``, one partition per pickup day."""
+def staging_table(path: str, keys_hold_time: bool = False) -> KeyedTable:
+    """Complete trips by ``trip_key``, one partition per pickup day.
+
+    Batch keys are hashes of the pickup time among others, so a batch-only table may say
+    ``keys_hold_time`` and an upsert then reads no partition that the update does not touch. Keys of
+    event streams are given from outside, and a late correction can move a trip to another day.
+    """
     return KeyedTable("complete_trip", path, COMPLETE_TRIP, ("trip_key",), "pickup_day",
-                      lambda: F.to_date("pickup_ts"), key_sets_partition=False)
+                      lambda: F.to_date("pickup_ts"), key_sets_partition=keys_hold_time)
 
 
 def mart_table(path: str) -> KeyedTable:

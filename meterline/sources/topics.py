@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 EVENT_TOPIC = "trip-events"
-MAX_RECORDS_PER_POLL = 500
 
 
 def read_topic_stream(spark: SparkSession, servers: str, topic: str = EVENT_TOPIC,
-                      max_per_trigger: int = MAX_RECORDS_PER_POLL, **options: str) -> DataFrame:
-    """Streaming messages from the earliest offset; progress lives in the query's checkpoint."""
+                      max_per_trigger: int | None = None, **options: str) -> DataFrame:
+    """Streaming messages from the earliest offset; progress lives in the query's checkpoint.
+
+    A micro-batch takes all that waits unless ``max_per_trigger`` says less.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_per_trigger)
     )
+    if max_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
     return envelope(reader.options(**options).load())
 
 

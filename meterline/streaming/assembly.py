@@ -8,9 +8,10 @@ sink upserts by key, so a restarted query repeats at most one micro-batch withou
 from __future__ import annotations
 
 import datetime as dt
+from threading import Event
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from meterline.operators import state
 from meterline.operators.events import normalize_messages, parse_messages, valid_events
@@ -57,9 +58,36 @@ def delivery_id(batch: DataFrame, epoch: int) -> str:
     return f"{query_id}-{epoch}"
 
 
+class LoopStats(StreamingQueryListener):
+    """Messages read and micro-batches with data of one query, and the trips its sink took, over its whole run.
+
+    Reports are added as they come; the list a query keeps holds only the latest of them.
+    """
+
+    def __init__(self) -> None:
+        self.events = self.commits = self.trips = 0
+        self.query_id: str | None = None
+        self.ended = Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.id) == self.query_id and event.progress.numInputRows:
+            self.events += event.progress.numInputRows
+            self.commits += 1
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) == self.query_id:
+            self.ended.set()
+
+
 def start_assembly(messages: DataFrame, table: KeyedTable, checkpoint: str, as_of: dt.datetime,
-                   **trigger: object) -> StreamingQuery:
-    """Assemble trips from ``messages`` and upsert them into ``table``.
+                   stats: LoopStats | None = None, **trigger: object) -> StreamingQuery:
+    """Assemble trips from ``messages`` and upsert them into ``table``; ``stats`` is counted up on the way.
 
     A stateful query runs without adaptive execution. Only its own micro-batch does: the merge
     with the table runs in the caller's session, where skewed days are still split.
@@ -67,8 +95,15 @@ def start_assembly(messages: DataFrame, table: KeyedTable, checkpoint: str, as_o
     spark = messages.sparkSession
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        table.upsert(spark, batch, delivery_id(batch, epoch))
-
+        name = delivery_id(batch, epoch)
+        if stats:
+            stats.query_id = name.rpartition("-")[0]
+        taken = table.upsert(spark, batch, name)
+        if stats:
+            stats.trips += taken
+
+    if stats:
+        spark.streams.addListener(stats)
     return (
         assembled_stream(messages, as_of).writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
@@ -77,12 +112,3 @@ def start_assembly(messages: DataFrame, table: KeyedTable, checkpoint: str, as_o
         .start()
     )
 
-
-def loop_stats(query: StreamingQuery) -> dict[str, int]:
-    """Records read, trips emitted and commits of a query, from its progress reports."""
-    reports = [p for p in query.recentProgress if p["numInputRows"] > 0]
-    return {
-        "events": sum(p["numInputRows"] for p in reports),
-        "updated_trips": sum(op["numRowsUpdated"] for p in reports for op in p["stateOperators"][:1]),
-        "commits": len(reports),
-    }

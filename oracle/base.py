@@ -16,6 +16,12 @@ def favg(x: str) -> str:
     return f"({fsum(x)} / nullif(count({x}), 0))"
 
 
+# the mart's types, as numbers
+MART_DECIMALS = ", ".join(
+    f"CAST(CAST({c} AS DECIMAL({p}, 2)) AS DOUBLE) AS {c}" for c, p in {
+        "avg_fare": 10, "avg_tip": 10, "avg_speed_kmh": 8, "avg_distance_km": 8, "avg_duration_min": 8, "pct_card": 5}.items())
+
+
 def pct(part: str, whole: str) -> str:
     return f"(1e2 * ({part}) / nullif({whole}, 0))"
 
@@ -187,6 +193,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             CASE WHEN k = 60 THEN NULL ELSE dropoff_zone_id END AS dropoff_zone_id,
             CASE WHEN k = 60 THEN NULL ELSE trip_distance END AS trip_distance,
             CASE WHEN k = 60 THEN NULL ELSE fare_amount END AS fare_amount,
+            CASE WHEN k = 60 THEN NULL ELSE tip_amount END AS tip_amount,
+            CASE WHEN k = 60 THEN NULL ELSE total_amount END AS total_amount,
             CASE WHEN k = 60 THEN NULL ELSE payment_type END AS payment_type,
             CASE WHEN k = 60 THEN NULL ELSE zone_id END AS zone_id,
             CASE WHEN k NOT IN (50, 51, 60) THEN event_ts END AS event_ts),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.base import (
+    MART_DECIMALS,
     COMPLETE_RULES, CREATE_RULES, CURATED_COLUMNS, SALT, STAGED_COLUMNS, UPDATE_RULES, between, count_if, failed,
     favg, fsum, pct, seconds, with_ctes,
 )
@@ -87,8 +88,6 @@ _CONTRACT_FAILED = "CASE event_type " + " ".join(
     f"WHEN '{t}' THEN {failed(_BASE_RULES + r)}" for t, r in _CONTRACT_RULES.items()
 ) + f" ELSE concat_ws(',', nullif({failed(_BASE_RULES)}, ''), 'event_type') END"
 
-_KNOWN_ZONES = "known AS (SELECT * FROM zone WHERE borough <> 'ASIA')"
-
 SQL: dict[str, str] = {
     "curate_pending_months": """
         SELECT DISTINCT 'raw/yellow/' || strftime(o_orderdate, '%Y/%m/') || 'yellow_tripdata_'
@@ -103,7 +102,7 @@ SQL: dict[str, str] = {
                      AS avg_speed_kmh FROM t)
         SELECT {CURATED_COLUMNS} FROM s
         WHERE pickup_ts < dropoff_ts AND coalesce(avg_speed_kmh <= 200, true) AND total_amount >= 0"""),
-    "load_zones": with_ctes("zone", "SELECT * FROM zone"),
+    "load_zones": with_ctes("zone", "SELECT *, 'empty' AS target FROM zone"),
     "upsert_trips": with_ctes("uniq", f"{_UPSERT} SELECT * FROM merged"),
     "reconcile_source": with_ctes("uniq", f"""{_UPSERT}
         SELECT source, count(*) AS trips, min(pickup_ts) AS first_trip, max(pickup_ts) AS last_trip,
@@ -116,8 +115,16 @@ SQL: dict[str, str] = {
         latest AS (SELECT kpi.* REPLACE (doubled.avg_fare AS avg_fare)
                    FROM kpi JOIN doubled USING (zone_id, hour_ts)
                    WHERE hour_ts >= TIMESTAMP '2025-01-08 00:00:00' AND hour_ts < TIMESTAMP '2025-01-15 00:00:00')
-        SELECT * FROM target WHERE hour_ts < TIMESTAMP '2025-01-08 00:00:00'
-        UNION ALL SELECT * FROM latest"""),
+        SELECT CAST(zone_id AS INTEGER) AS zone_id, hour_ts, CAST(trips AS INTEGER) AS trips,
+               CAST(unique_vehicles AS INTEGER) AS unique_vehicles, {MART_DECIMALS}
+        FROM (SELECT * FROM target WHERE hour_ts < TIMESTAMP '2025-01-08 00:00:00' UNION ALL SELECT * FROM latest)"""),
+    "reject_ledger": with_ctes("flagged validated zone", """
+        WITH judged AS (SELECT CASE WHEN failed_rules <> '' THEN 'rule:' || split_part(failed_rules, ',', 1)
+                                    WHEN pu_zone_id NOT IN (SELECT zone_id FROM zone) THEN 'pu_zone_unknown'
+                                    WHEN do_zone_id NOT IN (SELECT zone_id FROM zone) THEN 'do_zone_unknown'
+                                    ELSE 'kept' END AS reason FROM validated)
+        SELECT 'curation' AS stage, reject_reason AS reason, count(*) AS trips FROM flagged WHERE reject_reason IS NOT NULL GROUP BY 2
+        UNION ALL SELECT 'staging', reason, count(*) FROM judged GROUP BY 2"""),
     "trips_first_n": with_ctes("uniq", "SELECT * FROM uniq ORDER BY pickup_ts, trip_key LIMIT 100"),
     "derived_fields": with_ctes("derived", """
         SELECT row_offset, pickup_ts AS tpep_pickup_datetime, trip_distance, distance_km, duration_min, avg_speed_kmh
@@ -177,28 +184,10 @@ SQL: dict[str, str] = {
     "dq_issue_counts": with_ctes("timed", _each(_ISSUES,
         "SELECT '{name}' AS issue, count(CASE WHEN {cond} THEN 1 END) AS row_count, "
         "1e2 * count(CASE WHEN {cond} THEN 1 END) / nullif(count(*), 0) AS row_pct FROM timed")),
-    "dq_documented_rules": with_ctes("raw zone", f"""
-        WITH {_KNOWN_ZONES} """ + _each({
-            "duration": "date_diff('microsecond', pickup_ts, dropoff_ts) BETWEEN 1000000 AND 86400000000",
-            "fare": "fare_amount BETWEEN CAST(0.01 AS DOUBLE) AND 500",
-            "zones": "pu_zone_id IN (SELECT zone_id FROM known) AND do_zone_id IN (SELECT zone_id FROM known)",
-            "chronological": "pickup_ts < dropoff_ts",
-        }, "SELECT '{name}' AS rule, count(CASE WHEN NOT coalesce({cond}, false) THEN 1 END) AS failed FROM raw")),
     "null_audit": with_ctes("record", "SELECT " + ", ".join(
         f"count(CASE WHEN {c} IS NULL THEN 1 END) AS null_{c}" for c in (
             "trip_key", "vendor_id", "pickup_ts", "dropoff_ts", "pu_zone_id", "do_zone_id", "vehicle_id_h",
             "passenger_count", "congestion_surcharge")) + " FROM record"),
-    "fk_orphans": with_ctes("stg zone", f"""
-        WITH {_KNOWN_ZONES}
-        SELECT CAST((SELECT count(*) FROM stg t LEFT JOIN known z ON t.pu_zone_id = z.zone_id WHERE z.zone_id IS NULL)
-                    AS BIGINT) AS invalid_pu_zone_refs,
-               CAST((SELECT count(*) FROM stg t LEFT JOIN known z ON t.do_zone_id = z.zone_id WHERE z.zone_id IS NULL)
-                    AS BIGINT) AS invalid_do_zone_refs"""),
-    "fk_enforce": with_ctes("stg zone", f"""
-        WITH {_KNOWN_ZONES}
-        SELECT trip_key, CASE WHEN pu_zone_id NOT IN (SELECT zone_id FROM known) THEN 'pu_zone_unknown'
-                              WHEN do_zone_id NOT IN (SELECT zone_id FROM known) THEN 'do_zone_unknown'
-                              ELSE 'kept' END AS outcome FROM stg"""),
     "trips_with_zones": with_ctes("stg zone", """
         SELECT trip_key, pu_zone_id, p.borough AS pu_borough, p.zone_name AS pu_zone_name,
                p.service_zone AS pu_service_zone, do_zone_id, d.borough AS do_borough, d.zone_name AS do_zone_name,

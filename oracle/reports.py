@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import AS_OF, CURATED_COLUMNS, count_if, favg, fsum, pct, seconds, with_ctes
+from oracle.base import AS_OF, CURATED_COLUMNS, MART_DECIMALS, count_if, favg, fsum, pct, seconds, with_ctes
 
 _NUMERIC = ("passenger_count", "trip_distance", "payment_type", "fare_amount", "tip_amount", "total_amount",
             "distance_km", "duration_min", "avg_speed_kmh")
@@ -46,7 +46,8 @@ SQL: dict[str, str] = {
     "zone_hourly_kpis": with_ctes("kpi", "SELECT * FROM kpi"),
     "kpi_full_refresh": with_ctes("kpi", f"""
         SELECT CAST(zone_id AS INTEGER) AS zone_id, hour_ts, CAST(trips AS INTEGER) AS trips,
-               CAST(unique_vehicles AS INTEGER) AS unique_vehicles, {AS_OF} AS created_at, true AS no_outlier_rate
+               CAST(unique_vehicles AS INTEGER) AS unique_vehicles,
+               {MART_DECIMALS}, {AS_OF} AS created_at, true AS no_outlier_rate
         FROM kpi"""),
     "kpi_incremental": with_ctes("kpi", """
         SELECT * FROM kpi WHERE hour_ts >= TIMESTAMP '2025-01-06 12:00:00' AND hour_ts < TIMESTAMP '2025-01-08 00:00:00'"""),

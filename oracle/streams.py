@@ -115,9 +115,10 @@ _METRIC_LINES = f"""mlines AS (
         ELSE 'queue_lag_seconds' || label || ' ' || n END AS line
     FROM (SELECT event_id, {k()} AS n, '{{event_type="' || event_type || '",shard="' || user_id || '"}}' AS label FROM events)),
     samples AS (
-        SELECT event_id, split_part(line, ' ', 1) AS metric, TRY_CAST(split_part(line, ' ', 2) AS DOUBLE) AS value
-        FROM mlines WHERE line NOT LIKE '#%' AND trim(line) <> '' AND contains(line, ' ')
-             AND TRY_CAST(split_part(line, ' ', 2) AS DOUBLE) IS NOT NULL)"""
+        SELECT metric, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM (
+            SELECT event_id, split_part(line, ' ', 1) AS metric, TRY_CAST(split_part(line, ' ', 2) AS DOUBLE) AS value
+            FROM mlines WHERE line NOT LIKE '#%' AND trim(line) <> '' AND contains(line, ' ')
+                 AND TRY_CAST(split_part(line, ' ', 2) AS DOUBLE) IS NOT NULL) GROUP BY metric)"""
 
 _ALL_TYPES = {"trip_started": 0, "trip_ended": 1, "passenger_picked_up": 2, "passenger_dropped_off": 3,
               "payment_processed": 4, "zone_entered": 5, "zone_exited": 6}
@@ -131,9 +132,19 @@ def _latest_value(c: str, condition: str | None = None, quoted: str | None = Non
 _FIELD_STATE = ", ".join(
     [f"{_latest_value(c)} AS {c}" for c in ("vendor_id", "vehicle_id_h", "pickup_zone_id", "dropoff_zone_id",
                                             "passenger_count", "payment_type")]
+    + [f"CAST({_latest_value(c)} AS DOUBLE) AS {c}" for c in ("fare_amount", "tip_amount", "total_amount")]
+    + [f"CAST(NULL AS VARCHAR) AS {c}" for c in ("distance_km", "duration_min", "avg_speed_kmh")]
     + [f"arg_max({iso('event_ts')}, seq_id) FILTER (WHERE event_type = '{t}' AND event_ts IS NOT NULL) AS {t}_timestamp, "
        + f"{_latest_value('event_id', f'''event_type = '{t}' ''')} AS {t}_event_id" for t in _ALL_TYPES])
 
+_STREAM_TRIPS = f"""
+        SELECT s.trip_key, n.vendor_id, st.event_ts AS pickup_ts, en.event_ts AS dropoff_ts,
+               st.pickup_zone_id AS pu_zone_id, en.dropoff_zone_id AS do_zone_id,
+               coalesce(st.passenger_count, 0) AS passenger_count, en.trip_distance,
+               coalesce(pa.fare_amount, 0) AS fare_amount, coalesce(pa.tip_amount, 0) AS tip_amount,
+               coalesce(pa.total_amount, 0) AS total_amount, pa.payment_type, n.vehicle_id_h, 'stream' AS source,
+               {AS_OF} AS created_at, {AS_OF} AS updated_at FROM state s {_LATEST} WHERE {_COMPLETE}"""
+
 SQL: dict[str, str] = {
     "trip_events": with_ctes("stg", f"""
         WITH {_TRIP_EVENTS}
@@ -148,20 +159,23 @@ SQL: dict[str, str] = {
         SELECT trip_key, event_type, event_ts, is_late,
                CASE WHEN is_late THEN event_ts + INTERVAL 600 SECOND ELSE event_ts END AS arrival_ts FROM marked"""),
     "parse_events": with_ctes("parsed", """
-        SELECT seq_id, event_id, trip_key, event_type, event_ts, vendor_id, passenger_count, fare_amount, trip_distance,
-               zone_id, reject_reason FROM parsed"""),
+        SELECT seq_id, event_id, trip_key, event_type, event_ts, vendor_id, vehicle_id_h, source, pickup_zone_id,
+               passenger_count, dropoff_zone_id, trip_distance, CAST(NULL AS DOUBLE) AS trip_duration_minutes,
+               fare_amount, tip_amount, total_amount, payment_type, zone_id, reject_reason FROM parsed"""),
     "normalize_events": with_ctes("msg", f"""
         SELECT seq_id, trip_key, event_type, {iso('event_ts')} AS "timestamp", event_id,
                CAST(vendor_id AS VARCHAR) AS vendor_id, vehicle_id_h, CAST(pickup_zone_id AS VARCHAR) AS pickup_zone_id,
                CAST(dropoff_zone_id AS VARCHAR) AS dropoff_zone_id, CAST(passenger_count AS VARCHAR) AS passenger_count,
-               CAST(payment_type AS VARCHAR) AS payment_type, CAST(NULL AS VARCHAR) AS distance_km,
+               CAST(payment_type AS VARCHAR) AS payment_type, fare_amount, tip_amount, total_amount,
+               CAST(NULL AS VARCHAR) AS distance_km,
                CAST(NULL AS VARCHAR) AS duration_min, CAST(NULL AS VARCHAR) AS avg_speed_kmh,
                event_ts IS NULL AS bad_timestamp
         FROM msg WHERE trip_key <> '' AND event_type <> ''"""),
     "event_type_counts": with_ctes("parsed", """
         SELECT event_type, source AS service, count(*) AS events FROM parsed WHERE reject_reason IS NULL GROUP BY 1, 2"""),
     "event_state": with_ctes("typed", """
-        SELECT trip_key, event_type, event_id, "timestamp", vendor_id, passenger_count, trip_distance, fare_amount, zone_id
+        SELECT trip_key, event_type, event_id, "timestamp", vendor_id, vehicle_id_h, pickup_zone_id, passenger_count,
+               dropoff_zone_id, trip_distance, fare_amount, tip_amount, total_amount, payment_type, zone_id
         FROM typed"""),
     "field_state": with_ctes("msg", f"""
         SELECT trip_key, {_FIELD_STATE} FROM msg WHERE trip_key <> '' AND event_type <> '' GROUP BY 1"""),
@@ -192,13 +206,25 @@ SQL: dict[str, str] = {
         SELECT s.trip_key, n.vendor_id, coalesce(pa.fare_amount, 0) AS fare_amount,
                coalesce(st.passenger_count, 0) AS passenger_count, coalesce(pa.tip_amount, 0) AS tip_amount,
                coalesce(pa.total_amount, 0) AS total_amount FROM state s {_LATEST} WHERE {_COMPLETE}"""),
-    "assembled_trips_full": with_ctes("state typed newest", f"""
-        SELECT s.trip_key, n.vendor_id, st.event_ts AS pickup_ts, en.event_ts AS dropoff_ts,
-               st.pickup_zone_id AS pu_zone_id, en.dropoff_zone_id AS do_zone_id,
-               coalesce(st.passenger_count, 0) AS passenger_count, en.trip_distance,
-               coalesce(pa.fare_amount, 0) AS fare_amount, coalesce(pa.tip_amount, 0) AS tip_amount,
-               coalesce(pa.total_amount, 0) AS total_amount, pa.payment_type, n.vehicle_id_h, 'stream' AS source,
-               {AS_OF} AS created_at, {AS_OF} AS updated_at FROM state s {_LATEST} WHERE {_COMPLETE}"""),
+    "assembled_trips_full": with_ctes("state typed newest", _STREAM_TRIPS),
+    "fk_orphans": with_ctes("state typed newest zone", f"""
+        WITH trips AS ({_STREAM_TRIPS})
+        SELECT CAST((SELECT count(*) FROM trips t LEFT JOIN zone z ON t.pu_zone_id = z.zone_id WHERE z.zone_id IS NULL)
+                    AS BIGINT) AS invalid_pu_zone_refs,
+               CAST((SELECT count(*) FROM trips t LEFT JOIN zone z ON t.do_zone_id = z.zone_id WHERE z.zone_id IS NULL)
+                    AS BIGINT) AS invalid_do_zone_refs"""),
+    "fk_enforce": with_ctes("state typed newest zone", f"""
+        WITH trips AS ({_STREAM_TRIPS})
+        SELECT trip_key, CASE WHEN pu_zone_id NOT IN (SELECT zone_id FROM zone) THEN 'pu_zone_unknown'
+                              WHEN do_zone_id NOT IN (SELECT zone_id FROM zone) THEN 'do_zone_unknown'
+                              ELSE 'kept' END AS outcome FROM trips"""),
+    "dq_documented_rules": with_ctes("state typed newest zone", f"WITH trips AS ({_STREAM_TRIPS}) " + " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, count(CASE WHEN NOT coalesce({cond}, false) THEN 1 END) AS failed FROM trips" for name, cond in {
+            "duration": "date_diff('microsecond', pickup_ts, dropoff_ts) BETWEEN 1000000 AND 86400000000",
+            "fare": "fare_amount BETWEEN CAST(0.01 AS DOUBLE) AND 500",
+            "zones": "pu_zone_id IN (SELECT zone_id FROM zone) AND do_zone_id IN (SELECT zone_id FROM zone)",
+            "chronological": "pickup_ts < dropoff_ts",
+        }.items())),
     "assembled_trips_stream": with_ctes("good_typed good_newest", f"""
         SELECT n.trip_key, n.vendor_id, st.event_ts AS pickup_ts, en.event_ts AS dropoff_ts,
                st.pickup_zone_id AS pu_zone_id, en.dropoff_zone_id AS do_zone_id,

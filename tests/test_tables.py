@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from meterline.operators import kpis
 from meterline.operators.upsert import latest_per_key
 from meterline.schemas import COMPLETE_TRIP
-from meterline.session import work_dir
 from meterline.sources.tables import mart_table, path_exists, staging_table
 
 D = dt.datetime
@@ -53,7 +52,7 @@ def test_interrupted_publish_is_completed(spark, tmp_path):
     table = staging_table(str(tmp_path / "t"))
     table.upsert(spark, trips(spark, ("a", D(2025, 1, 1), 1), ("b", D(2025, 1, 1), 2)), "s4-1")
     update = trips(spark, ("b", D(2025, 1, 1), 5))
-    stage = f"{work_dir(spark)}/upserts/complete_trip/s4-2"
+    stage = table.stage_path("s4-2")
     table._stage(spark, update, (), stage)
     shutil.rmtree(tmp_path / "t" / "pickup_day=2025-01-01")
     table.upsert(spark, update, "s4-2")
@@ -61,6 +60,37 @@ def test_interrupted_publish_is_completed(spark, tmp_path):
     assert path_exists(spark, f"{stage}/published") and not path_exists(spark, f"{stage}/merged")
 
 
+def test_delivery_belongs_to_its_table(spark, tmp_path):
+    """One delivery name for two tables, and for a table that was removed and built again."""
+    one, two = staging_table(str(tmp_path / "one")), staging_table(str(tmp_path / "two"))
+    rows = trips(spark, ("a", D(2025, 1, 1), 1))
+    assert [t.upsert(spark, rows, "load-2025-01") for t in (one, two, one)] == [1, 1, 0]
+    assert one.read(spark).count() == two.read(spark).count() == 1
+    shutil.rmtree(tmp_path / "one")
+    assert one.upsert(spark, rows, "load-2025-01") == 1 and one.read(spark).count() == 1
+
+
+def test_keys_that_hold_the_day_need_no_look_at_the_table(spark, tmp_path):
+    rows = trips(spark, ("a", D(2025, 1, 1), 1), ("b", D(2025, 1, 2), 2)).withColumn("pickup_day", F.to_date("pickup_ts"))
+    for holds, scans in ((True, 1), (False, 2)):
+        table = staging_table(str(tmp_path / f"t{holds}"), holds)
+        table.upsert(spark, rows.drop("pickup_day"), "s8-1")
+        update = spark.createDataFrame(rows.where("trip_key = 'b'").collect(), rows.schema)
+        touched = table._touched(table._stored(spark), update)
+        assert touched._jdf.queryExecution().optimizedPlan().toString().count("Relation") == scans - 1
+        table.upsert(spark, update.drop("pickup_day"), "s8-2")
+        assert table.read(spark).count() == 2
+
+
+def test_lookup_by_key(spark, tmp_path):
+    table = staging_table(str(tmp_path / "t"))
+    table.upsert(spark, trips(spark, ("a", D(2025, 1, 1), 1), ("b", D(2025, 1, 2), 2)), "s9-1")
+    assert [r.total_amount for r in table.lookup(spark, "b").collect()] == [2.0]
+    assert table.lookup(spark, "b", day=dt.date(2025, 1, 1)).isEmpty() and table.lookup(spark, "z").isEmpty()
+    plan = table.lookup(spark, "b", day=dt.date(2025, 1, 2))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(trip_key), EqualTo(trip_key,b)]" in plan
+
+
 def test_last_write_wins_inside_a_batch(spark, tmp_path):
     table = staging_table(str(tmp_path / "t"))
     batch = trips(spark, ("a", D(2025, 1, 1), 5), ("a", D(2025, 1, 1), 3)).withColumn(
