@@ -112,7 +112,8 @@ def without_runs(docs: DataFrame) -> DataFrame:
     """``doc_id, text, n_lines, n_deleted, gone``: every row with its text after deletion."""
     gone = saved(deleted_lines(docs), "deleted").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), "gone")
     rows = docs.select("doc_id", "text")
-    joined = rows.join(gone, rows["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64("text") == gone["_text"]), "left")
+    # both sides grow with the corpus, so they meet by a shuffle at every size
+    joined = rows.join(gone.hint("merge"), rows["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64("text") == gone["_text"]), "left")
     lines = F.split("text", "\n")
     rest = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
     return joined.select(
