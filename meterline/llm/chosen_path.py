@@ -254,7 +254,8 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     groups = components(candidate_edges(sets))
     wanted = saved(groups.join(sets.select("v", "copies", "text_hash"), "v").withColumnRenamed("text_hash", "want"), "candidates")
     texts = docs.select("text", F.xxhash64("text").alias("text_hash"))
-    members = texts.join(wanted, F.col("text_hash") == F.col("want")).groupBy("v").agg(F.first("label").alias("label"), F.first("copies").alias("copies"), F.first("text").alias("text"))
+    # the wanted sets grow with the corpus, so texts meet them by a shuffle at every size
+    members = texts.join(wanted.hint("merge"), F.col("text_hash") == F.col("want")).groupBy("v").agg(F.first("label").alias("label"), F.first("copies").alias("copies"), F.first("text").alias("text"))
     found = saved(verify(members), "links")
     classes = components(found.select(F.col("root").alias("a"), F.col("v").alias("b")))
     links = found.groupBy("v").agg(F.sum("links").alias("links"))
@@ -270,7 +271,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, columns unchanged, with one row of each class; texts without words stay."""
     rows = saved(near_duplicates(docs), "near-duplicates")
     gone = rows.where("NOT keeper").select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_text")).distinct()
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_text"]), "left_anti")
+    kept = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_text"]), "left_anti")
     twice = rows.where("keeper AND n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1").select(F.col("doc_id").alias("_twice"), F.col("text_hash").alias("_text"))
     twice = saved(twice, "repeated")
     if twice.isEmpty():
