@@ -36,7 +36,7 @@ PICKS = 2
 SKETCH = 64
 LEAF = 2000
 DEPTH = 3
-CHUNK = 128
+CHUNK = 64
 #: Shared part of a sketch that links loosely, and the part that makes a set as good as the pivot.
 LOOSE, EQUAL = 0.6, 0.95
 LOOSE_SIZE = 0.6
@@ -131,37 +131,27 @@ class Overlaps:
         return np.bincount(self.owners[where], minlength=len(self.size))
 
 
-class Union:
-    """Smallest member of the local component of each row."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = i = self.up[self.up[i]]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        a, b = self.root(i), self.root(j)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
+def unite(roots: np.ndarray, p: int, linked: np.ndarray) -> None:
+    """Give ``p``, the linked rows and all that shares a component with them the smallest root among them."""
+    met = np.unique(roots[linked])
+    met = met[met != roots[p]]
+    if len(met):
+        met = np.append(met, roots[p])
+        roots[np.isin(roots, met)] = met.min()
 
 
 def bucket_links(v: list[int], n: np.ndarray, sketches: list[np.ndarray]) -> list[tuple[int, int]]:
     """One edge from each linked set of a bucket to the first of its local component."""
-    union, meet, retired = Union(len(v)), Overlaps(sketches), np.zeros(len(v), dtype=bool)
+    roots, meet, retired = np.arange(len(v)), Overlaps(sketches), np.zeros(len(v), dtype=bool)
     for p in range(len(v)):
         if retired[p]:
             continue
         shared, least = meet.of(p), np.minimum(meet.size, meet.size[p])
         ratio = np.minimum(n, n[p]) / np.maximum(n, n[p])
         linked = (shared >= LOOSE * least) & (ratio >= LOOSE_SIZE)
-        for j in np.flatnonzero(linked):
-            union.join(p, int(j))
+        unite(roots, p, linked)
         retired |= linked & (shared >= EQUAL * least) & (ratio >= EQUAL)
-    roots = [union.root(i) for i in range(len(v))]
-    return [(v[r], v[i]) for i, r in enumerate(roots) if r != i]
+    return [(v[r], v[i]) for i, r in enumerate(roots.tolist()) if r != i]
 
 
 def _split(large: DataFrame, sets: DataFrame) -> DataFrame:
@@ -229,16 +219,15 @@ def verify(members: DataFrame) -> DataFrame:
             return zip(*[batch.column(c).to_pylist() for c in ("v", "copies", "i", "inside")], [shingles(t, cache) for t in batch.column("text").to_pylist()], strict=True)
         for _, group in grouped(batches, "key", read):
             v, copies, side, inside = [m[0] for m in group], np.array([m[1] for m in group]), np.array([m[2] for m in group]), group[0][3]
-            meet, union, links = Overlaps([m[4] for m in group]), Union(len(v)), []
+            meet, roots, links = Overlaps([m[4] for m in group]), np.arange(len(v)), []
             for p in range(len(v)):
                 shared = meet.of(p)
                 alike = shared >= SIMILARITY * (meet.size + meet.size[p] - shared) - 1e-9
                 alike &= side == side[p] if inside else side != side[p]
                 alike[p] = False
                 links.append(int(copies[alike].sum()))
-                for j in np.flatnonzero(alike):
-                    union.join(p, int(j))
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array(links, pa.int64()), pa.array([v[union.root(i)] for i in range(len(v))], pa.int64())], names=["v", "links", "root"])
+                unite(roots, p, alike)
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array(links, pa.int64()), pa.array([v[r] for r in roots.tolist()], pa.int64())], names=["v", "links", "root"])
     return rows.repartition("key").sortWithinPartitions("key", "v").mapInArrow(each, "v bigint, links bigint, root bigint")
 
 

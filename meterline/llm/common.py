@@ -51,7 +51,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, remembered; forgets everything when it holds too many."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 

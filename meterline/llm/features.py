@@ -30,7 +30,7 @@ def feature(name: str) -> int:
 class Words(dict):
     """Raw word to its feature; forgets everything when it holds too many."""
 
-    most = 400_000
+    most = 100_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.most:
