@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
 import numpy as np
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.session import configure, work_dir
 
+# functions travel to the executors with their code, which need not have this package
+cloudpickle.register_pickle_by_value(sys.modules["meterline.llm"])
+
 #: Rows a Python task holds at once; texts may be long.
 ROWS_PER_BATCH = "500"
 

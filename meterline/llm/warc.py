@@ -32,6 +32,8 @@ ROLL_BYTES = 256 << 20
 #: Ranges with a smaller gap are read together, up to a run of this size.
 GAP_BYTES = 64 << 10
 RUN_BYTES = 8 << 20
+#: About so much is read by one task.
+TASK_BYTES = 16 << 20
 INDEX = "file string, offset bigint, length bigint, url string, payload_digest string, page_id bigint, record_type string, refers_to bigint"
 RECORD = "page_id bigint, url string, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint, payload binary"
 
@@ -152,7 +154,10 @@ def read_records(selected: DataFrame, payloads: bool = True) -> DataFrame:
                     rows.append((*[found[k] for k in ("page_id", "url", "record_type", "refers_to", "payload_digest")], None if body is None else len(body), body if payloads else None))
                 kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in RECORD.split(", ")])
-    return plan_reads(selected).select("file", "start", "stop", "parts").mapInArrow(read, RECORD)
+    total = selected.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    # rows of the plan are small and what they point at is not: tasks are dealt by the bytes to read
+    runs = plan_reads(selected).repartition(max(1, -(-total // TASK_BYTES)), "file", "run")
+    return runs.select("file", "start", "stop", "parts").mapInArrow(read, RECORD)
 
 
 def digest(index: DataFrame) -> DataFrame:
