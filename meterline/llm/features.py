@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ def shape(text: str, counts: Counter, total: int) -> list[int]:
     """Classes of symbol, capital, exclamation, variety and stutter shares, and of length."""
     words = max(total, 1)
     symbols = sum(map(text.count, SYMBOLS)) / words
-    capitals = sum(n for w, n in counts.items() if len(w) > 1 and w.isupper()) / words
+    capitals = sum(counts[w] for w in filter(str.isupper, counts) if len(w) > 1) / words
     top = max(counts.values(), default=0) / words
     variety = len(counts) / words
     size = min(total, 1 << 20).bit_length()
@@ -65,7 +66,7 @@ def features(text: str | None, cache: Words) -> tuple[set[int], int]:
     found = set(map(cache.__getitem__, counts))
     found.update(shape(text, counts, len(words)))
     if len(words) > 1:
-        again = sum(a == b for a, b in zip(words, words[1:], strict=False)) / len(words)
+        again = sum(map(eq, words, words[1:])) / len(words)
         found.add(feature(f"stutter:{_level(again)}"))
     return found, len(words)
 
