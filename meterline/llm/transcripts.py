@@ -30,6 +30,8 @@ from meterline.llm.common import saved
 LINE_BITS = 20
 CHUNK_BITS = LINE_BITS + 6
 LEAST_MARKER = 3
+#: Weight, in lines, of what all roles share against what a role shows itself.
+LEAN = 2.0
 LENGTHS = (40, 120, 400)
 WITH_COLON = re.compile(r"^\W{0,4}([A-Za-z]{1,14})\W{0,2}:[*_\s]*")
 WITH_FRAME = re.compile(r"^\s*(?:#{1,6}\s*|\[|<\|)([A-Za-z]{1,14})(?:\]|\|>)?\s*")
@@ -119,7 +121,7 @@ def train(known: DataFrame) -> Hmm:
         return Hmm((("unknown", True), ("unknown", False)), np.array([0.0, -30.0]), np.array([[-30.0, 0.0], [-30.0, 0.0]]), {}, {k: np.zeros(2) for k in ("marker", "length", "asks", "after_blank")})
     at = {s: i for i, s in enumerate(names)}
     n = len(names)
-    start, move = np.full(n, 0.5), np.full((n, n), 0.5)
+    start, move = np.full(n, 0.1), np.full((n, n), 0.1)
     for r in moves:
         if r["before"] is None:
             start[at[r["state"]]] += r["n"]
@@ -136,12 +138,15 @@ def train(known: DataFrame) -> Hmm:
     for r in common:
         name, _, value = r["sign"].partition("=")
         table.setdefault((name, value), np.zeros(n))[at[r["state"]]] = r["n"]
+    # a rare role knows few values: it leans on all lines that begin a turn, or on all that do not
+    kin = np.array([[a.rpartition("/")[2] == b.rpartition("/")[2] for b in names] for a in names], dtype=float)
     emit, unseen = {}, {}
     for name in ("marker", "length", "asks", "after_blank"):
         own = {k: v for k, v in table.items() if k[0] == name}
-        whole = sum(own.values(), np.zeros(n)) + 0.5 * (len(own) + 1)
-        emit |= {k: np.log((v + 0.5) / whole) for k, v in own.items()}
-        unseen[name] = emit.get((name, OTHER), np.log(0.5 / whole))
+        whole = sum(own.values(), np.zeros(n))
+        shared = {k: (kin @ v + 0.5) / (kin @ whole + 0.5 * (len(own) + 1)) for k, v in own.items()}
+        emit |= {k: np.log((v + LEAN * shared[k]) / (whole + LEAN)) for k, v in own.items()}
+        unseen[name] = emit.get((name, OTHER), np.log(LEAN * 0.5 / (kin @ whole + 0.5 * (len(own) + 1)) / (whole + LEAN)))
     states = tuple((s.rpartition("/")[0], s.endswith("/1")) for s in names)
     return Hmm(states, np.log(start / start.sum()), np.log(move / move.sum(axis=1, keepdims=True)), emit, unseen)
 
