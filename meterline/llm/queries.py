@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.llm import chosen_path, decontaminate, grading, line_runs, mixing, rules, sanitise, sharding, transcripts, warc
 from meterline.llm.common import prepare, table
+from meterline.llm.oracle_sql import SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,4 +86,3 @@ QUERIES: dict[str, Query] = {
     "op9_winnowing": op9_winnowing,
     "op10_rule_ledger": op10_rule_ledger,
 }
-SQL: dict[str, str] = {}
