@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLOTS = 256
-POINTS = 200
-SKETCH_ACCURACY = 2_000
+POINTS = 500
+SKETCH_ACCURACY = 5_000
 MARGIN = 2.0 / POINTS
 
 
@@ -49,19 +49,18 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     """``(metric, probability, quantile)`` with linear interpolation between the closest ranks.
 
     1. A sketch gives two close cut values around each probability.
-    2. Equal values are counted, so a value that fills a third of the rows becomes one row; the
-       counts per segment between cuts are then exact.
-    3. The segments that hold a wanted rank are known exactly, and only their values are ordered.
-    The sketch decides how narrow those segments are, never what the answer is.
+    2. Rows are counted per segment between cuts, where they are read; these few counts are exact.
+    3. The segments that hold a wanted rank are then known, and only their values are shuffled, equal
+       ones as one row with their count, and ordered.
+    The sketch decides how narrow those segments are (about ``2 * MARGIN`` of a column), never what the answer is.
     """
     if not probabilities:
         raise ValueError("no probabilities")
     edges = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-MARGIN, MARGIN)})
     # one row per column with a fixed number of cuts: bounded whatever the data
     cuts = F.broadcast(cut_values(df, columns, edges))
-    counted = long_form(df, columns).groupBy("metric", "value").agg(F.count("*").alias("n"))
-    counted = counted.join(cuts, "metric").withColumn("segment", _segment(len(edges))).drop("cuts")
-    segments = counted.groupBy("metric", "segment").agg(F.sum("n").alias("n"))
+    placed = long_form(df, columns).join(cuts, "metric").withColumn("segment", _segment(len(edges))).drop("cuts")
+    segments = placed.groupBy("metric", "segment").agg(F.count("*").alias("n"))
     of_metric = Window.partitionBy("metric")
     before = of_metric.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     segments = segments.withColumns({
@@ -78,9 +77,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     # at most two rows per column and probability
     wanted = F.broadcast(ranks.select("metric", "segment", "start").distinct())
     inside = Window.partitionBy("metric", "segment").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    counted = placed.join(wanted, ["metric", "segment"]).groupBy("metric", "segment", "start", "value").agg(F.count("*").alias("n"))
     ordered = (
-        counted.select("metric", "segment", "value", "n").join(wanted, ["metric", "segment"])
-        .withColumn("upto", F.col("start") + F.sum("n").over(inside))
+        counted.withColumn("upto", F.col("start") + F.sum("n").over(inside))
         .withColumn("from", F.col("upto") - F.col("n"))
         .drop("start", "n")
     )

@@ -1,8 +1,10 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.operators.quantiles import approximate_quantiles, exact_quantiles
+from meterline.operators.quantiles import MARGIN, approximate_quantiles, exact_quantiles
 from meterline.plans import profiles
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0]
@@ -69,3 +71,12 @@ def test_histogram_of_one_value(spark):
     df = spark.createDataFrame([(3.0,)] * 4, "fare_amount double")
     rows = [r for r in profiles.histograms(df, {"fare_amount": 40.0}).collect() if r.row_count]
     assert [(r.bin, r.row_count) for r in rows] == [(25, 4)]
+
+
+def test_only_values_of_wanted_segments_are_shuffled(spark):
+    """All-distinct values: no exchange by value before the segments are known, and few values reach one."""
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).cast("double").alias("x"))
+    result = exact_quantiles(df, ["x"], [0.5])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(metric#" in plan and not re.search(r"hashpartitioning\(metric#\d+, value#", plan)
+    assert 2 * MARGIN < 0.01 and result.count() == 1
