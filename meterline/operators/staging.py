@@ -58,12 +58,17 @@ def _typed(keyed: DataFrame, source: str, as_of: dt.datetime, *also: str) -> Dat
 def judged_trips(curated: DataFrame, zones: DataFrame, salt: str, source: str, as_of: dt.datetime) -> DataFrame:
     """Every curated row as staging row with ``reject_reason``: no key, first broken rule, or unknown zone; NULL for a good one."""
     keyed = with_trip_keys(curated, salt).withColumn("key_reason", key_reject_reason())
+    judged = judge(_typed(keyed, source, as_of, "key_reason", "row_offset"), zones)
+    reason = F.coalesce("key_reason", "reject_reason")
+    return judged.select(*COMPLETE_TRIP.names, "row_offset", reason.alias("reject_reason"))
+
+
+def judge(rows: DataFrame, zones: DataFrame) -> DataFrame:
+    """Staging rows with ``reject_reason``: the first broken rule, or the side whose zone is unknown."""
     rules = {name: ok for name, ok in complete_rules().items() if name not in ("trip_key", "vehicle_id_h")}
-    rows = _typed(keyed, source, as_of, "key_reason", "row_offset")
     broken = F.concat(F.lit("rule:"), F.get(failed_rules(rules), F.lit(0)))
     marked = _with_known_zones(rows.withColumn("rule_reason", broken), zones)
-    reason = F.coalesce("key_reason", "rule_reason", zone_reject_reason())
-    return marked.withColumn("reject_reason", reason).select(*COMPLETE_TRIP.names, "row_offset", "reject_reason")
+    return marked.withColumn("reject_reason", F.coalesce("rule_reason", zone_reject_reason())).drop("rule_reason", "pu_known", "do_known")
 
 
 def stage_trips(curated: DataFrame, salt: str, source: str, as_of: dt.datetime) -> DataFrame:

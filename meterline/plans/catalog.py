@@ -19,7 +19,7 @@ from meterline.schemas import BATCH_SIZE_BUCKETS, LATENCY_BUCKETS
 from meterline.session import configure, work_dir
 from meterline.sources import files, star, zones
 from meterline.sources.tables import mart_table, staging_table
-from meterline.streaming.assembly import start_assembly
+from meterline.streaming.assembly import read_rejects, start_assembly, start_field_state
 
 SALT = "meterline"
 AS_OF = dt.datetime(2025, 2, 1)
@@ -770,6 +770,26 @@ def assembled_trips_stream(t: Inputs) -> DataFrame:
     return trips.read(t.spark)
 
 
+@query
+def stream_outcomes(t: Inputs) -> DataFrame:
+    """A streaming run in which trips that break a rule or name an unknown zone are rejected: what became of each trip."""
+    run = f"{work_dir(t.spark)}/streams/{uuid.uuid4()}"
+    trips = staging_table(f"{run}/trips")
+    zone_rows = t.spark.createDataFrame(t.zones.collect(), t.zones.schema)
+    start_assembly(star.event_messages(star.event_stream(t.spark, t.sf_dir)), trips, f"{run}/checkpoint", AS_OF, zones=zone_rows).awaitTermination()
+    kept = trips.read(t.spark).select("trip_key", F.lit("kept").alias("outcome"))
+    return kept.unionByName(read_rejects(t.spark, trips).select("trip_key", F.col("reject_reason").alias("outcome")))
+
+
+@query
+def field_state_stream(t: Inputs) -> DataFrame:
+    """A streaming run that keeps the latest value per field, and what it left."""
+    run = f"{work_dir(t.spark)}/streams/{uuid.uuid4()}"
+    messages = star.event_messages(star.event_stream(t.spark, t.sf_dir))
+    start_field_state(messages, f"{run}/fields", f"{run}/checkpoint", ARRIVAL).awaitTermination()
+    return _amounts_as_numbers(t.spark.read.parquet(f"{run}/fields"))
+
+
 @query
 def assembly_round_trip(t: Inputs) -> DataFrame:
     """Trips to events and back: what the assembled trips keep of the staged ones."""

@@ -10,10 +10,10 @@ from __future__ import annotations
 import datetime as dt
 from threading import Event
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from meterline.operators import state
+from meterline.operators import staging, state
 from meterline.operators.events import normalize_messages, parse_messages, valid_events
 from meterline.schemas import STATE_TTL
 from meterline.sources.tables import KeyedTable
@@ -24,9 +24,9 @@ def assembled_stream(messages: DataFrame, as_of: dt.datetime) -> DataFrame:
     return state.assembled_trips_full(state.trip_state(valid_events(parse_messages(messages))), as_of)
 
 
-def field_state_stream(messages: DataFrame) -> DataFrame:
-    """Latest value per field of every trip with events."""
-    return state.field_state(normalize_messages(messages), ("timestamp", "event_id"))
+def field_state_stream(messages: DataFrame, order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
+    """Latest value by ``order`` per field of every trip with events."""
+    return state.field_state(normalize_messages(messages), order)
 
 
 def with_event_watermark(events: DataFrame, delay: str, ts: str = "event_ts") -> DataFrame:
@@ -58,6 +58,39 @@ def delivery_id(batch: DataFrame, epoch: int) -> str:
     return f"{query_id}-{epoch}"
 
 
+def rejects_path(table: KeyedTable, name: str = "") -> str:
+    return f"{table.path}/_rejects/{name}".rstrip("/")
+
+
+def _accepted(batch: DataFrame, table: KeyedTable, zones: DataFrame, name: str) -> DataFrame:
+    """The good rows of a micro-batch, which is judged and written once; the others stay with their reason."""
+    judged = f"{rejects_path(table, name)}/judged"
+    rows = staging.judge(batch, zones)
+    rows.write.mode("overwrite").partitionBy("reject_reason").parquet(judged)
+    return zones.sparkSession.read.schema(rows.schema).parquet(judged).where("reject_reason is null").drop("reject_reason")
+
+
+def read_rejects(spark: SparkSession, table: KeyedTable) -> DataFrame:
+    """Rejected trips of all micro-batches with their reason; a trip judged again appears once per judgement."""
+    rows = spark.read.option("recursiveFileLookup", "false").option("basePath", rejects_path(table)).parquet(f"{rejects_path(table)}/*/judged/*")
+    return rows.where("reject_reason is not null and reject_reason <> '__HIVE_DEFAULT_PARTITION__'")
+
+
+def start_field_state(messages: DataFrame, path: str, checkpoint: str, order: tuple[str, ...] = ("timestamp", "event_id"),
+                      **trigger: object) -> StreamingQuery:
+    """Keep the latest value per field of every trip in a parquet folder, written anew by each micro-batch."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return (
+        field_state_stream(messages, order).writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 class LoopStats(StreamingQueryListener):
     """Messages read and micro-batches with data of one query, and the trips its sink took, over its whole run.
 
@@ -86,9 +119,12 @@ class LoopStats(StreamingQueryListener):
 
 
 def start_assembly(messages: DataFrame, table: KeyedTable, checkpoint: str, as_of: dt.datetime,
-                   stats: LoopStats | None = None, **trigger: object) -> StreamingQuery:
+                   stats: LoopStats | None = None, zones: DataFrame | None = None, **trigger: object) -> StreamingQuery:
     """Assemble trips from ``messages`` and upsert them into ``table``; ``stats`` is counted up on the way.
 
+    With ``zones``, trips that break a rule or name an unknown zone are kept out of the table and written with
+    their reason to ``rejects_path``; a later correction of such a trip is judged again.
+
     A stateful query runs without adaptive execution. Only its own micro-batch does: the merge
     with the table runs in the caller's session, where skewed days are still split.
     """
@@ -98,7 +134,7 @@ def start_assembly(messages: DataFrame, table: KeyedTable, checkpoint: str, as_o
         name = delivery_id(batch, epoch)
         if stats:
             stats.query_id = name.rpartition("-")[0]
-        taken = table.upsert(spark, batch, name)
+        taken = table.upsert(spark, batch if zones is None else _accepted(batch, table, zones, name), name)
         if stats:
             stats.trips += taken
 

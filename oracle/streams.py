@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from oracle.base import AS_OF, EVENT_TYPES, REQUIRED_MASK, count_if, fsum, iso, k, seconds, with_ctes
+from oracle.base import (
+    AS_OF, COMPLETE_RULES, EVENT_TYPES, REQUIRED_MASK, count_if, failed, fsum, iso, k, seconds, with_ctes,
+)
 
 _LATENCY = (0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0, 60.0)
 _BATCH = (1, 5, 10, 25, 50, 100, 250, 500, 1000)
@@ -145,6 +147,18 @@ _STREAM_TRIPS = f"""
                coalesce(pa.total_amount, 0) AS total_amount, pa.payment_type, n.vehicle_id_h, 'stream' AS source,
                {AS_OF} AS created_at, {AS_OF} AS updated_at FROM state s {_LATEST} WHERE {_COMPLETE}"""
 
+_GOOD_TRIPS = f"""
+        SELECT n.trip_key, n.vendor_id, st.event_ts AS pickup_ts, en.event_ts AS dropoff_ts,
+               st.pickup_zone_id AS pu_zone_id, en.dropoff_zone_id AS do_zone_id,
+               coalesce(st.passenger_count, 0) AS passenger_count, en.trip_distance,
+               coalesce(pa.fare_amount, 0) AS fare_amount, coalesce(pa.tip_amount, 0) AS tip_amount,
+               coalesce(pa.total_amount, 0) AS total_amount, pa.payment_type, n.vehicle_id_h, 'stream' AS source,
+               {AS_OF} AS created_at, {AS_OF} AS updated_at
+        FROM good_newest n
+        JOIN good_typed st ON st.trip_key = n.trip_key AND st.event_type = 'trip_started'
+        JOIN good_typed en ON en.trip_key = n.trip_key AND en.event_type = 'trip_ended'
+        JOIN good_typed pa ON pa.trip_key = n.trip_key AND pa.event_type = 'payment_processed'"""
+
 SQL: dict[str, str] = {
     "trip_events": with_ctes("stg", f"""
         WITH {_TRIP_EVENTS}
@@ -225,17 +239,15 @@ SQL: dict[str, str] = {
             "zones": "pu_zone_id IN (SELECT zone_id FROM zone) AND do_zone_id IN (SELECT zone_id FROM zone)",
             "chronological": "pickup_ts < dropoff_ts",
         }.items())),
-    "assembled_trips_stream": with_ctes("good_typed good_newest", f"""
-        SELECT n.trip_key, n.vendor_id, st.event_ts AS pickup_ts, en.event_ts AS dropoff_ts,
-               st.pickup_zone_id AS pu_zone_id, en.dropoff_zone_id AS do_zone_id,
-               coalesce(st.passenger_count, 0) AS passenger_count, en.trip_distance,
-               coalesce(pa.fare_amount, 0) AS fare_amount, coalesce(pa.tip_amount, 0) AS tip_amount,
-               coalesce(pa.total_amount, 0) AS total_amount, pa.payment_type, n.vehicle_id_h, 'stream' AS source,
-               {AS_OF} AS created_at, {AS_OF} AS updated_at
-        FROM good_newest n
-        JOIN good_typed st ON st.trip_key = n.trip_key AND st.event_type = 'trip_started'
-        JOIN good_typed en ON en.trip_key = n.trip_key AND en.event_type = 'trip_ended'
-        JOIN good_typed pa ON pa.trip_key = n.trip_key AND pa.event_type = 'payment_processed'"""),
+    "assembled_trips_stream": with_ctes("good_typed good_newest", _GOOD_TRIPS),
+    "stream_outcomes": with_ctes("good_typed good_newest zone", f"""
+        WITH trips AS ({_GOOD_TRIPS}), judged AS (SELECT *, {failed(COMPLETE_RULES)} AS failed_rules FROM trips)
+        SELECT trip_key, CASE WHEN failed_rules <> '' THEN 'rule:' || split_part(failed_rules, ',', 1)
+                              WHEN pu_zone_id IS NULL OR pu_zone_id NOT IN (SELECT zone_id FROM zone) THEN 'pu_zone_unknown'
+                              WHEN do_zone_id IS NULL OR do_zone_id NOT IN (SELECT zone_id FROM zone) THEN 'do_zone_unknown'
+                              ELSE 'kept' END AS outcome FROM judged"""),
+    "field_state_stream": with_ctes("msg", f"""
+        SELECT trip_key, {_FIELD_STATE} FROM msg WHERE trip_key <> '' AND event_type <> '' GROUP BY 1"""),
     "assembly_round_trip": with_ctes("uniq", "SELECT * FROM uniq"),
     "assembly_stats": with_ctes("parsed", """
         WITH valid AS (SELECT * FROM parsed WHERE reject_reason IS NULL),
