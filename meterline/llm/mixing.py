@@ -32,9 +32,9 @@ FEATURES_PER_DOMAIN = 96
 LEAST_DOCS = 5
 LEAST_Z = 5.0
 PENALTY = 1e-4
-#: Steps end when every domain is this near its target, or when no residual moves by more than a tenth of it; or after so many.
-TOLERANCE = 1e-3
-STEPS = 60
+#: Steps end when every domain is this near its target, or when no residual moves by more than a quarter of it; or after so many.
+TOLERANCE = 2e-3
+STEPS = 30
 POSTERIORS = "doc_id bigint, text_hash bigint, n_tokens bigint, posterior array<double>"
 
 
@@ -141,7 +141,7 @@ def fit_rates(rows: DataFrame, domains: tuple[str, ...], weights: dict[str, floa
     base, last = np.maximum(natural, 1.0), np.full(k, np.inf)
     for _ in range(STEPS):
         residual = (total - target) / base
-        if np.abs(residual).max() < TOLERANCE or np.abs(residual - last).max() < TOLERANCE / 10:
+        if np.abs(residual).max() < TOLERANCE or np.abs(residual - last).max() < TOLERANCE / 4:
             break
         last = residual
         history = np.vstack([history, residual])
