@@ -2,13 +2,14 @@
 
 A softmax classifier learned from a labelled table gives each document a posterior over domains. A document of ``n`` tokens
 and posterior ``p`` adds ``n * p * rate`` expected tokens to the domains. Nonnegative rates are fitted so that the domain
-totals meet the targets, by projected gradient on
+totals meet the targets, as the minimum of
 
     1/2 sum_d (total_d(rate) - target_d)^2 / natural_d  +  PENALTY/2 sum_i n_i (rate_i - 1)^2
 
-starting from rate 1. A step needs one sum per domain over all documents, and the rate of a document follows from its
-posterior and the short history of residuals, so nothing but that history passes through the driver and no rates are
-stored between steps.
+At the minimum ``rate_i = clip(1 - p_i . m, low, high)``, where ``PENALTY * m_d`` is what domain ``d`` is off its target,
+relative to its natural total. So one multiplier per domain gives every rate, and the multipliers are found by Newton steps on
+the concave dual. A step needs one pass: sums per domain, and per pair of domains over the documents between their bounds.
+Nothing else passes through the driver and no rates are stored between steps. Steps end at the minimum, not after a number.
 
 Defined results: a null or empty text has no tokens and keeps the posterior of its shape; with no tokens at all every rate
 is 1; without labels the only domain is ``other``; domains without a target keep their natural total; targets of unknown
@@ -17,12 +18,13 @@ domains are ignored and the rest rescaled; repeated rows get equal rates. Only t
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.llm.common import saved
 from meterline.llm.features import Words, adam, dense, features, labelled_sample, sample_features, screen
@@ -32,9 +34,13 @@ FEATURES_PER_DOMAIN = 96
 LEAST_DOCS = 5
 LEAST_Z = 5.0
 PENALTY = 1e-4
-#: Steps end when every domain is this near its target, or when no residual moves by more than a quarter of it; or after so many.
-TOLERANCE = 2e-3
-STEPS = 30
+#: Steps end when no domain's total is further from that of the minimum's condition than this part of its natural total.
+TOLERANCE = 1e-6
+#: Parts of a step tried in one pass.
+PARTS = 0.5 ** np.arange(8)
+LEAST_PART = 0.5 ** 60
+#: A domain that ends further from its target than this part of it is logged.
+NOTABLE = 0.01
 POSTERIORS = "doc_id bigint, text_hash bigint, n_tokens bigint, posterior array<double>"
 
 
@@ -85,33 +91,41 @@ def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(each, POSTERIORS)
 
 
-def rates(p: np.ndarray, history: np.ndarray, low: float, high: float, ahead: bool = False) -> np.ndarray:
-    """The rates of documents with posteriors ``p`` after the steps whose residuals (relative per domain) are in ``history``.
+def rates(p: np.ndarray, history: np.ndarray, low: float, high: float) -> np.ndarray:
+    """The rates of documents with posteriors ``p``; the multipliers are the sum of the steps in ``history``, one row each."""
+    return np.clip(1 - p @ history.sum(axis=0), low, high) if len(history) else np.ones(len(p))
 
-    Steps are accelerated: a residual is taken a little ahead of the rates, in the direction of the last step.
-    ``ahead`` gives that point.
-    """
-    x = y = np.ones(len(p))
-    t = 1.0
-    for residual in history:
-        stepped = np.clip(y - (p @ residual + PENALTY * (y - 1)) / (1 + PENALTY), low, high)
-        later = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        x, y, t = stepped, stepped + (t - 1) / later * (stepped - x), later
-    return y if ahead else x
 
+@dataclass(frozen=True)
+class Sums:
+    """What one pass finds at given multipliers."""
+    total: np.ndarray
+    gram: np.ndarray  # over the documents between their bounds
+    value: float  # the documents' part of the dual
+
+
+def _sums(rows: DataFrame, multipliers: np.ndarray, low: float, high: float) -> list[Sums]:
+    """One pass for all rows of ``multipliers``."""
+    m, k = multipliers.shape
+    width = k + k * k + 1
 
-def _totals(rows: DataFrame, history: np.ndarray, low: float, high: float, domains: int) -> np.ndarray:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(domains)
+        sums = np.zeros((m, width))
         for batch in batches:
-            n, p = _arrays(batch, domains)
-            total += (n * rates(p, history, low, high, ahead=True)) @ p
-        yield pa.RecordBatch.from_arrays([pa.array(range(domains), pa.int32()), pa.array(total)], names=["domain", "total"])
-    sums = rows.select("n_tokens", "posterior").mapInArrow(each, "domain int, total double").groupBy("domain").agg(F.sum("total").alias("total"))
-    out = np.zeros(domains)
-    for r in sums.collect():
-        out[r["domain"]] = r["total"]
-    return out
+            n, p = _arrays(batch, k)
+            for i in range(m):
+                s = p @ multipliers[i]
+                x = np.clip(1 - s, low, high)
+                free = n * (x == 1 - s)
+                sums[i, :k] += (n * x) @ p
+                sums[i, k:-1] += ((p * free[:, None]).T @ p).ravel()
+                sums[i, -1] += n @ ((x - 1) ** 2 / 2 + s * x)
+        yield pa.RecordBatch.from_arrays([pa.array(range(m * width), pa.int32()), pa.array(sums.ravel())], names=["at", "total"])
+    found = rows.select("n_tokens", "posterior").mapInArrow(each, "at int, total double").groupBy("at").agg(F.sum("total").alias("total"))
+    out = np.zeros(m * width)
+    for r in found.collect():
+        out[r["at"]] = r["total"]
+    return [Sums(s[:k], s[k:-1].reshape(k, k), s[-1]) for s in out.reshape(m, width)]
 
 
 def _arrays(batch: pa.RecordBatch, domains: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,20 +147,47 @@ def target_totals(natural: np.ndarray, domains: tuple[str, ...], weights: dict[s
 
 
 def fit_rates(rows: DataFrame, domains: tuple[str, ...], weights: dict[str, float], low: float = 0.0, high: float = 1e6, grow: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """History of residuals, the totals reached and the targets."""
+    """Multipliers (one row), the totals of their rates and the targets."""
     k = len(domains)
-    history = np.zeros((0, k))
-    natural = total = _totals(rows, history, low, high, k)
+    at = np.zeros(k)
+    natural = _sums(rows, at[None], 1.0, 1.0)[0].total
     target = target_totals(natural, domains, weights, grow)
-    base, last = np.maximum(natural, 1.0), np.full(k, np.inf)
-    for _ in range(STEPS):
-        residual = (total - target) / base
-        if np.abs(residual).max() < TOLERANCE or np.abs(residual - last).max() < TOLERANCE / 4:
-            break
-        last = residual
-        history = np.vstack([history, residual])
-        total = _totals(rows, history, low, high, k)
-    return history, total, target
+    base = np.maximum(natural, 1.0)
+    scale = 1 / np.sqrt(base)
+
+    def slope(m: np.ndarray, sums: Sums) -> np.ndarray:
+        return sums.total - target - PENALTY * base * m
+
+    def value(m: np.ndarray, sums: Sums) -> float:
+        return sums.value - m @ target - PENALTY / 2 * base @ m**2
+
+    here = _sums(rows, at[None], low, high)[0]
+    while np.abs(up := slope(at, here)).max() > 0 and np.abs(up / base).max() > TOLERANCE:
+        curve = scale[:, None] * here.gram * scale + PENALTY * np.eye(k)
+        step = scale * np.linalg.solve(curve, scale * up)
+        part, taken = 1.0, None
+        while taken is None:
+            if part < LEAST_PART:
+                raise ArithmeticError(f"no part of a step improves the multipliers {at.tolist()}")
+            tried = [at + a * step for a in part * PARTS]
+            for m, sums in zip(tried, _sums(rows, np.array(tried), low, high), strict=True):
+                still = slope(m, sums)
+                # the dual is concave: a slope that still rises says that it grew
+                if still @ step >= 0 or value(m, sums) - value(at, here) >= 1e-4 * (m - at) @ up or np.abs(still / base).max() < np.abs(up / base).max() / 2:
+                    taken = m, sums
+                    break
+            part *= PARTS[-1] / 2
+        at, here = taken
+    return at[None], here.total, target
+
+
+def reached(spark: SparkSession, domains: tuple[str, ...], total: np.ndarray, target: np.ndarray) -> DataFrame:
+    """``domain, target, total, off`` (relative to the target) of a fit, kept in the shared folder; what is far off is logged."""
+    off = (total - target) / np.maximum(target, 1.0)
+    for d, o in zip(domains, off.tolist(), strict=True):
+        if abs(o) > NOTABLE:
+            logging.getLogger(__name__).warning("mixing: the tokens of %s end %+.1f %% from their target", d, 100 * o)
+    return saved(spark.createDataFrame(list(zip(domains, target.tolist(), total.tolist(), off.tolist(), strict=True)), "domain string, target double, total double, off double"), "mix-reached")
 
 
 def mixed(rows: DataFrame, domains: tuple[str, ...], history: np.ndarray, low: float = 0.0, high: float = 1e6) -> DataFrame:
@@ -166,7 +207,8 @@ def mixed(rows: DataFrame, domains: tuple[str, ...], history: np.ndarray, low: f
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], low: float = 0.0, high: float = 1e6, grow: bool = False) -> DataFrame:
     model = train(docs, labels)
     rows = saved(posteriors(docs, model), "mix-posteriors")
-    history, _, _ = fit_rates(rows, model.domains, weights, low, high, grow)
+    history, total, target = fit_rates(rows, model.domains, weights, low, high, grow)
+    reached(docs.sparkSession, model.domains, total, target)
     return mixed(rows, model.domains, history, low, high)
 
 
@@ -198,5 +240,6 @@ def repeated(docs: DataFrame, model: DomainModel, history: np.ndarray, low: floa
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float], low: float = 0.0, high: float = 1e6, grow: bool = False) -> DataFrame:
     model = train(docs, labels)
-    history, _, _ = fit_rates(saved(posteriors(docs, model), "mix-posteriors"), model.domains, weights, low, high, grow)
+    history, total, target = fit_rates(saved(posteriors(docs, model), "mix-posteriors"), model.domains, weights, low, high, grow)
+    reached(docs.sparkSession, model.domains, total, target)
     return repeated(docs, model, history, low, high)

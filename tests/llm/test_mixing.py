@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from meterline.llm import mixing
 from meterline.llm.common import saved, table
 
@@ -66,3 +67,29 @@ def test_odd_rows(ready, odd, none, rows):
     assert mixing.mixed_documents(odd, empty, TARGETS).count() == odd.count()
     post = mixing.posteriors(odd, model)
     assert post.count() == odd.count() and post.where("doc_id <= 3").agg(F.sum("n_tokens")).first()[0] == 0
+
+
+@pytest.mark.parametrize("weights, low, high, grow", [
+    (TARGETS, 0.0, 1e6, False), ({k: 0.25 for k in ("en", "de", "fr", "es")}, 1.0, 8.0, True), (corpus_pipeline.LANGUAGES, corpus_pipeline.LEAST_RATE, corpus_pipeline.MOST_RATE, True)])
+def test_fit_is_finished(rows, weights, low, high, grow):
+    _, model, post = rows
+    data = post.toPandas()
+    p, n = np.array(data.posterior.tolist()), data.n_tokens.to_numpy(float)
+    history, total, target = mixing.fit_rates(post, model.domains, weights, low, high, grow)
+    got = mixing.rates(p, history, low, high)
+    assert np.allclose((n * got) @ p, total, rtol=1e-9) and low <= got.min() and got.max() <= high
+    known = [d in weights for d in model.domains]
+    assert np.allclose(total[known], target[known], rtol=0.01)
+    # the multipliers are the residuals of the totals that they lead to
+    assert np.allclose(history.sum(axis=0) * mixing.PENALTY, (total - target) / np.maximum(n @ p, 1), atol=2 * mixing.TOLERANCE)
+
+
+def test_what_a_bound_keeps_from_its_target_is_told(rows, caplog):
+    _, model, post = rows
+    data = post.toPandas()
+    p, n = np.array(data.posterior.tolist()), data.n_tokens.to_numpy(float)
+    weights = {"en": 0.1, "es": 0.9}
+    history, total, target = mixing.fit_rates(post, model.domains, weights, 1.0, 2.0, True)
+    got = {r.domain: r for r in mixing.reached(post.sparkSession, model.domains, total, target).collect()}
+    assert got["es"].off < -0.5 and "tokens of es" in caplog.text and got["es"].total == total[model.domains.index("es")]
+    assert np.allclose(mixing.rates(p, history, 1.0, 2.0)[p[:, model.domains.index("es")] > 0.99], 2.0)
