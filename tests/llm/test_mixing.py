@@ -20,7 +20,7 @@ def rows(ready):
 def exact(p, n, target, low, high):
     """The same minimum by many small steps on whole arrays."""
     base, x = np.maximum(n @ p, 1), np.ones(len(p))
-    for _ in range(5_000):
+    for _ in range(20_000):
         x = np.clip(x - 0.3 * (p @ (((n * x) @ p - target) / base) + mixing.PENALTY * (x - 1)), low, high)
     return x
 
@@ -32,12 +32,11 @@ def test_totals_meet_targets_and_equal_a_plain_fit(rows, low, high, grow):
     p, n = np.array(data.posterior.tolist()), data.n_tokens.to_numpy(float)
     weights = TARGETS if not grow else {k: 0.25 for k in ("en", "de", "fr", "es")}
     history, total, target = mixing.fit_rates(post, model.domains, weights, low, high, grow)
+    assert np.allclose(total, target, rtol=0.05 if grow else 0.01)
     got = mixing.rates(p, history, low, high)
-    if not grow:
-        assert np.allclose((n * got) @ p, target, rtol=0.01)
-    assert np.allclose((n * got) @ p, total, rtol=0.01) and low <= got.min() and got.max() <= high
+    assert np.allclose((n * got) @ p, total) and low <= got.min() and got.max() <= high
     want = exact(p, n, target, low, high)
-    assert np.allclose((n * got) @ p, (n * want) @ p, rtol=0.03)
+    assert np.allclose((n * got) @ p, (n * want) @ p, rtol=0.01)
 
 
 def test_posteriors_find_the_domain(rows, ready):
