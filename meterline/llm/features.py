@@ -113,6 +113,60 @@ def dense(rows: DataFrame, selected: list[int]) -> tuple[np.ndarray, list]:
     return x, [r["y"] for r in got]
 
 
+#: Buckets of the hashing trick; a power of two.
+WIDTH = 1 << 18
+#: Entries of a sparse sample that are multiplied at a time.
+BLOCK_ENTRIES = 1 << 19
+
+
+def bucket(f: int) -> int:
+    return f & (WIDTH - 1)
+
+
+def hashed_sample(rows: DataFrame) -> tuple[list, pa.ListArray]:
+    """Labels of the bounded sample, and the distinct buckets of all its features."""
+    buckets = F.array_distinct(F.transform("found", lambda f: f.bitwiseAND(F.lit(WIDTH - 1)).cast("int")))
+    got = rows.select("doc_id", "y", buckets.alias("found")).orderBy("doc_id").toArrow()
+    return got.column("y").to_pylist(), got.column("found").combine_chunks()
+
+
+class Hashed:
+    """The sample as a sparse 0/1 matrix over the buckets that say something: in ``least`` documents, and in some class with a
+    share that differs from the overall one by ``z`` standard errors. There is no other limit on their number. ``says`` has
+    the classes of each, so that the many words of one class do not learn the few documents of another by heart."""
+
+    def __init__(self, found: pa.ListArray, truth: np.ndarray, least: int, z: float):
+        values, sizes = found.flatten().to_numpy(zero_copy_only=False), np.diff(found.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        n, clear, y = np.bincount(values, minlength=WIDTH), np.zeros((WIDTH, truth.shape[1]), dtype=bool), truth.argmax(axis=1)
+        for c, share in enumerate(truth.mean(axis=0, dtype=float).tolist()):
+            mine = np.bincount(values[y[owner] == c], minlength=WIDTH)
+            clear[:, c] = np.abs(mine - n * share) >= z * np.sqrt(n * max(share * (1 - share), 1e-9))
+        self.selected = np.flatnonzero((n >= least) & clear.any(axis=1))
+        self.says = clear[self.selected]
+        place = np.full(WIDTH, -1, dtype=np.int32)
+        place[self.selected] = np.arange(len(self.selected))
+        kept = place[values] >= 0
+        values, owner = place[values[kept]], owner[kept]
+        self.rows, self.blocks = len(sizes), []
+        for at in range(0, len(values), BLOCK_ENTRIES):
+            v, o = values[at: at + BLOCK_ENTRIES], owner[at: at + BLOCK_ENTRIES]
+            order = np.argsort(v, kind="stable")
+            self.blocks.append((v, *np.unique(o, return_index=True), o[order], *np.unique(v[order], return_index=True)))
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.rows, w.shape[1]), dtype=w.dtype)
+        for v, rows, starts, *_ in self.blocks:
+            out[rows] += np.add.reduceat(w[v], starts)
+        return out
+
+    def transposed_dot(self, off: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.selected), off.shape[1]), dtype=off.dtype)
+        for *_, o, columns, starts in self.blocks:
+            out[columns] += np.add.reduceat(off[o], starts)
+        return out
+
+
 def adam(step, size: tuple[int, ...], rounds: int = 400, rate: float = 0.05) -> np.ndarray:
     """Minimise by Adam; ``step(w)`` gives the gradient."""
     w, m, v = (np.zeros(size) for _ in range(3))

@@ -27,10 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.llm.common import saved
-from meterline.llm.features import Words, adam, dense, features, labelled_sample, sample_features, screen
+from meterline.llm.features import Hashed, Words, adam, bucket, features, hashed_sample, labelled_sample, sample_features
 
 MOST_ROWS = 20_000
-FEATURES_PER_DOMAIN = 96
 LEAST_DOCS = 5
 LEAST_Z = 5.0
 PENALTY = 1e-4
@@ -47,11 +46,11 @@ POSTERIORS = "doc_id bigint, text_hash bigint, n_tokens bigint, posterior array<
 @dataclass(frozen=True)
 class DomainModel:
     domains: tuple[str, ...]
-    rows: dict[int, int]
-    weights: np.ndarray  # one row per feature, and the bias as the last
+    rows: dict[int, int]  # bucket of features to row
+    weights: np.ndarray  # one row per bucket that says something, and the bias as the last
 
     def posteriors(self, found: set[int]) -> np.ndarray:
-        at = [self.rows[f] for f in found if f in self.rows]
+        at = [self.rows[b] for b in set(map(bucket, found)) if b in self.rows]
         s = self.weights[at].sum(axis=0) + self.weights[-1]
         e = np.exp(s - s.max())
         return e / e.sum()
@@ -63,17 +62,17 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Dom
     domains = sorted(r[0] for r in rows.select("y").distinct().collect())
     if len(domains) < 2:
         return DomainModel(tuple(domains) or ("other",), {}, np.zeros((1, max(len(domains), 1))))
-    selected = screen(rows, domains, LEAST_DOCS, LEAST_Z, FEATURES_PER_DOMAIN * len(domains))
-    x, y = dense(rows, selected)
+    y, sample = hashed_sample(rows)
     truth = np.eye(len(domains), dtype=np.float32)[[domains.index(v) for v in y]]
+    x = Hashed(sample, truth, LEAST_DOCS, LEAST_Z)
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        s = x @ w[:-1].astype(np.float32) + w[-1].astype(np.float32)
+        s = x.dot(w[:-1].astype(np.float32)) + w[-1].astype(np.float32)
         e = np.exp(s - s.max(axis=1, keepdims=True))
         off = (e / e.sum(axis=1, keepdims=True) - truth) / len(y)
-        return np.vstack([x.T @ off + 1e-4 * w[:-1], off.sum(axis=0)])
-    w = adam(gradient, (len(selected) + 1, len(domains)), rounds=200)
-    return DomainModel(tuple(domains), {f: i for i, f in enumerate(selected)}, w)
+        return np.vstack([x.transposed_dot(off) * x.says + 1e-4 * w[:-1], off.sum(axis=0)])
+    w = adam(gradient, (len(x.selected) + 1, len(domains)), rounds=200)
+    return DomainModel(tuple(domains), {b: i for i, b in enumerate(x.selected.tolist())}, w)
 
 
 def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:

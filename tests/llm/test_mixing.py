@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from meterline.llm import mixing
 from meterline.llm.common import saved, table
+from meterline.llm.features import bucket, feature
 
 SF = "/root/testdata/sf0.01"
 TARGETS = {"en": 0.40, "de": 0.20, "fr": 0.20, "es": 0.15, "low": 0.03, "toxic": 0.02}
@@ -92,3 +93,16 @@ def test_what_a_bound_keeps_from_its_target_is_told(rows, caplog):
     got = {r.domain: r for r in mixing.reached(post.sparkSession, model.domains, total, target).collect()}
     assert got["es"].off < -0.5 and "tokens of es" in caplog.text and got["es"].total == total[model.domains.index("es")]
     assert np.allclose(mixing.rates(p, history, 1.0, 2.0)[p[:, model.domains.index("es")] > 0.99], 2.0)
+
+
+def test_rare_words_of_a_small_domain_have_weights(ready):
+    """Languages have more clear words than all places of a fixed number; a toxic word is in a thirteenth of the toxic texts."""
+    draw = np.random.default_rng(5)
+    langs = ("en", "de", "fr", "es")
+    texts = [(langs[i % 4], " ".join(f"{langs[i % 4]}{w}" for w in draw.choice(300, 60, replace=False))) for i in range(4000)]
+    toxic = {i: "".join(f" vile{w}" for w in draw.choice(40, 3, replace=False)) for i in range(0, 4000, 17)}
+    rows = [(i, t + toxic.get(i, ""), "toxic" if i in toxic else lang) for i, (lang, t) in enumerate(texts)]
+    docs = ready.createDataFrame(rows, "doc_id bigint, text string, y string")
+    model = mixing.train(docs.select("doc_id", "text"), docs.select("doc_id", "y"))
+    at = [model.rows[bucket(feature(f"w:vile{w}"))] for w in range(40)]
+    assert {model.domains[i] for i in model.weights[at].argmax(axis=1)} == {"toxic"}
