@@ -4,7 +4,7 @@ Base spans (email, ip, card, phone) are found by pattern in the whole text. Ever
 Co-occurrence over all documents tells how strongly a term reveals an entity: with ``IC(e) = -log p(e)`` and
 ``PMI(e, t) = log p(e, t) / (p(e) p(t))`` the disclosure ``PMI / IC`` is 1 when the term never occurs without the entity
 and 0 when it says nothing. Terms above the upper threshold are removed, those between the thresholds are generalised
-to their class. Estimates need ``MIN_TEXTS`` different texts, so that a text and its copies alone prove nothing.
+to their class. A term to remove is marked in every text, one to generalise in the texts of its entity. Estimates need ``MIN_TEXTS`` different texts, so that a text and its copies alone prove nothing.
 
 Defined results: a null text is empty; repeated rows each get the same answer; an empty table gives an empty result.
 Only the id and text columns are read, so further columns do not matter.
@@ -143,20 +143,32 @@ def find(docs: DataFrame) -> DataFrame:
     """Per document row: ``doc_id, text_hash, base`` spans and ``terms``, the revealing spans with ``treatment``."""
     text = F.coalesce("text", F.lit(""))
     scanned = docs.select("doc_id", text.alias("t"), F.xxhash64(text).alias("text_hash"), base_spans(F.col("text")).alias("spans"))
-    # the texts of documents with personal data are kept, so that no later step has to look for them
+    # the texts of documents with personal data are kept, so that counting terms need not look for them
     rows = saved(scanned.select("doc_id", "text_hash", "spans", F.when(F.size("spans") > 0, F.col("t")).alias("text")), "pii-base")
     found = rows.where("text IS NOT NULL")
-    known = term_disclosure(found, docs)
-    flagged = (
+    known = saved(term_disclosure(found, docs), "pii-known")
+    beside = (
         found.select("text_hash", F.explode(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["value"]))).alias("entity")).distinct()
-        .join(known, "entity").groupBy("text_hash", "term").agg(F.max("disclosure").alias("disclosure"))
-        .groupBy("text_hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("disclosed"))
+        .join(known, "entity").select("text_hash", "term", "disclosure")
     )
-    marked = found.groupBy("text_hash").agg(F.first("text").alias("text"), F.first("spans").alias("spans")).join(flagged, "text_hash")
+    flagged = saved(
+        beside.unionByName(revealed(docs, known)).groupBy("text_hash", "term").agg(F.max("disclosure").alias("disclosure"))
+        .groupBy("text_hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("disclosed")), "pii-flagged")
+    spans = found.groupBy("text_hash").agg(F.first("spans").alias("spans"))
+    # copies of a text become one row in the tasks that read them
+    texts = docs.groupBy(F.xxhash64(text).alias("text_hash")).agg(F.first(text).alias("text"))
+    marked = texts.join(flagged, "text_hash").join(spans, "text_hash", "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
     marked = marked.select("text_hash", _term_spans().alias("terms")).where(F.size("terms") > 0)
     return rows.drop("text").withColumnRenamed("spans", "base").join(marked, "text_hash", "left").withColumn("terms", F.coalesce("terms", F.array().cast(f"{SPANS[:-2]},treatment:string>>")))
 
 
+def revealed(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``text_hash, term, disclosure`` of the terms to remove in all texts, also in those that hold no entity: there the term is what reveals it."""
+    telling = known.where(F.col("disclosure") >= REMOVE_FROM).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    told = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    return told.join(F.broadcast(telling) if telling.count() <= BROADCAST_TERMS else telling, "term").select("text_hash", "term", "disclosure")
+
+
 def _term_spans() -> Column:
     low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     seen = F.filter(matches(low, WORD), lambda m: F.map_contains_key("disclosed", m["value"]))

@@ -72,6 +72,16 @@ def test_terms_that_disclose_are_found(telling):
     assert spans[1] == "email:13:33,term:34:42,term:43:49"
 
 
+def test_terms_to_remove_are_marked_without_their_entity(ready):
+    """PMI / IC is log(100 / 11) / log(100 / 10) = 0.958: the term is removed, and stands alone once."""
+    rows = [(i, f"word{i} boss@corp.example.com Nickname") for i in range(10)] + [(10, "Here nickname stands alone")]
+    docs = ready.createDataFrame(rows + [(20 + i, f"text{i}" if i else None) for i in range(89)], "doc_id bigint, text string")
+    found = sanitise.find(docs)
+    assert docs.count() == 100 and found.count() == 100
+    assert {r.doc_id: [(t.value, t.start, t.treatment) for t in r.terms] for r in found.collect()}[10] == [("nickname", 5, "remove")]
+    assert {r.doc_id: r.text for r in sanitise.sanitise(docs, found).collect()}[10] == "Here  stands alone"
+
+
 def test_copies_alone_prove_nothing(ready):
     rows = [(i, "the same secret@corp.example.com text") for i in range(30)] + [(50 + i, f"other {i}") for i in range(30)]
     found = sanitise.find(ready.createDataFrame(rows, "doc_id bigint, text string"))
