@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from meterline.llm import decontaminate, rules
+from meterline.llm import collocations, decontaminate, rules
 
 _FAILED = " + ".join(f"CASE WHEN {condition} THEN {rules.BIT[name]} ELSE 0 END" for name, condition in rules.RULES)
 _CAPITALS, _SMALL = string.ascii_uppercase, string.ascii_lowercase
@@ -60,4 +60,29 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
-SQL = {"op9_winnowing": WINNOWING, "op10_rule_ledger": RULE_LEDGER}
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, '{collocations.NO_LANGUAGE}') AS lang, unnest(regexp_split_to_array(translate(text, '{_CAPITALS}', '{_SMALL}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM split, (VALUES (1), (2), (3)) AS sizes(k), unnest(range(1, greatest(len(w) - k + 2, 1))) AS r(i) GROUP BY ALL),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= {collocations.LEAST_COUNT}),
+longest AS (
+    SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longest FROM candidates, range(1, 3) AS r(i) WHERE k = 3 GROUP BY 1, 2),
+left_over AS (
+    SELECT c.* FROM candidates c LEFT JOIN longest l ON c.k = 2 AND c.lang = l.lang AND c.phrase = l.phrase
+    WHERE longest IS NULL OR 100 * longest < {collocations.SWALLOWED} * a),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, cut, (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM left_over) c
+    JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+    JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= {collocations.TOP}"""
+
+SQL = {"op9_winnowing": WINNOWING, "op10_rule_ledger": RULE_LEDGER, "op11_stripes": COLLOCATIONS}

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import chosen_path, decontaminate, grading, line_runs, mixing, rules, sanitise, sharding, transcripts, warc
+from meterline.llm import (
+    chosen_path, collocations, decontaminate, grading, line_runs, mixing, neighbours, rules, sanitise, sharding, transcripts, warc, whitening,
+)
 from meterline.llm.common import prepare, table
 from meterline.llm.oracle_sql import SQL  # noqa: F401
 
@@ -74,6 +76,22 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.digest(rules.apply_policy(rules.ledger(table(prepare(spark), sf_dir, "documents")), "v3"))
 
 
+def op11_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language, from all documents."""
+    return collocations.collocations(table(prepare(spark), sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on their leading 16 whitened components."""
+    return whitening.digest(whitening.whiten(table(prepare(spark), sf_dir, "embeddings")))
+
+
+def op13_projected_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth embedding among all embeddings."""
+    rows = table(prepare(spark), sf_dir, "embeddings")
+    return neighbours.search(neighbours.build(rows), rows.where("vec_id % 20 = 0"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_vector_shards": op1_vector_shards,
     "op2_soft_mixing": op2_soft_mixing,
@@ -85,4 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_runs": op8_line_runs,
     "op9_winnowing": op9_winnowing,
     "op10_rule_ledger": op10_rule_ledger,
+    "op11_stripes": op11_stripes,
+    "op12_whitening": op12_whitening,
+    "op13_projected_search": op13_projected_search,
 }
