@@ -69,7 +69,7 @@ def test_terms_that_disclose_are_found(telling):
     clean = {r.doc_id: r.text for r in sanitise.sanitise(telling, found).collect()}
     assert clean[1] == "common word1 [EMAIL]  [TERM]" and clean[20] == "common text0"
     spans = {r.doc_id: r.spans for r in sanitise.digest(found).collect()}
-    assert spans[1] == "email:13:33,term:34:42,term:43:49"
+    assert spans[1] == "email:13:34,term:35:43,term:44:50"
 
 
 def test_terms_to_remove_are_marked_without_their_entity(ready):
