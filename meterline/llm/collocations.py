@@ -36,8 +36,10 @@ TOP = 2000
 NO_LANGUAGE = "und"
 #: Parts into which a stripe is dealt by the hash of the next word.
 SLICES = 64
-#: Words of which a task builds stripes before it hands them on.
-FLUSH = 1 << 20
+#: Words of which a task builds stripes before it hands them on, and words that are taken at a time.
+FLUSH, CHUNK = 7 << 18, 1 << 17
+#: Parts in which the best phrases of a language are looked for first.
+RANK_PARTS = 64
 #: Bits of the filter of frequent pairs: 16 MB, whatever the corpus.
 FILTER_BITS = 1 << 27
 #: Bytes of a long text that are split at a time, where a piece ends.
@@ -48,7 +50,8 @@ END = 0
 ENDS = b".,;:!?\n\x0b\x0c\r"
 #: ASCII capitals to small letters, ends of pieces to line feeds, tabs to spaces.
 SMALL = bytes(10 if b in ENDS else 32 if b == 9 else b for b in bytes(range(256)).lower())
-STRIPE = "lang string, prefix string, slice int, next array<string>, n array<bigint>"
+#: Next words are joined by spaces, of which words have none; the entry for none is an empty word.
+STRIPE = "lang string, prefix string, slice int, next string, n array<int>"
 
 
 class Ids(dict):
@@ -78,14 +81,14 @@ def blocks(text: str) -> Iterator[bytes]:
 def chunks(text: str) -> Iterator[tuple[list[bytes], int]]:
     """Words of a text and ends of pieces, and how many of them may start a phrase here.
 
-    A piece of more than ``FLUSH`` words is cut, and the two words after the cut come along to end its phrases.
+    A piece of more than ``CHUNK`` words is cut, and the two words after the cut come along to end its phrases.
     """
     for data in blocks(text):
         tokens = (data.replace(b"\n", b" \n ") + b" \n").split(b" ")
-        for at in range(0, len(tokens), FLUSH):
-            own = list(filter(None, tokens[at: at + FLUSH]))
+        for at in range(0, len(tokens), CHUNK):
+            own = list(filter(None, tokens[at: at + CHUNK]))
             # double spaces leave empty words, which are none of the two words after the cut
-            ahead = islice(filter(None, islice(tokens, at + FLUSH, None)), 2)
+            ahead = islice(filter(None, islice(tokens, at + CHUNK, None)), 2)
             yield [*own, *ahead, b"\n"], len(own)
 
 
@@ -112,17 +115,17 @@ def _batch(lang: str, words: pa.Array, slices: np.ndarray, prefix: tuple[np.ndar
     names = words.take(pa.array(head & low))
     if len(prefix) == 2:
         names = pc.binary_join_element_wise(words.take(pa.array(head >> ID_BITS)), names, pa.scalar(" ", pa.string()))
-    # the end of a piece and whatever cannot be frequent is the entry for none
-    nexts = words.take(pa.array(following, mask=following == END))
+    nexts = pa.ListArray.from_arrays(offsets, words.take(pa.array(following)))
     return pa.RecordBatch.from_arrays([
-        pa.array([lang] * len(starts), pa.string()), names, pa.array(cut, pa.int32()), pa.ListArray.from_arrays(offsets, nexts),
-        pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))], names=["lang", "prefix", "slice", "next", "n"])
+        pa.array([lang] * len(starts), pa.string()), names, pa.array(cut, pa.int32()), pc.binary_join(nexts, " "),
+        pa.ListArray.from_arrays(offsets, pa.array(n, pa.int32()))], names=["lang", "prefix", "slice", "next", "n"])
 
 
 def stripes(docs: DataFrame, prefix_words: int, frequent=None) -> DataFrame:
     """Stripes of all texts as the tasks build them; ``frequent`` broadcasts the filter that two-word prefixes need."""
     def flush(ids: Ids, held: dict) -> Iterator[pa.RecordBatch]:
-        words, hashes = pa.array(ids, pa.binary()).cast(pa.string()), ids.hashes()
+        # the end of a piece and whatever cannot be frequent is the entry for none
+        words, hashes = pa.array([b"", *islice(ids, 1, None)], pa.binary()).cast(pa.string()), ids.hashes()
         slices = (hashes % np.uint64(SLICES)).astype(np.int64)
         for lang, parts in held.items():
             w = np.concatenate([a for a, _ in parts] + [np.array([END, END])])
@@ -164,9 +167,9 @@ def merged(parts: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
     ``total`` counts every entry; ``extensions`` keeps those of at least ``least``. One shuffle, by prefix and slice.
     """
     key = ["lang", "prefix", "slice"]
-    dealt = parts.repartition(*key).select(*key, F.inline(F.arrays_zip("next", "n")))
+    dealt = parts.repartition(*key).select(*key, F.inline(F.arrays_zip(F.split("next", " ").alias("next"), "n")))
     summed = dealt.groupBy(*key, "next").agg(F.sum("n").alias("a"))
-    kept = F.when(F.col("next").isNotNull() & (F.col("a") >= least), F.struct("next", "a"))
+    kept = F.when((F.col("next") != "") & (F.col("a") >= least), F.struct("next", "a"))
     return summed.groupBy(*key).agg(F.sum("a").alias("total"), F.collect_list(kept).alias("extensions"))
 
 
@@ -235,12 +238,15 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP) -> D
         three_words = _with(three_words, frame, at, name)
 
     scored = two_words.select("lang", "phrase", "a", F.col("l1").alias("l"), F.col("r1").alias("r"), _score("l1", "r1").alias("score"))
-    first, second = F.col("score1"), F.col("score2")
+    score1, score2 = F.col("score1"), F.col("score2")
     cut = three_words.withColumns({"score1": _score("l1", "r1"), "score2": _score("l2", "r2")})
     scored = scored.unionByName(cut.select("lang", "phrase", "a", *[
-        F.when(first <= second, F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(c) for c in ("l", "r", "score")]))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+        F.when(score1 <= score2, F.col(f"{c}1")).otherwise(F.col(f"{c}2")).alias(c) for c in ("l", "r", "score")]))
+    order = F.desc("score"), F.desc("a"), "phrase"
+    # the best of every part hold the best of all, and their number does not grow
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    first = scored.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     sizes = one.groupBy("lang").agg(F.sum("total").alias("n"))
     return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 

@@ -63,6 +63,7 @@ def test_small_flushes_and_cut_pieces_change_nothing(ready, monkeypatch):
     words = [f"w{i}" for i in range(12)]
     rows = [("en", "  ".join(draw.choice(words, 500))) for _ in range(20)] + [("de", ". ".join(" ".join(draw.choice(words, 7)) for _ in range(300)))]
     monkeypatch.setattr(collocations, "FLUSH", 64)
+    monkeypatch.setattr(collocations, "CHUNK", 32)
     monkeypatch.setattr(collocations, "BLOCK_BYTES", 100)
     assert rows_of(mine(frame(ready, rows))) == brute(rows)
     monkeypatch.setattr(collocations, "FILTER_BITS", 1 << 15)
