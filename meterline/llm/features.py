@@ -1,17 +1,17 @@
 """Presence features of texts for the classifiers: words without their punctuation, and the shape of the whole text.
 
-Features are 64-bit hashes, so no vocabulary is built. A table of selected features is small by a parameter and goes to
-every task; words outside it cost one look-up.
+Features are 64-bit hashes, so no vocabulary is built. A batch of texts is taken apart at once: every distinct word of the batch is
+trimmed and hashed one time, however often it stands in it, and what is counted per text is counted on word numbers.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-from operator import eq
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,7 +20,9 @@ from meterline.llm.common import saved
 PUNCTUATION = "#*$%&|<>!?.,;:()[]{}\"'`-_/\\+=~^@"
 SYMBOLS = "#*$%&|<>"
 #: Upper bounds of the classes into which a share of a text is put.
-SHARES = (0.0, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.75)
+SHARES = np.array([0.0, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.75])
+#: Bytes of texts that are taken apart at a time; a longer text comes alone.
+SLICE_BYTES = 1 << 22
 
 
 def feature(name: str) -> int:
@@ -28,47 +30,84 @@ def feature(name: str) -> int:
     return xxhash.xxh3_64_intdigest(name) - (1 << 63)
 
 
-class Words(dict):
-    """Raw word to its feature; forgets everything when it holds too many."""
-
-    most = 100_000
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = feature("w:" + word.strip(PUNCTUATION).lower())
-        return value
-
-
-def _level(share: float) -> int:
-    return sum(share > s for s in SHARES)
-
-
-def shape(text: str, counts: Counter, total: int) -> list[int]:
-    """Classes of symbol, capital, exclamation, variety and stutter shares, and of length."""
-    words = max(total, 1)
-    symbols = sum(map(text.count, SYMBOLS)) / words
-    capitals = sum(counts[w] for w in filter(str.isupper, counts) if len(w) > 1) / words
-    top = max(counts.values(), default=0) / words
-    variety = len(counts) / words
-    size = min(total, 1 << 20).bit_length()
-    return [feature(f"{kind}:{level}") for kind, level in (
-        ("symbols", _level(symbols)), ("capitals", _level(capitals)), ("calls", _level(text.count("!") / words)),
-        ("variety", f"{_level(variety)}/{size}"), ("top", f"{_level(top)}/{size}"), ("size", size),
-    )]
-
-
-def features(text: str | None, cache: Words) -> tuple[set[int], int]:
-    """Distinct features of a whole text and its number of words."""
-    text = text or ""
-    words = text.split()
-    counts = Counter(words)
-    found = set(map(cache.__getitem__, counts))
-    found.update(shape(text, counts, len(words)))
-    if len(words) > 1:
-        again = sum(map(eq, words, words[1:])) / len(words)
-        found.add(feature(f"stutter:{_level(again)}"))
-    return found, len(words)
+def _shape_feature(kind: str, level: int, size: int) -> int:
+    return feature(f"{kind}:{level}/{size}" if size >= 0 else f"{kind}:{level}")
+
+
+class Found(NamedTuple):
+    """The number of words of each text, and its features as (text, feature) pairs, text by text."""
+    words: np.ndarray
+    owner: np.ndarray
+    ids: np.ndarray
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Stretches of a column of texts of bounded size, with the place of the first; null is empty."""
+    texts = pc.fill_null(texts, "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, side="right")))
+        yield at, texts.slice(at, end - at)
+        at = end
+
+
+def _shapes(texts: pa.Array, owner: np.ndarray, codes: np.ndarray, capital: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Classes of symbol, capital, exclamation, variety, top, stutter shares, and of length; one row of features per text."""
+    n = len(texts)
+    words = np.bincount(owner, minlength=n)
+    of = np.maximum(words, 1)
+    # a text's number of words may take any value; its length in bits is its class
+    size = np.array([int(w).bit_length() for w in words], dtype=np.int64)
+
+    def level(share: np.ndarray) -> np.ndarray:
+        return np.searchsorted(SHARES, share, side="left")
+    symbols = sum(pc.count_substring(texts, c).to_numpy(zero_copy_only=False) for c in SYMBOLS)
+    distinct, top = np.bincount(pairs, minlength=n), np.zeros(n, dtype=np.int64)
+    np.maximum.at(top, pairs, times)
+    again = owner[1:][(codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])]
+    none = np.full(n, -1)
+    kinds = (
+        ("symbols", level(symbols / of), none), ("capitals", level(np.bincount(owner, weights=capital[codes], minlength=n) / of), none),
+        ("calls", level(pc.count_substring(texts, "!").to_numpy(zero_copy_only=False) / of), none), ("variety", level(distinct / of), size),
+        ("top", level(top / of), size), ("size", size, none), ("stutter", level(np.bincount(again, minlength=n) / of), none),
+    )
+    return np.array([[_shape_feature(kind, int(v), int(z)) for v, z in zip(values, sizes, strict=True)] for kind, values, sizes in kinds], dtype=np.int64).T.reshape(n, len(kinds))
+
+
+def features(texts: pa.Array) -> Found:
+    """Features of whole texts, each at most once for each of its spellings in a text."""
+    split = pc.utf8_split_whitespace(texts)
+    flat = split.flatten()
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    there = pc.greater(pc.binary_length(flat), 0)
+    encoded = flat.filter(there).dictionary_encode()
+    owner, codes, words = owner[there.to_numpy(zero_copy_only=False)], encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary
+    plain = pc.utf8_lower(pc.utf8_trim(words, characters=PUNCTUATION)).to_pylist()
+    ids = np.fromiter((feature("w:" + w) for w in plain), np.int64, len(plain))
+    capital = pc.and_(pc.utf8_is_upper(words), pc.greater(pc.utf8_length(words), 1)).to_numpy(zero_copy_only=False).astype(float)
+    known = max(len(plain), 1)
+    pair, times = np.unique(owner * known + codes, return_counts=True)
+    pairs, kinds = pair // known, pair % known
+    shapes = _shapes(texts, owner, codes, capital, pairs, times)
+    whose, found = np.concatenate([pairs, np.repeat(np.arange(len(texts)), shapes.shape[1])]), np.concatenate([ids[kinds], shapes.ravel()])
+    order = np.argsort(whose, kind="stable")
+    return Found(np.bincount(owner, minlength=len(texts)), whose[order], found[order])
+
+
+def scores(texts: pa.Array, place: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of words, and the sums of the weights of the distinct rows that ``place`` gives the features' buckets."""
+    words, out = np.zeros(len(texts), dtype=np.int64), np.zeros((len(texts), weights.shape[1]))
+    for at, part in slices(texts):
+        found = features(part)
+        words[at: at + len(part)] = found.words
+        rows = place[found.ids & (WIDTH - 1)]
+        own = rows >= 0
+        key = np.unique(found.owner[own] * len(weights) + rows[own])
+        owner, starts = np.unique(key // len(weights), return_index=True)
+        if len(key):
+            out[at + owner] = np.add.reduceat(weights[key % len(weights)], starts)
+    return words, out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
@@ -82,37 +121,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 def sample_features(sample: DataFrame) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Words()
         for batch in batches:
-            found = [list(features(t, cache)[0]) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "y", "found"])
+            texts = batch.column("text")
+            for at, part in slices(texts):
+                found = features(part)
+                offsets = pa.array(np.searchsorted(found.owner, np.arange(len(part) + 1)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, len(part)), batch.column("y").slice(at, len(part)), pa.ListArray.from_arrays(offsets, pa.array(found.ids))],
+                    names=["doc_id", "y", "found"])
     return saved(sample.mapInArrow(each, f"doc_id bigint, y {sample.schema['y'].dataType.simpleString()}, found array<bigint>"), "features")
 
 
-def screen(rows: DataFrame, classes: list, least: int, z: float, most: int) -> list[int]:
-    """Features whose share of some class differs from the overall share by ``z`` standard errors; the clearest ``most``."""
-    n = rows.groupBy("y").agg(F.count("*").alias("n")).collect()
-    total = sum(r["n"] for r in n)
-    share = {r["y"]: r["n"] / total for r in n}
-    seen = rows.select("y", F.explode("found").alias("f")).groupBy("f").agg(
-        F.count("*").alias("n"), *[F.sum(F.when(F.col("y") == c, 1).otherwise(0)).alias(f"n{i}") for i, c in enumerate(classes)])
-    scores = [F.abs(F.col(f"n{i}") - F.col("n") * share[c]) / F.sqrt(F.col("n") * max(share[c] * (1 - share[c]), 1e-9)) for i, c in enumerate(classes)]
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    clear = seen.where(F.col("n") >= least).select("f", best.alias("z")).where(F.col("z") >= z)
-    return [r["f"] for r in clear.orderBy(F.desc("z"), "f").limit(most).collect()]
-
-
-def dense(rows: DataFrame, selected: list[int]) -> tuple[np.ndarray, list]:
-    """The bounded sample as a 0/1 matrix over the selected features, and its labels."""
-    chosen = F.array(*[F.lit(f) for f in selected]) if selected else F.array().cast("array<bigint>")
-    got = rows.select("doc_id", "y", F.array_intersect("found", chosen).alias("found")).orderBy("doc_id").collect()
-    place = {f: i for i, f in enumerate(selected)}
-    x = np.zeros((len(got), len(selected)), dtype=np.float32)
-    for i, r in enumerate(got):
-        x[i, [place[f] for f in r["found"]]] = 1
-    return x, [r["y"] for r in got]
-
-
 #: Buckets of the hashing trick; a power of two.
 WIDTH = 1 << 18
 #: Entries of a sparse sample that are multiplied at a time.
@@ -167,11 +186,38 @@ class Hashed:
         return out
 
 
-def adam(step, size: tuple[int, ...], rounds: int = 400, rate: float = 0.05) -> np.ndarray:
-    """Minimise by Adam; ``step(w)`` gives the gradient."""
-    w, m, v = (np.zeros(size) for _ in range(3))
-    for t in range(1, rounds + 1):
-        g = step(w)
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+def minimise(value_and_gradient: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray, tolerance: float = 1e-5, memory: int = 10) -> np.ndarray:
+    """The minimum of a smooth convex function by limited-memory BFGS, until no entry of the gradient exceeds ``tolerance``.
+
+    It also ends where rounding lets no step lower the value any more.
+    """
+    w, (value, g) = start.copy(), value_and_gradient(start)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    while np.abs(g).max(initial=0.0) > tolerance:
+        d = g.copy()
+        weights = []
+        for s, y in reversed(steps):
+            a = (s.ravel() @ d.ravel()) / (s.ravel() @ y.ravel())
+            weights.append(a)
+            d -= a * y
+        d *= (steps[-1][0].ravel() @ steps[-1][1].ravel()) / (steps[-1][1].ravel() @ steps[-1][1].ravel()) if steps else 1.0
+        for (s, y), a in zip(steps, reversed(weights), strict=True):
+            d += s * (a - (y.ravel() @ d.ravel()) / (s.ravel() @ y.ravel()))
+        slope, part = d.ravel() @ g.ravel(), 1.0
+        while True:
+            ahead = w - part * d
+            new_value, new_g = value_and_gradient(ahead)
+            if new_value <= value - 1e-4 * part * slope:
+                break
+            part /= 2
+            if part < 1e-10:
+                if not steps:
+                    return w
+                # forget the curvature and go downhill
+                steps, ahead, new_value, new_g = [], w, value, g
+                break
+        s, y = ahead - w, new_g - g
+        if s.ravel() @ y.ravel() > 1e-12 * (y.ravel() @ y.ravel()):
+            steps = [*steps, (s, y)][-memory:]
+        w, value, g = ahead, new_value, new_g
     return w

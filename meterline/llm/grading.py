@@ -4,8 +4,8 @@ Grades are ordered: 0 toxic, 1 low quality, 2 good. One weight per hashed text f
 thresholds cut the score: ``P(grade >= k) = sigmoid(score - threshold_k)``. From it follow the expected grade and the tail
 probability by which documents are selected.
 
-The fit uses at most about ``MOST_ROWS`` labelled documents and ``MOST_FEATURES`` features, both parameters; scoring covers
-every whole text.
+The fit uses at most about ``MOST_ROWS`` labelled documents, a parameter, and every hashed feature that clears its test for a grade;
+scoring covers every whole text.
 
 Defined results: a null or empty text is scored by its shape alone; a document rated more than once counts by its lowest
 grade; rows with a null rating are left out; without ratings, or with a single grade, every document gets the prior of
@@ -21,11 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterline.llm.features import Words, adam, dense, features, labelled_sample, sample_features, screen
+from meterline.llm.features import WIDTH, Hashed, hashed_sample, labelled_sample, minimise, sample_features, scores
 
 GOOD = 2
 MOST_ROWS = 20_000
-MOST_FEATURES = 512
 #: A feature takes part when it is in this many rated documents and this many standard errors off the mean.
 LEAST_DOCS = 5
 LEAST_Z = 5.0
@@ -36,13 +35,18 @@ SCORES = "doc_id bigint, score double, expected_grade double, p_good double"
 
 @dataclass(frozen=True)
 class OrdinalModel:
-    weights: dict[int, float]
+    weights: dict[int, float]  # by bucket of features
     thresholds: tuple[float, ...]
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """``P(grade >= k)`` for k = 1, 2, ..."""
         return sigmoid(scores[:, None] - np.array(self.thresholds))
 
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        place = np.full(WIDTH, -1, dtype=np.int64)
+        place[list(self.weights)] = np.arange(len(self.weights))
+        return scores(texts, place, np.array([*self.weights.values()]).reshape(-1, 1))[1][:, 0]
+
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
@@ -54,18 +58,25 @@ def grades(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", y.cast("int").alias("y"))
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, selected: list[int], penalty: float = PENALTY) -> OrdinalModel:
-    """Thresholds stay ordered because each lies a positive step above the one before."""
+def fit_ordinal(x, y: np.ndarray, selected: list[int], penalty: float = PENALTY) -> OrdinalModel:
+    """``x``: the features of the graded documents, as :class:`features.Hashed` or as a plain matrix.
+
+    Thresholds stay ordered because each lies a positive step above the one before.
+    """
     k = GOOD
-    rows = np.arange(len(y))
+    rows, width = np.arange(len(y)), len(selected)
+    if isinstance(x, np.ndarray):
+        dot, transposed = x.__matmul__, x.T.__matmul__
+    else:
+        dot, transposed = (lambda w: x.dot(w[:, None])[:, 0]), (lambda off: x.transposed_dot(off[:, None])[:, 0])
 
     def parts(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         steps = np.exp(np.clip(w[-k + 1:], -8, 8))
         return np.concatenate([[w[-k]], w[-k] + np.cumsum(steps)]), steps
 
-    def gradient(w: np.ndarray) -> np.ndarray:
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         cuts, steps = parts(w)
-        tail = np.hstack([np.ones((len(y), 1)), sigmoid((x @ w[:-k].astype(np.float32))[:, None] - cuts), np.zeros((len(y), 1))])
+        tail = np.hstack([np.ones((len(y), 1)), sigmoid(dot(w[:-k])[:, None] - cuts), np.zeros((len(y), 1))])
         upper, lower = tail[rows, y], tail[rows, y + 1]
         p = np.maximum(upper - lower, 1e-9)
         slope = tail * (1 - tail)
@@ -76,11 +87,11 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, selected: list[int], penalty: floa
         by_cut[rows, y + 1] += slope[rows, y + 1] / p
         cut = by_cut[:, 1:-1].mean(axis=0)
         g = np.empty_like(w)
-        g[:-k] = -(x.T @ by_score.astype(np.float32)) / len(y) + penalty * w[:-k]
+        g[:-k] = -transposed(by_score) / len(y) + penalty * w[:-k]
         g[-k] = -cut.sum()
         g[-k + 1:] = -np.cumsum(cut[::-1])[::-1][1:] * steps
-        return g
-    w = adam(gradient, (x.shape[1] + k,))
+        return -float(np.log(p).mean()) + penalty / 2 * float((w[:-k] ** 2).sum()), g
+    w = minimise(loss, np.zeros(width + k))
     cuts, _ = parts(w)
     return OrdinalModel(dict(zip(selected, w[:-k].tolist(), strict=True)), tuple(cuts.tolist()))
 
@@ -91,18 +102,17 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Ord
     if len(present) < 2:
         grade = present[0] if present else GOOD
         return OrdinalModel({}, tuple(-8.0 if grade >= k else 8.0 for k in range(1, GOOD + 1)))
-    selected = screen(rows, present, LEAST_DOCS, LEAST_Z, MOST_FEATURES)
-    x, y = dense(rows, selected)
-    return fit_ordinal(x, np.array(y), selected)
+    y, sample = hashed_sample(rows)
+    x = Hashed(sample, np.eye(len(present))[[present.index(v) for v in y]], LEAST_DOCS, LEAST_Z)
+    return fit_ordinal(x, np.array(y), x.selected.tolist())
 
 
 def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """``doc_id, score, expected_grade, p_good, kept`` of every row."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, weights = Words(), model.weights
         for batch in batches:
-            s = np.array([sum(weights.get(f, 0.0) for f in features(t, cache)[0]) for t in batch.column("text").to_pylist()])
-            tails = model.tails(s.reshape(-1))
+            s = model.scores(batch.column("text"))
+            tails = model.tails(s)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s, pa.float64()), pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])], names=[x.split()[0] for x in SCORES.split(", ")])
     return docs.select("doc_id", "text").mapInArrow(each, SCORES).withColumn("kept", F.col("p_good") >= KEEP_FROM)
 
@@ -113,8 +123,6 @@ def select_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     columns = docs.columns
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, weights = Words(), model.weights
         for batch in batches:
-            s = np.array([sum(weights.get(f, 0.0) for f in features(t, cache)[0]) for t in batch.column("text").to_pylist()], dtype=float)
-            yield batch.filter(pa.array(model.tails(s.reshape(-1))[:, -1] >= KEEP_FROM))
+            yield batch.filter(pa.array(model.tails(model.scores(batch.column("text")))[:, -1] >= KEEP_FROM))
     return docs.select(columns).mapInArrow(each, docs.schema)

@@ -1,19 +1,22 @@
 """Mixing to target weights with soft membership.
 
 A softmax classifier learned from a labelled table gives each document a posterior over domains. A document of ``n`` tokens
-and posterior ``p`` adds ``n * p * rate`` expected tokens to the domains. Nonnegative rates are fitted so that the domain
-totals meet the targets, as the minimum of
+and posterior ``p`` adds ``n * p * rate`` expected tokens to the domains. Nonnegative rates are fitted by projected gradient to
+the least squares
 
-    1/2 sum_d (total_d(rate) - target_d)^2 / natural_d  +  PENALTY/2 sum_i n_i (rate_i - 1)^2
+    1/2 (total(rate) - target)' G^-1 (total(rate) - target),    G = sum_i n_i p_i p_i'
 
-At the minimum ``rate_i = clip(1 - p_i . m, low, high)``, where ``PENALTY * m_d`` is what domain ``d`` is off its target,
-relative to its natural total. So one multiplier per domain gives every rate, and the multipliers are found by Newton steps on
-the concave dual. A step needs one pass: sums per domain, and per pair of domains over the documents between their bounds.
-Nothing else passes through the driver and no rates are stored between steps. Steps end at the minimum, not after a number.
+where ``G`` is the Gram matrix of the domains. A step goes from the gradient per token and is projected on the bounds,
+``rate_i <- clip(rate_i - p_i . s, low, high)`` with ``s = G^-1 (total - target)``. In the metric of the tokens the curvature of that
+function is a projection, so this step always descends, and where no bound is touched it meets the targets at once. Where
+bounds hold many rates, the Gram matrix of the documents between them is the better preconditioner: every pass tries
+steps by it, and longer ones, beside the plain step, and the lowest sum of squares is taken. Only totals and Gram matrices come to the
+driver, and no rates are stored: tasks find a document's rate from its posterior and the steps so far. The fit ends where the
+plain step moves no domain's total any more, or no step lowers the sum of squares, and not after a number of steps.
 
 Defined results: a null or empty text has no tokens and keeps the posterior of its shape; with no tokens at all every rate
 is 1; without labels the only domain is ``other``; domains without a target keep their natural total; targets of unknown
-domains are ignored and the rest rescaled; repeated rows get equal rates. Only the id and text columns are read.
+domains are ignored and the rest rescaled; repeated rows get equal rates. Domain labels also read ``lang``.
 """
 
 from __future__ import annotations
@@ -24,20 +27,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meterline.llm.common import saved
-from meterline.llm.features import Hashed, Words, adam, bucket, features, hashed_sample, labelled_sample, sample_features
+from meterline.llm.features import WIDTH, Hashed, hashed_sample, labelled_sample, minimise, sample_features, scores
 
 MOST_ROWS = 20_000
 LEAST_DOCS = 5
 LEAST_Z = 5.0
 PENALTY = 1e-4
-#: Steps end when no domain's total is further from that of the minimum's condition than this part of its natural total.
+#: Steps end when a step moves no domain's total by more than this part of its natural total.
 TOLERANCE = 1e-6
-#: Parts of a step tried in one pass.
-PARTS = 0.5 ** np.arange(8)
-LEAST_PART = 0.5 ** 60
+#: They also end when none lowers the sum of squares by this part of it: targets that the bounds forbid are approached slowly.
+STILL = 1e-9
+#: Longer plain steps that a pass tries, and the dampings and lengths of steps by the documents between their bounds.
+LONGER, DAMPINGS, LENGTHS = (4, 16, 64), (1e-8, 1e-6, 1e-4, 1e-3, 1e-2, 1e-1), (1.0, 0.3)
 #: A domain that ends further from its target than this part of it is logged.
 NOTABLE = 0.01
 POSTERIORS = "doc_id bigint, text_hash bigint, n_tokens bigint, posterior array<double>"
@@ -49,11 +53,18 @@ class DomainModel:
     rows: dict[int, int]  # bucket of features to row
     weights: np.ndarray  # one row per bucket that says something, and the bias as the last
 
-    def posteriors(self, found: set[int]) -> np.ndarray:
-        at = [self.rows[b] for b in set(map(bucket, found)) if b in self.rows]
-        s = self.weights[at].sum(axis=0) + self.weights[-1]
-        e = np.exp(s - s.max())
-        return e / e.sum()
+    def posteriors(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of words, and one row of probabilities per text."""
+        words, s = scores(texts, places(self.rows), self.weights[:-1])
+        s += self.weights[-1]
+        e = np.exp(s - s.max(axis=1, keepdims=True))
+        return words, e / e.sum(axis=1, keepdims=True)
+
+
+def places(rows: dict[int, int]) -> np.ndarray:
+    place = np.full(WIDTH, -1, dtype=np.int64)
+    place[list(rows)] = list(rows.values())
+    return place
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> DomainModel:
@@ -66,65 +77,60 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Dom
     truth = np.eye(len(domains), dtype=np.float32)[[domains.index(v) for v in y]]
     x = Hashed(sample, truth, LEAST_DOCS, LEAST_Z)
 
-    def gradient(w: np.ndarray) -> np.ndarray:
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         s = x.dot(w[:-1].astype(np.float32)) + w[-1].astype(np.float32)
-        e = np.exp(s - s.max(axis=1, keepdims=True))
-        off = (e / e.sum(axis=1, keepdims=True) - truth) / len(y)
-        return np.vstack([x.transposed_dot(off) * x.says + 1e-4 * w[:-1], off.sum(axis=0)])
-    w = adam(gradient, (len(x.selected) + 1, len(domains)), rounds=200)
+        s -= s.max(axis=1, keepdims=True)
+        e = np.exp(s)
+        total = e.sum(axis=1, keepdims=True)
+        off = (e / total - truth) / len(y)
+        value = float((np.log(total)[:, 0].astype(float) - (s * truth).sum(axis=1)).mean()) + PENALTY / 2 * float((w[:-1] ** 2).sum())
+        return value, np.vstack([x.transposed_dot(off) * x.says + PENALTY * w[:-1], off.sum(axis=0)])
+    w = minimise(loss, np.zeros((len(x.selected) + 1, len(domains))))
     return DomainModel(tuple(domains), {b: i for i, b in enumerate(x.selected.tolist())}, w)
 
 
 def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Words()
         for batch in batches:
-            tokens, found = [], []
-            for t in batch.column("text").to_pylist():
-                f, n = features(t, cache)
-                tokens.append(n)
-                found.append(model.posteriors(f).tolist())
+            words, p = model.posteriors(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(tokens, pa.int64()), pa.array(found, pa.list_(pa.float64()))],
-                names=["doc_id", "text_hash", "n_tokens", "posterior"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(words), _lists(p)], names=["doc_id", "text_hash", "n_tokens", "posterior"])
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(each, POSTERIORS)
 
 
-def rates(p: np.ndarray, history: np.ndarray, low: float, high: float) -> np.ndarray:
-    """The rates of documents with posteriors ``p``; the multipliers are the sum of the steps in ``history``, one row each."""
-    return np.clip(1 - p @ history.sum(axis=0), low, high) if len(history) else np.ones(len(p))
+def _lists(p: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel()))
 
 
-@dataclass(frozen=True)
-class Sums:
-    """What one pass finds at given multipliers."""
-    total: np.ndarray
-    gram: np.ndarray  # over the documents between their bounds
-    value: float  # the documents' part of the dual
+def rates(p: np.ndarray, history: np.ndarray, low: float, high: float) -> np.ndarray:
+    """The rates of documents with posteriors ``p`` after the steps in ``history``, one row each."""
+    x = np.ones(len(p))
+    for step in history:
+        x = np.clip(x - p @ step, low, high)
+    return x
 
 
-def _sums(rows: DataFrame, multipliers: np.ndarray, low: float, high: float) -> list[Sums]:
-    """One pass for all rows of ``multipliers``."""
-    m, k = multipliers.shape
-    width = k + k * k + 1
+def _sums(rows: DataFrame, history: np.ndarray, tried: np.ndarray, low: float, high: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each step in ``tried`` after those in ``history``: totals by domain, and the Gram matrix of the documents between their bounds."""
+    m, k = tried.shape
+    width = k + k * k
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((m, width))
         for batch in batches:
             n, p = _arrays(batch, k)
+            before = rates(p, history, low, high)
             for i in range(m):
-                s = p @ multipliers[i]
-                x = np.clip(1 - s, low, high)
-                free = n * (x == 1 - s)
+                x = np.clip(before - p @ tried[i], low, high)
                 sums[i, :k] += (n * x) @ p
-                sums[i, k:-1] += ((p * free[:, None]).T @ p).ravel()
-                sums[i, -1] += n @ ((x - 1) ** 2 / 2 + s * x)
+                sums[i, k:] += ((p * (n * ((x > low) & (x < high)))[:, None]).T @ p).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(range(m * width), pa.int32()), pa.array(sums.ravel())], names=["at", "total"])
     found = rows.select("n_tokens", "posterior").mapInArrow(each, "at int, total double").groupBy("at").agg(F.sum("total").alias("total"))
     out = np.zeros(m * width)
     for r in found.collect():
         out[r["at"]] = r["total"]
-    return [Sums(s[:k], s[k:-1].reshape(k, k), s[-1]) for s in out.reshape(m, width)]
+    out = out.reshape(m, width)
+    return out[:, :k], out[:, k:].reshape(m, k, k)
 
 
 def _arrays(batch: pa.RecordBatch, domains: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,38 +152,36 @@ def target_totals(natural: np.ndarray, domains: tuple[str, ...], weights: dict[s
 
 
 def fit_rates(rows: DataFrame, domains: tuple[str, ...], weights: dict[str, float], low: float = 0.0, high: float = 1e6, grow: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Multipliers (one row), the totals of their rates and the targets."""
+    """The steps, one row each, the totals of the rates that they lead to, and the targets."""
     k = len(domains)
-    at = np.zeros(k)
-    natural = _sums(rows, at[None], 1.0, 1.0)[0].total
-    target = target_totals(natural, domains, weights, grow)
-    base = np.maximum(natural, 1.0)
-    scale = 1 / np.sqrt(base)
-
-    def slope(m: np.ndarray, sums: Sums) -> np.ndarray:
-        return sums.total - target - PENALTY * base * m
-
-    def value(m: np.ndarray, sums: Sums) -> float:
-        return sums.value - m @ target - PENALTY / 2 * base @ m**2
-
-    here = _sums(rows, at[None], low, high)[0]
-    while np.abs(up := slope(at, here)).max() > 0 and np.abs(up / base).max() > TOLERANCE:
-        curve = scale[:, None] * here.gram * scale + PENALTY * np.eye(k)
-        step = scale * np.linalg.solve(curve, scale * up)
-        part, taken = 1.0, None
-        while taken is None:
-            if part < LEAST_PART:
-                raise ArithmeticError(f"no part of a step improves the multipliers {at.tolist()}")
-            tried = [at + a * step for a in part * PARTS]
-            for m, sums in zip(tried, _sums(rows, np.array(tried), low, high), strict=True):
-                still = slope(m, sums)
-                # the dual is concave: a slope that still rises says that it grew
-                if still @ step >= 0 or value(m, sums) - value(at, here) >= 1e-4 * (m - at) @ up or np.abs(still / base).max() < np.abs(up / base).max() / 2:
-                    taken = m, sums
-                    break
-            part *= PARTS[-1] / 2
-        at, here = taken
-    return at[None], here.total, target
+    history, none = np.zeros((0, k)), np.zeros((1, k))
+    # with bounds that hold no rate, every document counts
+    totals, grams = _sums(rows, history, none, -np.inf, np.inf)
+    total, natural, gram = totals[0], totals[0], grams[0]
+    target, base = target_totals(natural, domains, weights, grow), np.maximum(natural, 1.0)
+    values, turn = np.linalg.eigh(gram)
+    # directions nearly without tokens would make the matrix singular
+    half = (turn / np.sqrt(np.maximum(values, max(1e-9 * values[-1], 1.0)))) @ turn.T
+
+    def squares(t: np.ndarray) -> float:
+        return float(((half @ (t - target)) ** 2).sum()) / 2
+    free = gram if low < 1 < high else np.zeros((k, k))
+    while True:
+        off = half @ (total - target)
+        plain = half @ off
+        values, turn = np.linalg.eigh(half @ free @ half)
+        near = [half @ (turn @ (values / (values**2 + d) * (turn.T @ off))) for d in DAMPINGS]
+        tried = np.array([plain, *(a * plain for a in LONGER), *(a * s for s in near for a in LENGTHS)])
+        totals, grams = _sums(rows, history, tried, low, high)
+        best = min(range(len(tried)), key=lambda i: squares(totals[i]))
+        lower = squares(total) - squares(totals[best])
+        done = np.abs((totals[0] - total) / base).max() <= TOLERANCE or (len(history) and lower <= STILL * squares(total))
+        if done and len(history):
+            return history, total, target
+        # the first step also takes the rates into their bounds
+        history, total, free = np.vstack([history, tried[best]]), totals[best], grams[best]
+        if done and lower <= 0:
+            return history, total, target
 
 
 def reached(spark: SparkSession, domains: tuple[str, ...], total: np.ndarray, target: np.ndarray) -> DataFrame:
@@ -223,22 +227,45 @@ def digest(mixed_rows: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame, model: DomainModel, history: np.ndarray, low: float, high: float) -> DataFrame:
-    """The rows of ``docs``, columns unchanged, each as often as its ``copies``; texts are scored again instead of joined."""
-    columns = docs.columns
+    """The rows of ``docs``, columns unchanged, each as often as its ``copies``."""
+    return copied(with_posteriors(docs, model), docs.columns, len(model.domains), history, low, high)
+
+
+def copied(scored: DataFrame, columns: list[str], n_domains: int, history: np.ndarray, low: float, high: float) -> DataFrame:
+    """The rows of ``scored`` without their posteriors, each as often as its rate, rounded by the hash of the id, says."""
     unit = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(1 << 30)) / float(1 << 30)
-    at = columns.index("text")
+    own = list(range(len(columns)))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = batch.column(len(columns)).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_domains)
+            copies = np.floor(rates(p, history, low, high) + batch.column(len(columns) + 1).to_numpy(zero_copy_only=False)).astype(int)
+            yield batch.select(own).take(pa.array(np.repeat(np.arange(len(copies)), copies), pa.int64()))
+    kept = scored.select(*columns, scored.columns[-1], unit.alias("_unit"))
+    return kept.mapInArrow(each, scored.select(*columns).schema)
+
+
+def with_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
+    """``docs`` with the number of words and the posterior as the two last columns, under names of their own."""
+    columns, extra = docs.columns, "_"
+    while f"{extra}posterior" in columns or f"{extra}n_tokens" in columns:
+        extra += "_"
+    at, own = columns.index("text"), list(range(len(columns)))
+    names = [*columns, f"{extra}n_tokens", f"{extra}posterior"]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Words()
         for batch in batches:
-            p = np.array([model.posteriors(features(t, cache)[0]) for t in batch.column(at).to_pylist()]).reshape(-1, len(model.domains))
-            copies = np.floor(rates(p, history, low, high) + batch.column(len(columns)).to_numpy(zero_copy_only=False)).astype(int)
-            yield batch.select(list(range(len(columns)))).take(pa.array(np.repeat(np.arange(len(copies)), copies), pa.int64()))
-    return docs.select(*columns, unit.alias("_unit")).mapInArrow(each, docs.schema)
+            words, p = model.posteriors(batch.column(at))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in own), pa.array(words), _lists(p)], names=names)
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[-2], T.LongType()), T.StructField(names[-1], T.ArrayType(T.DoubleType()))])
+    return docs.mapInArrow(each, schema)
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float], low: float = 0.0, high: float = 1e6, grow: bool = False) -> DataFrame:
+    """Texts are scored once: the fit and the copies both read what the scoring wrote."""
     model = train(docs, labels)
-    history, total, target = fit_rates(saved(posteriors(docs, model), "mix-posteriors"), model.domains, weights, low, high, grow)
+    scored = saved(with_posteriors(docs, model), "mix-scored")
+    tokens, posterior = scored.columns[-2:]
+    history, total, target = fit_rates(scored.select(F.col(tokens).alias("n_tokens"), F.col(posterior).alias("posterior")), model.domains, weights, low, high, grow)
     reached(docs.sparkSession, model.domains, total, target)
-    return repeated(docs, model, history, low, high)
+    return copied(scored, docs.columns, len(model.domains), history, low, high)
