@@ -34,6 +34,8 @@ def measures(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id", (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.regexp_count(text, F.lit(r"\S+")).cast("bigint").alias("tokens"), F.md5(F.col("text").cast("binary")).alias("group"),
+        # tells equal rows apart; written with the rest, so it stays as it is
+        F.monotonically_increasing_id().alias("at"),
     )
 
 
@@ -90,15 +92,15 @@ def vector_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
     own = groups.where(F.col("share") * BUNDLES_PER_SHARD > 1).select("g", F.lit(True).alias("own"))
     dealt = (
         rows.withColumn("g", group).join(F.broadcast(heavy), "g", "left").join(F.broadcast(own), "g", "left")
-        .withColumn("item", F.when(F.col("own"), F.concat_ws("/", "g", F.when(F.col("pieces").isNotNull(), pmod_hash(F.col("doc_id"), F.col("pieces"))))).otherwise(small))
-        .select("doc_id", "size", "text_crc32", "tokens", "item")
+        .withColumn("item", F.when(F.col("own"), F.concat_ws("/", "g", F.when(F.col("pieces").isNotNull(), pmod_hash(F.col("at"), F.col("pieces"))))).otherwise(small))
+        .select("doc_id", "size", "text_crc32", "tokens", "at", "item")
     )
     items = dealt.groupBy("item").agg(*_sums()).orderBy("item").collect()
     if not items:
         return rows.select("doc_id", "size", "text_crc32", "tokens", F.lit(0).alias("shard"), F.lit(0).cast("bigint").alias("slot"))
     chosen = place(np.array([[r[d] / whole[d] for d in DIMENSIONS] for r in items]), shards)
     places = spark.createDataFrame([(r["item"], int(s)) for r, s in zip(items, chosen, strict=True)], "item string, shard int")
-    placed = dealt.join(F.broadcast(places), "item").withColumn("cell", pmod_hash(F.col("doc_id"), CELLS))
+    placed = dealt.join(F.broadcast(places), "item").withColumn("cell", pmod_hash(F.col("at"), CELLS))
     return numbered(placed).select("doc_id", "size", "text_crc32", "tokens", "shard", "slot")
 
 
@@ -111,7 +113,7 @@ def numbered(placed: DataFrame) -> DataFrame:
     cells = placed.groupBy("shard", "cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = cells.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size", "at")
     return (
         placed.withColumn("k", F.row_number().over(inside))
         # at most CELLS rows per shard

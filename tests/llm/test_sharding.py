@@ -41,6 +41,18 @@ def test_hot_group_is_dealt_into_pieces(ready):
     assert len(got) == 3000 and max(load.values()) <= 1.2 * min(load.values())
 
 
+def test_repeated_rows_of_one_id_are_dealt(ready):
+    """Equal rows of one id are dealt like any others, and no cell holds them all."""
+    rows = ready.range(3200).selectExpr("case when id < 3000 then 7 else id end as doc_id", "case when id < 3000 then 'same text again' else concat('text number ', id) end as text")
+    got = sharding.vector_shards(rows, 8).collect()
+    load = Counter()
+    for r in got:
+        load[r.shard] += r.size
+    assert len(got) == 3200 and max(load.values()) <= 1.05 * min(load.values())
+    for shard in range(8):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+
+
 def test_placement_follows_the_residual_vector():
     items = np.array([[0.5, 0.1], [0.1, 0.5], [0.2, 0.2], [0.2, 0.2]])
     chosen = sharding.place(items, 2)
