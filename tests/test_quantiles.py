@@ -1,19 +1,20 @@
+import math
 import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.operators.quantiles import MARGIN, approximate_quantiles, exact_quantiles
+from meterline.operators.quantiles import MARGIN, approximate_quantiles, exact_quantiles, narrow
 from meterline.plans import profiles
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0]
 
 
-def check(spark, values, partitions=8):
+def check(spark, values, partitions=8, **options):
     data = [(None if v is None else float(v),) for v in values]
     df = spark.createDataFrame(data, "x double").repartition(partitions)
-    got = {r.probability: r.quantile for r in exact_quantiles(df, ["x"], PROBS).collect()}
+    got = {r.probability: r.quantile for r in exact_quantiles(df, ["x"], PROBS, **options).collect()}
     want = np.quantile([v for v in values if v is not None], PROBS)
     assert [got[p] for p in PROBS] == pytest.approx(list(want), rel=1e-12, abs=1e-12)
 
@@ -39,6 +40,23 @@ def test_sorted_input_where_partitions_differ(spark):
     assert got == pytest.approx({("x", 0.5): 24999.5, ("x", 0.99): 49499.01, ("y", 0.5): -24999.5, ("y", 0.99): -499.99})
 
 
+@pytest.mark.parametrize("most", [1, 50, 3_000])
+def test_repeated_narrowing(spark, most):
+    """Ties, heavy values and far ends, down to intervals of a single value."""
+    rng = np.random.default_rng(5)
+    check(spark, np.concatenate([np.full(3_000, 2.5), rng.normal(0, 5, 4_000), np.round(rng.normal(0, 5, 3_000), 1), [1e300, -1e300]]).tolist(), most=most)
+
+
+def test_ordered_groups_are_bounded(spark):
+    """All-distinct values: no interval that is ordered has more values than allowed, and few are ordered at all."""
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("x"))
+    totals, intervals, known = narrow(df, ["x"], PROBS, 1_000)
+    assert totals == {"x": 200_000} and max(i.n for i in intervals) <= 1_000
+    assert {r for i in intervals for r in i.ranks} | {r for _, r, _ in known} == {f(199_999 * p) for p in PROBS for f in (math.floor, math.ceil)}
+    got = {r.probability: r.quantile for r in exact_quantiles(df, ["x"], PROBS, 1_000).collect()}
+    assert [got[p] for p in PROBS] == pytest.approx(list(np.quantile((np.arange(200_000) * 7919) % 200_003, PROBS)), rel=1e-12)
+
+
 def test_empty_column(spark):
     df = spark.createDataFrame([(1.0, None)], "x double, y double")
     assert {r.metric for r in exact_quantiles(df, ["x", "y"], [0.5]).collect()} == {"x"}
