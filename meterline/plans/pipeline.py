@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.operators import kpis, quality, staging
 from meterline.sources import files
-from meterline.sources.tables import KeyedTable, remove_path, touch
+from meterline.sources.store import remove_path, touch
+from meterline.sources.tables import KeyedTable
 
 
 def curate_months(spark: SparkSession, data_root: str, curated_path: str, force: bool = False) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -10,21 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from meterline.operators.upsert import latest_per_key, merge_by_key
 from meterline.schemas import COMPLETE_TRIP, ZONE_HOURLY_KPIS
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
-def touch(spark: SparkSession, path: str) -> None:
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(jvm_path, True).close()
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+from meterline.sources.changelog import KeyedLog
+from meterline.sources.store import child_names, path_exists, read_text, remove_path, rename_path, touch, write_text
 
 
 @dataclass(frozen=True)
@@ -32,8 +20,8 @@ class KeyedTable:
     """A parquet table with unique ``keys``, partitioned by one column derived from the row.
 
     ``key_sets_partition`` says that equal keys always fall in the same partition. Then an upsert
-    needs no look at the table to know what to rewrite; otherwise the key column of the table is
-    scanned for rows that an update moves to another partition.
+    needs no look at the table to know what to rewrite; otherwise an index beside the table, bucketed by
+    the hash of the key, tells the partition of every key, and only the buckets of updated keys are read.
     """
 
     name: str
@@ -74,24 +62,33 @@ class KeyedTable:
     def upsert(self, spark: SparkSession, updates: DataFrame, batch_id: str, order_by: Sequence[str] = ()) -> int:
         """Insert or replace rows by key; returns the rows taken. ``batch_id`` names the delivery; repeating it is safe.
 
-        The merged content of every touched partition is first written beside the table's data
-        and then replaces those partitions. A driver lost in the middle of the second step may
-        leave a partition removed but not yet replaced; the repeated call publishes the finished
-        copy again instead of computing a new one from the gap. A delivery that was published is
-        only remembered by an empty marker file, and taking it again returns 0.
+        The merged content of every touched partition is written once, below the table, and published by
+        renaming its folder. A driver lost in the middle of that may leave a partition removed but not yet
+        replaced; the repeated call goes on with the renames that are left instead of computing a new copy
+        from the gap. A delivery that was published is only remembered by an empty marker file, and taking
+        it again returns 0.
         """
         stage = self.stage_path(batch_id)
         if path_exists(spark, f"{stage}/published"):
             return 0
-        if not path_exists(spark, f"{stage}/merged/_SUCCESS"):
+        if not path_exists(spark, f"{stage}/emptied"):
             self._stage(spark, updates, order_by, stage)
-        taken = spark.read.parquet(f"{stage}/updates").count()
+        update = spark.read.parquet(f"{stage}/updates")
+        taken = update.count()
         self._publish(spark, stage)
+        if taken and not self.key_sets_partition:
+            self.index.append(spark, update.select(*self.keys, self.partition), batch_id)
         touch(spark, f"{stage}/published")
-        for part in ("updates", "touched", "merged"):
+        for part in ("updates", "touched", "merged", "emptied"):
             remove_path(spark, f"{stage}/{part}")
         return taken
 
+    @property
+    def index(self) -> KeyedLog:
+        """The partition of every key."""
+        keys = [f for f in self.schema.fields if f.name in self.keys]
+        return KeyedLog(f"{self.path}/_index", T.StructType([*keys, T.StructField(self.partition, T.DateType())]), tuple(self.keys))
+
     def _stage(self, spark: SparkSession, updates: DataFrame, order_by: Sequence[str], stage: str) -> None:
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         order = [c for c in order_by if c not in self.schema.names]
@@ -99,43 +96,54 @@ class KeyedTable:
         # written once: it is read for the touched partitions, the anti join and the union
         latest.withColumn(self.partition, self.partition_of()).write.mode("overwrite").parquet(f"{stage}/updates")
         update = spark.read.parquet(f"{stage}/updates")
+        if update.isEmpty():
+            write_text(spark, f"{stage}/emptied", "[]")
+            return
         stored = self._stored(spark)
-        self._touched(stored, update).coalesce(1).write.mode("overwrite").parquet(f"{stage}/touched")
-        merged = merge_by_key(stored.where(F.col(self.partition).isin(self._days(spark, stage))), update, self.keys)
+        self._touched(spark, update).coalesce(1).write.mode("overwrite").parquet(f"{stage}/touched")
+        days = self._days(spark, stage)
+        day = F.col(self.partition)
+        old = stored.where(day.isin([d for d in days if d is not None]) | (day.isNull() if None in days else F.lit(False)))
+        merged = merge_by_key(old, update, self.keys)
         (
             merged.hint("rebalance", self.partition)
             .write.mode("overwrite").partitionBy(self.partition).parquet(f"{stage}/merged")
         )
+        filled = set(child_names(spark, f"{stage}/merged"))
+        write_text(spark, f"{stage}/emptied", json.dumps(sorted({self._folder(d) for d in days} - filled)))
+
+    def _folder(self, day: dt.date | None) -> str:
+        return f"{self.partition}={day or '__HIVE_DEFAULT_PARTITION__'}"
 
     def _days(self, spark: SparkSession, stage: str) -> list:
         """Touched days; only this list comes to the driver, as literals for partition pruning."""
         return [row[0] for row in spark.read.parquet(f"{stage}/touched").collect()]
 
-    def _touched(self, stored: DataFrame, update: DataFrame) -> DataFrame:
+    def _touched(self, spark: SparkSession, update: DataFrame) -> DataFrame:
         days = update.select(self.partition)
         if not self.key_sets_partition:
-            moved = stored.select(*self.keys, self.partition).join(update.select(*self.keys), list(self.keys), "left_semi")
-            days = days.unionByName(moved.select(self.partition))
+            if not self.index.exists(spark) and any(n.startswith(f"{self.partition}=") for n in child_names(spark, self.path)):
+                # a table from before it had an index
+                self.index.append(spark, self._stored(spark).select(*self.keys, self.partition), "all")
+            days = days.unionByName(self.index.of_keys(spark, update.select(*self.keys)).select(self.partition))
         return days.distinct()
 
     def _publish(self, spark: SparkSession, stage: str) -> None:
-        merged = spark.read.schema(self._full_schema()).parquet(f"{stage}/merged")
-        (
-            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition).parquet(self.path)
-        )
-        # a partition whose last row moved elsewhere has nothing to overwrite it with
-        filled = {row[0] for row in merged.select(self.partition).distinct().collect()}
-        for day in set(self._days(spark, stage)) - filled:
-            remove_path(spark, f"{self.path}/{self.partition}={day}")
+        for folder in child_names(spark, f"{stage}/merged"):
+            if folder.startswith(f"{self.partition}="):
+                remove_path(spark, f"{self.path}/{folder}")
+                rename_path(spark, f"{stage}/merged/{folder}", f"{self.path}/{folder}")
+        # a partition whose last row moved elsewhere has nothing to replace it with
+        for folder in json.loads(read_text(spark, f"{stage}/emptied")):
+            remove_path(spark, f"{self.path}/{folder}")
 
 
 def staging_table(path: str, keys_hold_time: bool = False) -> KeyedTable:
     """Complete trips by ``trip_key``, one partition per pickup day.
 
     Batch keys are hashes of the pickup time among others, so a batch-only table may say
-    ``keys_hold_time`` and an upsert then reads no partition that the update does not touch. Keys of
-    event streams are given from outside, and a late correction can move a trip to another day.
+    ``keys_hold_time`` and keeps no index of its keys. Keys of event streams are given from outside, and a late
+    correction can move a trip to another day, which the index finds.
     """
     return KeyedTable("complete_trip", path, COMPLETE_TRIP, ("trip_key",), "pickup_day",
                       lambda: F.to_date("pickup_ts"), key_sets_partition=keys_hold_time)
