@@ -115,3 +115,24 @@ def test_messages_and_envelope(spark):
                                   "topic string, partition int, offset bigint, key binary, value binary, timestamp timestamp_ntz")
     row = topics.envelope(kafka).first()
     assert (row.topic, row.partition, row.offset, row.key, row.value) == ("t", 0, 7, "k1", "{}")
+
+
+def test_sent_and_rejected_messages_are_counted(spark, tmp_path):
+    rows = [("a", "{}"), ("b", None), (None, "{}"), (None, None), ("c", "x" * 200), ("d", "é" * 40), ("e", "y")]
+    messages = spark.createDataFrame(rows, "key string, value string").repartition(3)
+    counts = topics.send(messages, lambda sent: sent.write.parquet(str(tmp_path / "out")), most_bytes=100)
+    assert (counts.sent, counts.rejected, counts.failed) == (3, {"no_value": 2, "no_key": 1, "too_large": 1}, 4)
+    assert {r.key for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {"a", "d", "e"}
+    none = topics.send(messages.limit(0), lambda sent: sent.write.parquet(str(tmp_path / "none")))
+    assert (none.sent, none.failed) == (0, 0)
+
+
+def test_a_stream_of_messages_is_counted(spark, tmp_path):
+    folder, counts = str(tmp_path / "in"), topics.SinkCounts()
+    for i in range(3):
+        spark.createDataFrame([(f"k{i}", "v"), (None, "v")], "key string, value string").coalesce(1).write.mode("append").parquet(folder)
+    query = topics.start_send(topics.read_message_files(spark, folder, 1), str(tmp_path / "c"),
+                              lambda sent, epoch: sent.write.mode("overwrite").parquet(str(tmp_path / "out" / f"epoch={epoch}")), counts)
+    assert query.awaitTermination(120) and query.exception() is None
+    assert (counts.sent, counts.rejected) == (3, {"no_key": 3})
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
