@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterline.functions.hashing import event_id, hash_percent, iso_text
 from meterline.functions.parsing import iso_timestamp
 from meterline.functions.trips import duration_min
-from meterline.schemas import CONTRACT_PAYLOAD, PARSED_EVENT_TYPES, TRIP_EVENT
+from meterline.schemas import CONTRACT_PAYLOAD, PARSED_EVENT_TYPES, TRIP_DELETED, TRIP_EVENT
 
 # Seconds after pickup or dropoff at which each event happens.
 ZONE_ENTERED_DELAY = 30
@@ -113,10 +113,19 @@ def contract_events(trips: DataFrame) -> DataFrame:
     )
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
+def deletion_messages(trips: DataFrame, at: str = "event_ts") -> DataFrame:
+    """Control messages that make the assembly forget trips up to a time."""
+    key = F.col("trip_key")
+    value = F.to_json(F.struct(
+        F.concat(F.lit("del-"), key).alias("event_id"), key, F.lit(TRIP_DELETED).alias("event_type"), iso_text(F.col(at)).alias("timestamp")))
+    return trips.select(key.alias("key"), value.alias("value"))
+
+
+def parse_messages(messages: DataFrame, controls: bool = False) -> DataFrame:
     """Typed columns of JSON messages, and ``reject_reason`` for those that are no event.
 
-    Reasons in order: not JSON, unknown type, a required field missing, bad time.
+    Reasons in order: not JSON, unknown type, a required field missing, bad time. With ``controls``, deletions are known, too;
+    they need no vehicle or vendor.
     """
     # a generator, so that the text is parsed once and not once per field and filter
     body = F.from_json("value", TRIP_EVENT, {"mode": "PERMISSIVE"})
@@ -124,11 +133,13 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     wide = messages.select(*others, "value", F.inline(F.array(body))).withColumn("event_ts", iso_timestamp(F.col("timestamp")))
     empty = F.coalesce("event_type", "trip_key", "event_id", "timestamp").isNull()
     missing = F.lit(False)
+    deletion = F.coalesce(F.col("event_type") == TRIP_DELETED, F.lit(False)) if controls else F.lit(False)
     for name in ("event_id", "trip_key", "vendor_id", "vehicle_id_h", "timestamp"):
-        missing = missing | F.col(name).isNull()
+        absent = F.col(name).isNull()
+        missing = missing | (absent & ~deletion if name in ("vendor_id", "vehicle_id_h") else absent)
     reason = (
         F.when(empty, "malformed")
-        .when(~F.coalesce(F.col("event_type").isin(*PARSED_EVENT_TYPES), F.lit(False)), "unknown_type")
+        .when(~F.coalesce(F.col("event_type").isin(*PARSED_EVENT_TYPES), F.lit(False)) & ~deletion, "unknown_type")
         .when(missing, "field_missing")
         .when(F.col("event_ts").isNull(), "bad_timestamp")
     )

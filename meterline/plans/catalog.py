@@ -19,7 +19,8 @@ from meterline.schemas import BATCH_SIZE_BUCKETS, LATENCY_BUCKETS
 from meterline.session import configure, work_dir
 from meterline.sources import files, star, zones
 from meterline.sources.tables import mart_table, staging_table
-from meterline.streaming.assembly import read_rejects, start_assembly, start_field_state
+from meterline.streaming.assembly import read_rejects, start_assembly
+from meterline.streaming.fields import field_store, start_field_state
 
 SALT = "meterline"
 AS_OF = dt.datetime(2025, 2, 1)
@@ -775,19 +776,40 @@ def stream_outcomes(t: Inputs) -> DataFrame:
     """A streaming run in which trips that break a rule or name an unknown zone are rejected: what became of each trip."""
     run = f"{work_dir(t.spark)}/streams/{uuid.uuid4()}"
     trips = staging_table(f"{run}/trips")
-    zone_rows = t.spark.createDataFrame(t.zones.collect(), t.zones.schema)
-    start_assembly(star.event_messages(star.event_stream(t.spark, t.sf_dir)), trips, f"{run}/checkpoint", AS_OF, zones=zone_rows).awaitTermination()
+    start_assembly(star.event_messages(star.event_stream(t.spark, t.sf_dir)), trips, f"{run}/checkpoint", AS_OF, zones=t.zones).awaitTermination()
     kept = trips.read(t.spark).select("trip_key", F.lit("kept").alias("outcome"))
     return kept.unionByName(read_rejects(t.spark, trips).select("trip_key", F.col("reject_reason").alias("outcome")))
 
 
+@query
+def expiring_trips_stream(t: Inputs) -> DataFrame:
+    """A streaming run in which a trip's state ends six hours after its last event, and an event after that starts it anew."""
+    run = f"{work_dir(t.spark)}/streams/{uuid.uuid4()}"
+    trips = staging_table(f"{run}/trips")
+    messages = star.event_messages(star.event_stream(t.spark, t.sf_dir))
+    start_assembly(messages, trips, f"{run}/checkpoint", AS_OF, clock="event").awaitTermination()
+    return trips.read(t.spark)
+
+
+@query
+def deleted_trips_stream(t: Inputs) -> DataFrame:
+    """A streaming run with deletions among the messages: a trip is forgotten up to the time of some of its errors."""
+    run = f"{work_dir(t.spark)}/streams/{uuid.uuid4()}"
+    trips = staging_table(f"{run}/trips")
+    events = star.event_stream(t.spark, t.sf_dir)
+    messages = star.event_messages(events).select("key", "value")
+    cut = star.stream_events(events).where("event_type = 'zone_exited' AND k % 2 = 0").select("trip_key", "seq_ts")
+    start_assembly(messages.unionByName(ev.deletion_messages(cut, "seq_ts")), trips, f"{run}/checkpoint", AS_OF).awaitTermination()
+    return trips.read(t.spark)
+
+
 @query
 def field_state_stream(t: Inputs) -> DataFrame:
     """A streaming run that keeps the latest value per field, and what it left."""
     run = f"{work_dir(t.spark)}/streams/{uuid.uuid4()}"
     messages = star.event_messages(star.event_stream(t.spark, t.sf_dir))
     start_field_state(messages, f"{run}/fields", f"{run}/checkpoint", ARRIVAL).awaitTermination()
-    return _amounts_as_numbers(t.spark.read.parquet(f"{run}/fields"))
+    return _amounts_as_numbers(field_store(messages, f"{run}/fields", ARRIVAL).read(t.spark))
 
 
 @query

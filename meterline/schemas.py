@@ -63,6 +63,8 @@ EVENT_BITS = {
 }
 
 PARSED_EVENT_TYPES = ("trip_started", "trip_ended", "payment_processed", "zone_entered", "zone_exited")
+#: A control message: what is known of the trip up to its time is forgotten.
+TRIP_DELETED = "trip_deleted"
 REQUIRED_EVENT_TYPES = ("trip_started", "trip_ended", "payment_processed")
 CONTRACT_EVENT_TYPES = ("IDENTITY", "PASSENGERS", "FARE", "DROP", "TIP")
 

@@ -1,27 +1,54 @@
 """Event streams to trips: parse, keep state, upsert completed trips; raw field state; de-duplication.
 
-The queries need no custom state code: the batch aggregates of :mod:`meterline.operators.state` run
-in update mode with their buffers in the state store. Progress lives in the checkpoint, and the
-sink upserts by key, so a restarted query repeats at most one micro-batch without effect.
+Trips are assembled by the processor of :mod:`meterline.streaming.expiry`, whose state ends; without a time to live the batch
+aggregates of :mod:`meterline.operators.state` run in update mode and keep every trip. Progress lives in the checkpoint, and
+the sink upserts by key, so a restarted query repeats at most one micro-batch without effect.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from threading import Event
+from contextlib import contextmanager
+from threading import Event, Thread
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from meterline.operators import staging, state
 from meterline.operators.events import normalize_messages, parse_messages, valid_events
 from meterline.schemas import STATE_TTL
+from meterline.sources.store import child_names, remove_path
 from meterline.sources.tables import KeyedTable
+from meterline.streaming import expiry
+from meterline.streaming.deliveries import delivery_id
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
-def assembled_stream(messages: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Complete trips of a message stream as staging rows; later events of a trip emit it again."""
-    return state.assembled_trips_full(state.trip_state(valid_events(parse_messages(messages))), as_of)
+
+def assembled_stream(messages: DataFrame, as_of: dt.datetime, ttl_millis: int | None = None, clock: str = "arrival", delay: str = STATE_TTL) -> DataFrame:
+    """Complete trips of a message stream as staging rows; later events of a trip emit it again.
+
+    With a time to live, a trip's state ends that long after its last event by the given clock, and deletions among the messages
+    clear it; without, it stays.
+    """
+    events = valid_events(parse_messages(messages, controls=ttl_millis is not None))
+    if ttl_millis is None:
+        return state.assembled_trips_full(state.trip_state(events), as_of)
+    return state.assembled_trips_full(expiry.as_state(expiry.assembled_with_expiry(events, ttl_millis, clock, delay)), as_of)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A setting for what starts inside; a query keeps the settings of its start."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def field_state_stream(messages: DataFrame, order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
@@ -50,21 +77,14 @@ def session_stream(events: DataFrame, delay: str = "1 hour", gap: str = STATE_TT
     )
 
 
-def delivery_id(batch: DataFrame, epoch: int) -> str:
-    """Name of a micro-batch that is stable across restarts and new for a new checkpoint."""
-    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    if not query_id:
-        raise ValueError("not called from a streaming query")
-    return f"{query_id}-{epoch}"
-
-
-def rejects_path(table: KeyedTable, name: str = "") -> str:
-    return f"{table.path}/_rejects/{name}".rstrip("/")
+def rejects_path(table: KeyedTable, name: str | None = None) -> str:
+    """The folder of all rejects, or that of one micro-batch."""
+    return f"{table.path}/_rejects" + (f"/batch={name}" if name else "")
 
 
 def _accepted(batch: DataFrame, table: KeyedTable, zones: DataFrame, name: str) -> DataFrame:
     """The good rows of a micro-batch, which is judged and written once; the others stay with their reason."""
-    judged = f"{rejects_path(table, name)}/judged"
+    judged = rejects_path(table, name)
     rows = staging.judge(batch, zones)
     rows.write.mode("overwrite").partitionBy("reject_reason").parquet(judged)
     return zones.sparkSession.read.schema(rows.schema).parquet(judged).where("reject_reason is null").drop("reject_reason")
@@ -72,33 +92,22 @@ def _accepted(batch: DataFrame, table: KeyedTable, zones: DataFrame, name: str)
 
 def read_rejects(spark: SparkSession, table: KeyedTable) -> DataFrame:
     """Rejected trips of all micro-batches with their reason; a trip judged again appears once per judgement."""
-    rows = spark.read.option("recursiveFileLookup", "false").option("basePath", rejects_path(table)).parquet(f"{rejects_path(table)}/*/judged/*")
+    if not any(n.startswith("batch=") for n in child_names(spark, rejects_path(table))):
+        return spark.createDataFrame([], T.StructType([*table.schema.fields, T.StructField("reject_reason", T.StringType())]))
+    rows = spark.read.option("basePath", rejects_path(table)).parquet(f"{rejects_path(table)}/batch=*").drop("batch")
     return rows.where("reject_reason is not null and reject_reason <> '__HIVE_DEFAULT_PARTITION__'")
 
 
-def start_field_state(messages: DataFrame, path: str, checkpoint: str, order: tuple[str, ...] = ("timestamp", "event_id"),
-                      **trigger: object) -> StreamingQuery:
-    """Keep the latest value per field of every trip in a parquet folder, written anew by each micro-batch."""
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    return (
-        field_state_stream(messages, order).writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
-
-
 class LoopStats(StreamingQueryListener):
     """Messages read and micro-batches with data of one query, and the trips its sink took, over its whole run.
 
-    Reports are added as they come; the list a query keeps holds only the latest of them.
+    Reports are added as they come; the list a query keeps holds only the latest of them. The listener goes when its query ends.
     """
 
-    def __init__(self) -> None:
-        self.events = self.commits = self.trips = 0
+    def __init__(self, spark: SparkSession | None = None) -> None:
+        self.spark = spark
+        self.events = self.commits = self.trips = self.late = 0
+        self.rows_in_state = 0
         self.query_id: str | None = None
         self.ended = Event()
 
@@ -106,9 +115,14 @@ class LoopStats(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        if str(event.progress.id) == self.query_id and event.progress.numInputRows:
+        if str(event.progress.id) != self.query_id:
+            return
+        if event.progress.numInputRows:
             self.events += event.progress.numInputRows
             self.commits += 1
+        for operator in event.progress.stateOperators:
+            self.rows_in_state = operator.numRowsTotal
+            self.late += operator.numRowsDroppedByWatermark
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -116,12 +130,20 @@ class LoopStats(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         if str(event.id) == self.query_id:
             self.ended.set()
+            if self.spark:
+                # not from inside its own call
+                Thread(target=self.spark.streams.removeListener, args=(self,), daemon=True).start()
 
 
 def start_assembly(messages: DataFrame, table: KeyedTable, checkpoint: str, as_of: dt.datetime,
-                   stats: LoopStats | None = None, zones: DataFrame | None = None, **trigger: object) -> StreamingQuery:
+                   stats: LoopStats | None = None, zones: DataFrame | None = None, ttl_millis: int | None = expiry.TTL_MILLIS,
+                   clock: str = "arrival", delay: str = STATE_TTL, **trigger: object) -> StreamingQuery:
     """Assemble trips from ``messages`` and upsert them into ``table``; ``stats`` is counted up on the way.
 
+    The state of a trip ends ``ttl_millis`` after its last event: by the time of arrival, or with ``clock="event"`` by the
+    times of the events, of which those more than ``delay`` behind are dropped and counted. Deletions clear it.
+    ``None`` keeps state for ever and knows no deletions.
+
     With ``zones``, trips that break a rule or name an unknown zone are kept out of the table and written with
     their reason to ``rejects_path``; a later correction of such a trip is judged again.
 
@@ -135,16 +157,22 @@ def start_assembly(messages: DataFrame, table: KeyedTable, checkpoint: str, as_o
         if stats:
             stats.query_id = name.rpartition("-")[0]
         taken = table.upsert(spark, batch if zones is None else _accepted(batch, table, zones, name), name)
+        if zones is not None:
+            # accepted trips are in the table now
+            remove_path(spark, f"{rejects_path(table, name)}/reject_reason=__HIVE_DEFAULT_PARTITION__")
         if stats:
             stats.trips += taken
 
     if stats:
+        stats.spark = spark
         spark.streams.addListener(stats)
-    return (
-        assembled_stream(messages, as_of).writeStream.outputMode("update")
+    writer = (
+        assembled_stream(messages, as_of, ttl_millis, clock, delay).writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(upsert)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
-
+    if ttl_millis is None:
+        return writer.start()
+    with _setting(spark, _PROVIDER, expiry.ROCKSDB):
+        return writer.start()

@@ -1,67 +1,195 @@
-"""Trip state that expires a fixed time after the last event, in processing time.
+"""Trip state that ends a fixed time after a trip's last event, and on demand.
 
-The aggregate form keeps state for as long as the query runs. Where that is too long, this
-processor keeps one value per trip whose time to live starts again with every event.
+One processor holds what is known of a trip: the latest event of each type. Time is that of arrival, of which every micro-batch
+has one, or that of the events. A gap of more than the time to live between events ends a trip's state, and an event after it
+starts the trip anew; timers free state once the watermark shows that nothing can extend it.
+
+Events are folded in as they come and none is kept twice, so a busy trip costs no more memory than a quiet one. By the time of
+events the result does not depend on their order inside what the watermark allows: events join the stretches of time they
+touch, and stretches that an event connects become one. A deletion at some time forgets the events up to then. The latest event
+of a type is either later than the deletion or all of that type are forgotten, so a deletion, too, may come in any order.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import sys
 from collections.abc import Iterator
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Row
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from meterline.operators.state import REQUIRED_MASK
-from meterline.schemas import EVENT_BITS
+from meterline.schemas import EVENT_BITS, TRIP_DELETED
+
+# the processor travels to the executors with its code, which need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TTL_MILLIS = 6 * 60 * 60 * 1000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_STATE = (
-    "mask int, vendor_ts timestamp_ntz, vendor_id int, started_ts timestamp_ntz, passenger_count int, "
-    "paid_ts timestamp_ntz, fare_amount double, tip_amount double, total_amount double"
+FIELDS = (
+    "vendor_id", "vehicle_id_h", "pickup_zone_id", "passenger_count", "dropoff_zone_id", "trip_distance", "fare_amount",
+    "tip_amount", "total_amount", "payment_type",
+)
+_EVENT = (
+    "event_ts timestamp_ntz, event_id string, vendor_id int, vehicle_id_h string, pickup_zone_id int, passenger_count int, "
+    "dropoff_zone_id int, trip_distance double, fare_amount double, tip_amount double, total_amount double, payment_type int"
 )
+#: One row per stretch of time and event type; a deletion is a row, too. Times are microseconds of the clock.
+_STATE = f"first bigint, last bigint, event_type string, {_EVENT}"
 OUTPUT = (
-    "trip_key string, vendor_id int, fare_amount double, passenger_count int, tip_amount double, total_amount double"
+    "trip_key string, mask int, vendor_id int, vehicle_id_h string, started_ts timestamp_ntz, "
+    "pickup_zone_id int, passenger_count int, ended_ts timestamp_ntz, dropoff_zone_id int, trip_distance double, "
+    "paid_ts timestamp_ntz, fare_amount double, tip_amount double, total_amount double, payment_type int"
 )
+_NAMES = ("event_ts", "event_id", *FIELDS)
+
+
+def _rank(event: tuple) -> tuple:
+    """By time and id, then by the values as a struct orders them."""
+    return tuple((v is not None, v) for v in event)
+
+
+class Stretch:
+    """Events of a trip without a longer gap: first and last time, and the latest event of each type."""
+
+    def __init__(self, first: int, last: int, types: dict[str, tuple]):
+        self.first, self.last, self.types = first, last, types
+
+    def take(self, other: Stretch) -> None:
+        self.first, self.last = min(self.first, other.first), max(self.last, other.last)
+        for kind, event in other.types.items():
+            known = self.types.get(kind)
+            if known is None or _rank(event) > _rank(known):
+                self.types[kind] = event
 
+    @property
+    def mask(self) -> int:
+        return sum(1 << EVENT_BITS[kind] for kind in self.types)
 
-def _newer(ts, known) -> bool:
-    return known is None or ts >= known
+    @property
+    def complete(self) -> bool:
+        return self.mask & REQUIRED_MASK == REQUIRED_MASK
+
+    def rows(self) -> Iterator[tuple]:
+        for kind, event in self.types.items():
+            yield self.first, self.last, kind, *event
+
+
+class Deletion(NamedTuple):
+    upto: dt.datetime  # in the time of events
+    last: int  # when it came
 
 
 class TripAssembler(StatefulProcessor):
-    """Folds the events of a trip into one value and emits the trip once its events are complete."""
+    """Emits the latest complete stretch of a trip whenever events have changed it."""
 
     def __init__(self, ttl_millis: int = TTL_MILLIS):
-        self.ttl_millis = ttl_millis
+        self.gap = ttl_millis * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.trip = handle.getValueState("trip", _STATE, self.ttl_millis)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
-        known = self.trip.get() if self.trip.exists() else (0, None, None, None, None, None, None, None, None)
-        mask, vendor_ts, vendor, started_ts, passengers, paid_ts, fare, tip, total = known
+        self.handle = handle
+        self.events = handle.getListState("events", _STATE)
+
+    def _load(self) -> tuple[list[Stretch], Deletion | None]:
+        stretches, deletion = {}, None
+        for first, last, kind, *event in self.events.get():
+            if kind == TRIP_DELETED:
+                deletion = Deletion(event[0], last)
+            else:
+                stretches.setdefault(first, Stretch(first, last, {})).types[kind] = tuple(event)
+        return list(stretches.values()), deletion
+
+    def _save(self, stretches: list[Stretch], deletion: Deletion | None) -> None:
+        rows = [row for s in stretches for row in s.rows()]
+        if deletion:
+            rows.append((deletion.last, deletion.last, TRIP_DELETED, deletion.upto, *[None] * (len(_NAMES) - 1)))
+        if rows:
+            self.events.put(rows)
+        else:
+            self.events.clear()
+
+    def _ends(self, last: int) -> int:
+        """The watermark, in milliseconds, from which nothing can extend a stretch."""
+        return (last + self.gap) // 1000 + 1
+
+    def _join(self, stretches: list[Stretch], new: Stretch) -> list[Stretch]:
+        apart = []
+        for s in stretches:
+            if max(s.first, new.first) - min(s.last, new.last) <= self.gap:
+                new.take(s)
+            else:
+                apart.append(s)
+        return [*apart, new]
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        stretches, deletion = self._load()
+        before = self._latest(stretches)
+        before = before and dict(before.types)
         for row in rows:
-            mask |= 1 << EVENT_BITS[row.event_type]
-            if _newer(row.event_ts, vendor_ts):
-                vendor_ts, vendor = row.event_ts, row.vendor_id
-            if row.event_type == "trip_started" and _newer(row.event_ts, started_ts):
-                started_ts, passengers = row.event_ts, row.passenger_count
-            elif row.event_type == "payment_processed" and _newer(row.event_ts, paid_ts):
-                paid_ts, fare, tip, total = row.event_ts, row.fare_amount, row.tip_amount, row.total_amount
-        self.trip.update((mask, vendor_ts, vendor, started_ts, passengers, paid_ts, fare, tip, total))
-        if mask & REQUIRED_MASK == REQUIRED_MASK:
-            yield Row(trip_key=key[0], vendor_id=vendor or 0, fare_amount=fare or 0.0, passenger_count=passengers or 0,
-                      tip_amount=tip or 0.0, total_amount=total or 0.0)
+            if row.event_type == TRIP_DELETED:
+                deletion = Deletion(row.event_ts, row.clock) if deletion is None else Deletion(max(deletion.upto, row.event_ts), max(deletion.last, row.clock))
+                continue
+            event = tuple(getattr(row, name) for name in _NAMES)
+            stretches = self._join(stretches, Stretch(row.clock, row.clock, {row.event_type: event}))
+        if deletion:
+            for s in stretches:
+                s.types = {kind: e for kind, e in s.types.items() if e[0] > deletion.upto}
+            stretches = [s for s in stretches if s.types]
+        self._save(stretches, deletion)
+        for at in {self._ends(s.last) for s in (*stretches, *([deletion] if deletion else []))}:
+            self.handle.registerTimer(at)
+        latest = self._latest(stretches)
+        if latest and latest.types != before:
+            yield self._trip(key[0], latest)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs()
+        stretches, deletion = self._load()
+        self._save([s for s in stretches if self._ends(s.last) > now], deletion if deletion and self._ends(deletion.last) > now else None)
+        yield from ()
+
+    @staticmethod
+    def _latest(stretches: list[Stretch]) -> Stretch | None:
+        return max((s for s in stretches if s.complete), key=lambda s: s.last, default=None)
+
+    @staticmethod
+    def _trip(key: str, s: Stretch) -> Row:
+        newest = dict(zip(_NAMES, max(s.types.values(), key=_rank), strict=True))
+        started, ended, paid = (dict(zip(_NAMES, s.types[t], strict=True)) for t in ("trip_started", "trip_ended", "payment_processed"))
+        return Row(
+            trip_key=key, mask=s.mask, vendor_id=newest["vendor_id"], vehicle_id_h=newest["vehicle_id_h"],
+            started_ts=started["event_ts"], pickup_zone_id=started["pickup_zone_id"], passenger_count=started["passenger_count"],
+            ended_ts=ended["event_ts"], dropoff_zone_id=ended["dropoff_zone_id"], trip_distance=ended["trip_distance"],
+            paid_ts=paid["event_ts"], **{c: paid[c] for c in ("fare_amount", "tip_amount", "total_amount", "payment_type")},
+        )
 
     def close(self) -> None:
         pass
 
 
-def assembled_with_expiry(events: DataFrame, ttl_millis: int = TTL_MILLIS) -> DataFrame:
-    """Complete trips of a stream of parsed events; needs the RocksDB state store."""
-    needed = ("trip_key", "event_type", "event_ts", "vendor_id", "passenger_count", "fare_amount", "tip_amount", "total_amount")
-    return events.select(*needed).groupBy("trip_key").transformWithState(
-        statefulProcessor=TripAssembler(ttl_millis), outputStructType=OUTPUT, outputMode="Update", timeMode="ProcessingTime",
+def assembled_with_expiry(events: DataFrame, ttl_millis: int = TTL_MILLIS, clock: str = "arrival", delay: str = "6 hours") -> DataFrame:
+    """Complete trips of a stream of parsed events and deletions, one flat row each; needs the RocksDB state store.
+
+    With the ``event`` clock, events more than ``delay`` behind the latest are dropped, as the query's progress reports.
+    """
+    at = {"arrival": (F.current_timestamp(), "0 seconds"), "event": (F.col("event_ts").cast("timestamp"), delay)}
+    if clock not in at:
+        raise ValueError(f"unknown clock {clock!r}")
+    timed = events.select("trip_key", "event_type", "event_ts", "event_id", *FIELDS, at[clock][0].alias("at")).withWatermark("at", at[clock][1])
+    return timed.withColumn("clock", F.unix_micros("at")).groupBy("trip_key").transformWithState(
+        statefulProcessor=TripAssembler(ttl_millis), outputStructType=OUTPUT, outputMode="Update", timeMode="EventTime",
+    )
+
+
+def as_state(flat: DataFrame) -> DataFrame:
+    """The flat rows in the form of :func:`meterline.operators.state.trip_state`, as far as complete trips need it."""
+    return flat.select(
+        "trip_key", "mask", F.struct("vendor_id", "vehicle_id_h").alias("latest"),
+        F.struct(F.col("started_ts").alias("event_ts"), "pickup_zone_id", "passenger_count").alias("trip_started"),
+        F.struct(F.col("ended_ts").alias("event_ts"), "dropoff_zone_id", "trip_distance").alias("trip_ended"),
+        F.struct(F.col("paid_ts").alias("event_ts"), "fare_amount", "tip_amount", "total_amount", "payment_type").alias("payment_processed"),
     )

@@ -159,6 +159,11 @@ _GOOD_TRIPS = f"""
         JOIN good_typed en ON en.trip_key = n.trip_key AND en.event_type = 'trip_ended'
         JOIN good_typed pa ON pa.trip_key = n.trip_key AND pa.event_type = 'payment_processed'"""
 
+_LAST_OF_KEPT = """good_typed AS (SELECT * FROM (SELECT *, row_number() OVER (
+            PARTITION BY trip_key, event_type ORDER BY event_ts DESC, event_id DESC) AS rn FROM kept) WHERE rn = 1),
+        good_newest AS (SELECT * FROM (SELECT *, row_number() OVER (
+            PARTITION BY trip_key ORDER BY event_ts DESC, event_id DESC) AS rn FROM kept) WHERE rn = 1)"""
+
 SQL: dict[str, str] = {
     "trip_events": with_ctes("stg", f"""
         WITH {_TRIP_EVENTS}
@@ -240,6 +245,22 @@ SQL: dict[str, str] = {
             "chronological": "pickup_ts < dropoff_ts",
         }.items())),
     "assembled_trips_stream": with_ctes("good_typed good_newest", _GOOD_TRIPS),
+    # a gap of more than six hours ends a trip's state; the latest complete stretch of a trip is what stays in the table
+    "expiring_trips_stream": with_ctes("good", f"""
+        WITH gaps AS (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER o > INTERVAL 6 HOUR THEN 1 ELSE 0 END AS cut
+                      FROM good WINDOW o AS (PARTITION BY trip_key ORDER BY event_ts, seq_id)),
+        stretches AS (SELECT *, sum(cut) OVER (PARTITION BY trip_key ORDER BY event_ts, seq_id) AS stretch FROM gaps),
+        whole AS (SELECT trip_key, max(stretch) AS stretch FROM (
+            SELECT trip_key, stretch FROM stretches WHERE event_type IN ('trip_started', 'trip_ended', 'payment_processed')
+            GROUP BY 1, 2 HAVING count(DISTINCT event_type) = 3) GROUP BY 1),
+        kept AS (SELECT * FROM stretches JOIN whole USING (trip_key, stretch)),
+        {_LAST_OF_KEPT}
+        {_GOOD_TRIPS}"""),
+    "deleted_trips_stream": with_ctes("good ev", f"""
+        WITH cuts AS (SELECT trip_key, max(event_ts) AS deleted FROM ev WHERE event_type = 'zone_exited' AND k % 2 = 0 GROUP BY 1),
+        kept AS (SELECT g.* FROM good g LEFT JOIN cuts c USING (trip_key) WHERE deleted IS NULL OR event_ts > deleted),
+        {_LAST_OF_KEPT}
+        {_GOOD_TRIPS}"""),
     "stream_outcomes": with_ctes("good_typed good_newest zone", f"""
         WITH trips AS ({_GOOD_TRIPS}), judged AS (SELECT *, {failed(COMPLETE_RULES)} AS failed_rules FROM trips)
         SELECT trip_key, CASE WHEN failed_rules <> '' THEN 'rule:' || split_part(failed_rules, ',', 1)

@@ -10,12 +10,21 @@ from meterline.operators import state
 from meterline.plans.catalog import Inputs
 from meterline.sources import star, topics
 from meterline.sources.tables import staging_table
-from meterline.streaming import assembly, expiry
+from meterline.streaming import assembly, expiry, fields
 
 AS_OF = dt.datetime(2025, 3, 1)
 SF_DIR = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(autouse=True)
+def few_state_stores(spark):
+    """A stateful query opens a store per partition; the tests need few."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def topic(spark, tmp_path_factory):
     """The event messages as files, in order of time."""
@@ -65,7 +74,6 @@ def test_progress_counts(spark, topic, tmp_path):
     query = assembly.start_assembly(topics.read_message_files(spark, topic, 1), table, str(tmp_path / "c"), AS_OF, stats)
     run(query)
     assert stats.ended.wait(60)
-    spark.streams.removeListener(stats)
     assert stats.events == 1000 and 1 <= stats.commits <= 4
     # a trip that is completed and then corrected in a later micro-batch is taken twice
     assert stats.trips >= table.read(spark).count() > 0
@@ -134,6 +142,131 @@ def test_expiring_state(spark, tmp_path):
         spark.conf.set(provider, before)
 
 
+BASE = dt.datetime(2025, 1, 1, 10)
+KINDS = ("trip_started", "trip_ended", "payment_processed")
+
+
+def event_rows(*events):
+    """(trip, type, hours after the base[, fare]) as messages."""
+    out = []
+    for trip, kind, hours, *fare in events:
+        body = {"event_id": f"{trip}-{kind}-{hours}", "trip_key": trip, "event_type": kind, "timestamp": (BASE + dt.timedelta(hours=hours)).isoformat()}
+        if kind != "trip_deleted":
+            body |= {"vendor_id": 1, "vehicle_id_h": "v", "pickup_zone_id": 1, "dropoff_zone_id": 2, "passenger_count": 2,
+                     "fare_amount": fare[0] if fare else 9.5}
+        out.append((trip, json.dumps(body)))
+    return out
+
+
+def feed(spark, folder, *batches):
+    """One file per micro-batch."""
+    for batch in batches:
+        spark.createDataFrame(event_rows(*batch), "key string, value string").coalesce(1).write.mode("append").parquet(folder)
+
+
+def assembled(spark, tmp_path, *batches, **options):
+    """Feed one micro-batch after the other to a query that goes on from its checkpoint; what the table holds after each."""
+    folder, table, seen = str(tmp_path / "in"), staging_table(str(tmp_path / "trips")), []
+    for batch in batches:
+        feed(spark, folder, batch)
+        stats = assembly.LoopStats()
+        run(assembly.start_assembly(topics.read_message_files(spark, folder), table, str(tmp_path / "c"), AS_OF, stats, **options))
+        assert stats.ended.wait(60)
+        seen.append({r.trip_key: (r.pickup_ts, r.fare_amount) for r in table.read(spark).collect()})
+    return seen, stats
+
+
+def whole(trip, hours, fare=9.5):
+    return [(trip, kind, hours + i / 10, fare) for i, kind in enumerate(KINDS)]
+
+
+def at(hours):
+    return BASE + dt.timedelta(hours=hours)
+
+
+def test_state_ends_in_event_time(spark, tmp_path):
+    """A trip whose events lie more than the limit apart starts anew, in whatever order they come."""
+    seen, _ = assembled(
+        spark, tmp_path, [("a", KINDS[1], 1), ("a", KINDS[0], 0), *whole("b", 0)],
+        [("a", KINDS[2], 8), ("c", KINDS[2], 7), ("c", KINDS[0], 5)],
+        [*whole("a", 8.5, 7.0)[:2], ("c", KINDS[1], 2), *whole("b", 12, 3.0)], clock="event", delay="12 hours")
+    assert seen[0] == {"b": (at(0), 9.5)} == seen[1]
+    # the payment of a came too late for its first events and belongs to the later ones; c was never apart
+    assert seen[2] == {"a": (at(8.5), 9.5), "b": (at(12), 3.0), "c": (at(5), 9.5)}
+
+
+def test_state_stays_bounded(spark, tmp_path):
+    """Trips of many days pass; state holds those of the last hours only."""
+    batches = [[(f"t{n}-{day}", kind, 24 * day + n / 10) for n in range(10) for kind in KINDS[:2]] for day in range(6)]
+    _, stats = assembled(spark, tmp_path, *batches, clock="event", delay="1 hour")
+    # rows of list state: two events of ten trips, besides what the next watermark takes away
+    assert 0 < stats.rows_in_state <= 2 * 2 * 10
+
+
+def test_deleted_trip_starts_empty(spark, tmp_path):
+    seen, _ = assembled(
+        spark, tmp_path, [("a", KINDS[0], 0), ("a", KINDS[1], 1), ("b", KINDS[0], 0), ("b", KINDS[1], 1)],
+        [("a", "trip_deleted", 2)], [("a", KINDS[2], 3), ("b", KINDS[2], 3)], [*whole("a", 4, 5.0)])
+    assert seen[2] == {"b": (at(0), 9.5)} and seen[3] == {"a": (at(4), 5.0), "b": (at(0), 9.5)}
+
+
+def test_deletion_counts_by_time_and_not_by_order(spark, tmp_path):
+    """In one micro-batch, and after events that are later than it."""
+    seen, _ = assembled(spark, tmp_path, [*whole("a", 0), ("a", "trip_deleted", 0.15), *whole("b", 0), ("b", "trip_deleted", 9)],
+                        [("a", KINDS[0], 0.1), ("a", KINDS[1], 0.14)], [("a", KINDS[0], 0.3), ("a", KINDS[1], 0.4)])
+    assert seen[0] == {} == seen[1] and seen[2] == {"a": (at(0.3), 9.5)}
+
+
+def test_deletions_are_messages(spark):
+    frame = spark.createDataFrame([("a", BASE)], "trip_key string, event_ts timestamp_ntz")
+    parsed = ev.parse_messages(ev.deletion_messages(frame), controls=True).first()
+    assert (parsed.reject_reason, parsed.trip_key, parsed.event_type, parsed.event_ts) == (None, "a", "trip_deleted", BASE)
+    assert ev.parse_messages(ev.deletion_messages(frame)).first().reject_reason == "unknown_type"
+
+
+def test_state_for_ever(spark, topic, tmp_path):
+    table = staging_table(str(tmp_path / "trips"))
+    run(assembly.start_assembly(topics.read_message_files(spark, topic, 1), table, str(tmp_path / "c"), AS_OF, ttl_millis=None))
+    assert sorted(table.read(spark).collect()) == sorted(batch_result(spark, topic).collect())
+
+
+def test_accepted_trips_are_not_kept_beside_the_table(spark, topic, tmp_path):
+    table, known = staging_table(str(tmp_path / "trips")), Inputs(spark, SF_DIR).zones
+    zones = spark.createDataFrame([(i, "b", "z", "s") for i in range(1, 80)], known.schema)
+    run(assembly.start_assembly(topics.read_message_files(spark, topic, 1), table, str(tmp_path / "c"), AS_OF, zones=zones))
+    kept = [p for p in (tmp_path / "trips" / "_rejects").glob("batch=*/reject_reason=*") if "HIVE_DEFAULT" in p.name]
+    assert not kept and assembly.read_rejects(spark, table).count() > 0 and table.read(spark).count() > 0
+
+
+def test_field_state_is_folded_in(spark, topic, tmp_path):
+    """File by file, from a checkpoint and again from a new one: always the state of the batch form."""
+    want = sorted(map(str, state.field_state(ev.normalize_messages(spark.read.parquet(topic)), ("timestamp", "event_id")).collect()))
+    path, messages = str(tmp_path / "fields"), topics.read_message_files(spark, topic, 1)
+    for checkpoint in ("c1", "c1", "c2"):
+        run(fields.start_field_state(messages, path, str(tmp_path / checkpoint)))
+        assert sorted(map(str, fields.field_store(messages, path).read(spark).collect())) == want
+
+
+def test_field_state_writes_what_a_batch_changes_and_forgets(spark, tmp_path):
+    folder, path, now = str(tmp_path / "in"), str(tmp_path / "fields"), [BASE]
+
+    def fold(*batch):
+        feed(spark, folder, batch)
+        messages = topics.read_message_files(spark, folder)
+        run(fields.start_field_state(messages, path, str(tmp_path / "c"), clock=lambda: now[0]))
+        return {r.trip_key: (r.fare_amount, r.trip_started_timestamp) for r in fields.field_store(messages, path, clock=lambda: now[0]).read(spark).collect()}
+
+    assert fold(*[(f"t{i}", KINDS[0], 0) for i in range(200)])["t7"] == ("9.5", at(0).isoformat())
+    sizes = [p.stat().st_size for p in (tmp_path / "fields" / "runs").rglob("*.parquet")]
+    now[0] = at(5)
+    assert fold(("t7", KINDS[2], 1, 4.0))["t7"] == ("4.0", at(0).isoformat())
+    run_ = max((tmp_path / "fields" / "runs").iterdir(), key=lambda p: p.stat().st_mtime)
+    assert spark.read.parquet(str(run_)).count() == 1 and sum(sizes) > 0
+    # six hours after their only message the other trips are gone, and a new message starts one empty
+    now[0] = at(7)
+    assert fold(("t8", KINDS[2], 7, 3.0)) == {"t7": ("4.0", at(0).isoformat()), "t8": ("3.0", None)}
+
+
 def wait_for(query, condition, seconds=60):
     end = time.monotonic() + seconds
     while time.monotonic() < end:
