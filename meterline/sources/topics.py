@@ -114,9 +114,9 @@ def write_topic(messages: DataFrame, servers: str, topic: str = EVENT_TOPIC) ->
     return send(messages, write)
 
 
-def read_message_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming messages from parquet files with ``key`` and ``value``."""
-    reader = spark.readStream.schema("key string, value string")
+def read_message_files(spark: SparkSession, path: str, files_per_trigger: int | None = None, offsets: bool = False) -> DataFrame:
+    """Streaming messages from parquet files with ``key`` and ``value``, and with ``offsets`` also topic, partition and offset."""
+    reader = spark.readStream.schema("key string, value string" + (", topic string, partition int, offset bigint" if offsets else ""))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)

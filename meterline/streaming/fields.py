@@ -18,6 +18,7 @@ from meterline.operators.events import normalize_messages
 from meterline.operators.staging import timestamp_literal
 from meterline.schemas import EVENT_BITS, STATE_TTL
 from meterline.sources.changelog import KeyedLog
+from meterline.sources.offsets import COLUMNS, OffsetLedger
 from meterline.streaming.deliveries import delivery_id
 
 Clock = Callable[[], dt.datetime]
@@ -73,11 +74,26 @@ class FieldStore:
 
 def start_field_state(messages: DataFrame, path: str, checkpoint: str, order: Sequence[str] = ("timestamp", "event_id"),
                       clock: Clock = utc_now, **trigger: object) -> StreamingQuery:
-    """Keep the latest value per field of every trip in a change log; see :func:`field_store` for reading it."""
+    """Keep the latest value per field of every trip in a change log; see :func:`field_store` for reading it.
+
+    Messages that come with the offsets of their topic are taken once, whichever query brings them: the ledger of offsets moves
+    after the store has taken a batch, and a batch that is repeated in between finds its delivery done.
+    """
     store = field_store(messages, path, order, clock)
+    ledger = OffsetLedger(f"{path}/_offsets") if set(COLUMNS) <= set(messages.columns) else None
 
     def fold(batch: DataFrame, epoch: int) -> None:
-        store.update(batch, delivery_id(batch, epoch))
+        name = delivery_id(batch, epoch)
+        if ledger is None:
+            store.update(batch, name)
+            return
+        fresh = ledger.fresh(batch).persist()
+        try:
+            if not fresh.isEmpty():
+                store.update(fresh, name)
+                ledger.advance(fresh, name)
+        finally:
+            fresh.unpersist()
 
     return (
         normalize_messages(messages).writeStream

@@ -267,6 +267,32 @@ def test_field_state_writes_what_a_batch_changes_and_forgets(spark, tmp_path):
     assert fold(("t8", KINDS[2], 7, 3.0)) == {"t7": ("4.0", at(0).isoformat()), "t8": ("3.0", None)}
 
 
+def test_a_repeated_range_of_offsets_changes_nothing(spark, tmp_path):
+    """Exactly once, across a query that starts over and files that overlap."""
+    folder, path = str(tmp_path / "in"), str(tmp_path / "fields")
+
+    def put(first, last):
+        rows = [(*event_rows((f"t{n % 5}", KINDS[0], n, float(n)))[0], "trip-events", n % 2, n) for n in range(first, last)]
+        spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset bigint").coalesce(1).write.mode("append").parquet(folder)
+
+    def fold(checkpoint):
+        messages = topics.read_message_files(spark, folder, 1, offsets=True)
+        run(fields.start_field_state(messages, path, str(tmp_path / checkpoint)))
+        store = fields.field_store(messages, path)
+        state_ = {r.trip_key: r.fare_amount for r in store.read(spark).collect()}
+        return state_, store.log.manifest(spark)["seq"], fields.OffsetLedger(f"{path}/_offsets").last(spark)
+
+    put(0, 10)
+    first = fold("c1")
+    assert first == ({f"t{n}": f"{n + 5}.0" for n in range(5)}, 1, {("trip-events", 0): 8, ("trip-events", 1): 9})
+    # a query without memory reads the same range again
+    assert fold("c2") == first
+    put(6, 13)
+    state_, seq, last = fold("c2")
+    assert seq == 2 and last == {("trip-events", 0): 12, ("trip-events", 1): 11}
+    assert state_ == {"t0": "10.0", "t1": "11.0", "t2": "12.0", "t3": "8.0", "t4": "9.0"}
+
+
 def wait_for(query, condition, seconds=60):
     end = time.monotonic() + seconds
     while time.monotonic() < end:
