@@ -16,7 +16,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterline.llm.common import named
+from meterline.llm.common import named, saved
 
 WINDOW = 10
 GRAM = 5
@@ -63,11 +63,11 @@ def _picks(hashes: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """``n`` words, their ``window`` hash, ``grams`` winnowed inside, and the ``items`` that hold it."""
+    """Distinct windows of the items: ``n`` words, their ``window`` hash and the ``item_id`` that holds it."""
     hashed = benchmark.select("item_id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
     long = hashed.where(F.size("h") >= WINDOW).select("item_id", F.lit(WINDOW).alias("n"), F.explode(runs(F.col("h"), WINDOW)).alias("window"))
     short = hashed.where(F.size("h").between(1, WINDOW - 1)).select("item_id", F.size("h").alias("n"), _short_hash(F.col("h")).alias("window"))
-    return long.unionByName(short).groupBy("n", "window").agg(F.collect_set("item_id").alias("items"))
+    return long.unionByName(short).distinct()
 
 
 def _short_hash(h: Column) -> Column:
@@ -80,7 +80,8 @@ def _short_hash(h: Column) -> Column:
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document row: ``doc_id, text_hash, n_words``, the window starts with lengths and the items found."""
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
-    windows = item_windows(benchmark)
+    by_item = saved(item_windows(benchmark), "item-windows")
+    windows = by_item.select("n", "window").distinct().withColumn("shared", F.lit(True))
     grams = (
         benchmark.select(F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") >= WINDOW)
         .select(F.explode(F.transform(_picks(F.col("h")), lambda x: x["gram"])).alias("gram")).distinct().withColumn("found", F.lit(True))
@@ -98,14 +99,22 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for n in _short_lengths(windows):
         found = found.unionByName(
             hashed.select("doc_id", "text_hash", F.size("h").cast("bigint").alias("n_words"), F.lit(n).alias("n"), F.posexplode(runs(F.col("h"), n)).alias("start", "window")))
-    joined = found.join(windows, ["n", "window"], "left").where("items IS NOT NULL OR start < 0")
-    hit = F.col("items").isNotNull() & (F.col("start") >= 0)
-    return joined.groupBy("doc_id", "text_hash").agg(
+    hit = F.coalesce("shared", F.lit(False)) & (F.col("start") >= 0)
+    joined = saved(found.join(windows, ["n", "window"], "left").where("shared OR start < 0").withColumn("shared", hit), "window-hits")
+    # a window held by many items is met once per document, however often it occurs there
+    met_items = (
+        joined.where("shared").select("doc_id", "text_hash", "n", "window").distinct()
+        .join(by_item, ["n", "window"]).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text"), "item_id").distinct()
+        .groupBy("_doc", "_text").agg(F.collect_list("item_id").alias("items"))
+    )
+    spans = joined.groupBy("doc_id", "text_hash").agg(
         F.max("n_words").alias("n_words"),
-        F.array_sort(F.collect_set(F.when(hit, F.struct("start", "n")))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(hit, F.col("items"))))).alias("items"),
+        F.array_sort(F.collect_set(F.when(F.col("shared"), F.struct("start", "n")))).alias("spans"),
         F.sum(F.when(F.col("start") < 0, 1).otherwise(0)).alias("rows"),
     )
+    same = spans["doc_id"].eqNullSafe(met_items["_doc"]) & spans["text_hash"].eqNullSafe(met_items["_text"])
+    none = F.array().cast(met_items.schema["items"].dataType)
+    return spans.join(met_items, same, "left").select("doc_id", "text_hash", "n_words", "spans", F.coalesce("items", none).alias("items"), "rows")
 
 
 def _short_lengths(windows: DataFrame) -> list[int]:

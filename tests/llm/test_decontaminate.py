@@ -77,3 +77,13 @@ def test_odd_rows(ready, odd, none):
     assert {r.contaminated for r in dc.decontaminate(odd, empty).collect()} == {False}
     assert dc.clean(odd, empty).count() == odd.count() and dc.decontaminate(none, empty).count() == 0
     compare(odd, [(1, LONG[:300])], ready.createDataFrame([(1, LONG[:300])], "item_id bigint, text string"))
+
+
+def test_a_passage_that_many_items_share(ready):
+    """No row of the work holds the items of a window; each document gets all of them once."""
+    passage = " ".join(f"w{i}" for i in range(12))
+    items = [(i, f"start{i} {passage}") for i in range(2000)]
+    docs = ready.createDataFrame([(1, f"a b {passage} c {passage}"), (2, passage), (3, "start5 " + passage), (4, "w1 w2 w3")], "doc_id bigint, text string")
+    benchmark = ready.createDataFrame(items, "item_id bigint, text string")
+    assert not [f for f in dc.item_windows(benchmark).schema.fields if f.dataType.typeName() == "array"]
+    compare(docs, items, benchmark)
