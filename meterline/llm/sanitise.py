@@ -34,8 +34,6 @@ PART = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 MIN_TEXTS = 3
 REMOVE_FROM = 0.95
 GENERALISE_FROM = 0.8
-#: Candidate terms are broadcast up to this many, and joined by a shuffle beyond it.
-BROADCAST_TERMS = 200_000
 BLOCK = 256
 SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
@@ -124,12 +122,10 @@ def term_disclosure(found: DataFrame, docs: DataFrame) -> DataFrame:
         .groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("copies").alias("df_et")).where(F.col("texts") >= MIN_TEXTS)
     )
     pairs = saved(pairs.drop("texts"), "pii-pairs")
-    terms = pairs.select("term").distinct()
+    # a table of its own, so that Catalyst knows its size: small ones filter the words where they are read, below the count
+    terms = saved(pairs.select("term").distinct(), "pii-terms")
     everywhere = docs.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    if terms.count() <= BROADCAST_TERMS:
-        df_t = everywhere.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df_t"))
-    else:
-        df_t = everywhere.groupBy("term").agg(F.count("*").alias("df_t"))
+    df_t = everywhere.groupBy("term").agg(F.count("*").alias("df_t")).join(terms, "term", "left_semi")
     n = F.lit(float(max(docs.count(), 2)))
     ic = F.log(n / F.col("df_e"))
     pmi = F.log(F.col("df_et") * n / (F.col("df_e") * F.col("df_t")))
@@ -155,8 +151,9 @@ def find(docs: DataFrame) -> DataFrame:
         beside.unionByName(revealed(docs, known)).groupBy("text_hash", "term").agg(F.max("disclosure").alias("disclosure"))
         .groupBy("text_hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("disclosed")), "pii-flagged")
     spans = found.groupBy("text_hash").agg(F.first("spans").alias("spans"))
-    # copies of a text become one row in the tasks that read them
-    texts = docs.groupBy(F.xxhash64(text).alias("text_hash")).agg(F.first(text).alias("text"))
+    # only texts with a term to mark are moved; their copies become one row in the tasks that read them
+    held = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text")).join(flagged.select("text_hash"), "text_hash", "left_semi")
+    texts = held.groupBy("text_hash").agg(F.first("text").alias("text"))
     marked = texts.join(flagged, "text_hash").join(spans, "text_hash", "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
     marked = marked.select("text_hash", _term_spans().alias("terms")).where(F.size("terms") > 0)
     return rows.drop("text").withColumnRenamed("spans", "base").join(marked, "text_hash", "left").withColumn("terms", F.coalesce("terms", F.array().cast(f"{SPANS[:-2]},treatment:string>>")))
@@ -164,9 +161,9 @@ def find(docs: DataFrame) -> DataFrame:
 
 def revealed(docs: DataFrame, known: DataFrame) -> DataFrame:
     """``text_hash, term, disclosure`` of the terms to remove in all texts, also in those that hold no entity: there the term is what reveals it."""
-    telling = known.where(F.col("disclosure") >= REMOVE_FROM).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    telling = saved(known.where(F.col("disclosure") >= REMOVE_FROM).groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii-telling")
     told = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    return told.join(F.broadcast(telling) if telling.count() <= BROADCAST_TERMS else telling, "term").select("text_hash", "term", "disclosure")
+    return told.join(telling, "term").select("text_hash", "term", "disclosure")
 
 
 def _term_spans() -> Column:
