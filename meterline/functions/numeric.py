@@ -18,13 +18,17 @@ def fixed_sum(value: Column) -> Column:
     Values up to 1e21 are taken, at any row count; a NaN or an infinite value makes the sum NULL.
     """
     value = value.cast("double")
+    total = F.sum(whole_micros(value)).cast("double") / F.lit(MICROS)
+    return F.when(F.coalesce(F.bool_and(is_finite(value)), F.lit(True)), total)
+
+
+def whole_micros(value: Column) -> Column:
+    """A double in whole millionths; NULL for NULL, NaN and infinite values."""
     micros = value * F.lit(MICROS) + F.lit(0.5)
-    whole = F.when(F.abs(micros) < _LONG_MICROS, F.floor(micros).cast(_SUMMABLE)).when(_finite(value), micros.cast(_SUMMABLE))
-    total = F.sum(whole).cast("double") / F.lit(MICROS)
-    return F.when(F.coalesce(F.bool_and(_finite(value)), F.lit(True)), total)
+    return F.when(F.abs(micros) < _LONG_MICROS, F.floor(micros).cast(_SUMMABLE)).when(is_finite(value), micros.cast(_SUMMABLE))
 
 
-def _finite(value: Column) -> Column:
+def is_finite(value: Column) -> Column:
     """NULL for NULL; comparisons take NaN for the greatest value."""
     return F.abs(value) < F.lit(float("inf"))
 

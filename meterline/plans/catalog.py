@@ -14,11 +14,11 @@ from meterline.functions.rows import once
 from meterline.operators import events as ev
 from meterline.operators import kpis, metrics, quality, staging, state, validation
 from meterline.operators.upsert import latest_per_key
-from meterline.plans import profiles, reports
+from meterline.plans import pipeline, profiles, reports
 from meterline.schemas import BATCH_SIZE_BUCKETS, LATENCY_BUCKETS
 from meterline.session import configure, work_dir
 from meterline.sources import files, star, zones
-from meterline.sources.tables import mart_table, staging_table
+from meterline.sources.tables import kpi_ledger, mart_table, staging_table
 from meterline.streaming.assembly import read_rejects, start_assembly
 from meterline.streaming.fields import field_store, start_field_state
 
@@ -194,6 +194,25 @@ def upsert_kpis(t: Inputs) -> DataFrame:
     return stored.read(t.spark).select("zone_id", "hour_ts", "trips", "unique_vehicles", *_as_doubles(MART_MEASURES))
 
 
+@query
+def kpi_changed_refresh(t: Inputs) -> DataFrame:
+    """The mart after two deliveries of trips, the second of which corrects fares, zones and vehicles of the first."""
+    folder = _run_folder(t)
+    trips = staging_table(f"{folder}/trips", keys_hold_time=True, keep_changes=True)
+    sums, mart = kpi_ledger(f"{folder}/sums"), mart_table(f"{folder}/kpis")
+    half = F.pmod(F.xxhash64("trip_key"), F.lit(2)) == 0
+    wrong = t.staged.where("pickup_ts < timestamp_ntz'2025-01-10 00:00:00'").withColumns({
+        "fare_amount": F.when(half, F.col("fare_amount") * 3).otherwise(F.col("fare_amount")),
+        "payment_type": F.when(half, F.lit(9)).otherwise(F.col("payment_type")),
+        "vehicle_id_h": F.when(half, F.lit("unknown")).otherwise(F.col("vehicle_id_h")),
+    })
+    right = t.staged.where(half | (F.col("pickup_ts") >= staging.timestamp_literal(dt.datetime(2025, 1, 10))))
+    for batch, rows in (("wrong", wrong), ("right", right)):
+        trips.upsert(t.spark, rows, batch)
+        pipeline.refresh_changed_kpis(t.spark, trips, sums, mart, AS_OF, batch)
+    return mart.read(t.spark).select("zone_id", "hour_ts", "trips", "unique_vehicles", *_as_doubles(MART_MEASURES))
+
+
 def _as_doubles(columns) -> list:
     return [F.col(c).cast("double").alias(c) for c in columns]
 
@@ -466,6 +485,22 @@ def fk_orphans(t: Inputs) -> DataFrame:
     return staging.zone_orphans(t.stream_trips, t.zones)
 
 
+@query
+def fk_orphans_staged(t: Inputs) -> DataFrame:
+    return staging.zone_orphans(t.staged, t.zones)
+
+
+@query
+def fk_enforce_staged(t: Inputs) -> DataFrame:
+    marked = staging.with_zone_reason(t.staged, t.zones)
+    return marked.groupBy(F.coalesce("reject_reason", F.lit("kept")).alias("outcome")).agg(F.count("*").alias("trips"))
+
+
+@query
+def dq_documented_rules_staged(t: Inputs) -> DataFrame:
+    return quality.documented_rules(t.zones, t.staged)
+
+
 @query
 def trips_with_zones(t: Inputs) -> DataFrame:
     rows = staging.trips_with_zones(t.staged, t.zones)

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterline.operators import kpis, quality, staging
+from meterline.operators import kpis, ledger, quality, staging
 from meterline.sources import files
 from meterline.sources.store import remove_path, touch
 from meterline.sources.tables import KeyedTable
@@ -65,3 +65,23 @@ def refresh_kpis(spark: SparkSession, trips: KeyedTable, mart: KeyedTable, as_of
     mart.upsert(spark, kpis.mart_rows(computed, as_of), batch_id)
     written = mart.read(spark).where(F.col("created_at") == staging.timestamp_literal(as_of))
     return kpis.kpi_run_stats(written if within is None else written.where(within.contains("hour_ts")))
+
+
+def refresh_changed_kpis(spark: SparkSession, trips: KeyedTable, sums: KeyedTable, mart: KeyedTable, as_of: dt.datetime,
+                         batch_id: str) -> int:
+    """Bring KPIs up to date with one delivery to ``trips`` (a table with ``keep_changes``); returns the KPI rows written.
+
+    Only what the delivery changed is read of the trips, and only the touched days of the ledger ``sums``. The order of
+    deliveries does not matter, and taking one again changes nothing. As with a full refresh, a zone and hour that has
+    lost its last trip keeps its old mart row. Changes may be forgotten once this has returned.
+    """
+    delta_path = f"{sums.path}/_deltas/{batch_id}"
+    ledger.contributions(trips.changes(spark, batch_id)).write.mode("overwrite").parquet(delta_path)
+    delta = spark.read.schema(sums.schema).parquet(delta_path)
+    days = [r[0] for r in delta.select(F.to_date("hour_ts")).distinct().collect()]
+    sums.upsert(spark, ledger.add(sums.read_partitions(spark, days), delta), batch_id)
+    hours = delta.select(*ledger.HOUR).distinct()
+    touched = sums.read_partitions(spark, days).join(hours, list(ledger.HOUR), "left_semi")
+    written = mart.upsert(spark, kpis.mart_rows(ledger.ledger_kpis(touched), as_of), batch_id)
+    remove_path(spark, delta_path)
+    return written

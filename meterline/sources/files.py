@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterline.functions.numeric import nan_to_null
 from meterline.schemas import RAW_TO_CURATED, RAW_TRIP
+from meterline.sources.listing import list_tree
 
 # Layout of the raw folder, and what a failed download looks like.
 RAW_GLOB = "yellow/*/*/yellow_tripdata_*.parquet"
@@ -128,29 +129,19 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
 def suspicious_downloads(spark: SparkSession, path: str) -> DataFrame:
     """Files that are empty or small error pages, with the reason; nothing is deleted.
 
-    The size filter is pushed down, so large files are not opened.
+    The size filter is pushed down, so large files are not opened. Empty files, which file sources leave out, come from
+    a listing in tasks.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .load(path).where(F.col("length") < MIN_DOWNLOAD_BYTES)
     ).select("path", "length", F.decode("content", "UTF-8").alias("content"))
-    files = files.unionByName(_empty_files(spark, path))
+    empty = list_tree(spark, path).where("NOT folder AND length = 0").select("path", "length", F.lit("").alias("content"))
+    files = files.unionByName(empty)
     return files.select("path", "length", download_problem(F.col("length"), F.col("content")).alias("reason")) \
         .where("reason is not null")
 
 
-def _empty_files(spark: SparkSession, path: str) -> DataFrame:
-    """Empty files, which file sources leave out; one listing of the download folder."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    listing = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
-    found = []
-    while listing.hasNext():
-        status = listing.next()
-        if status.getLen() == 0:
-            found.append((status.getPath().toString(), 0, ""))
-    return spark.createDataFrame(found, "path string, length bigint, content string")
-
-
 def download_problem(length: Column, content: Column) -> Column:
     return F.when(length == 0, F.lit("empty")).when(
         (length < MIN_DOWNLOAD_BYTES) & content.rlike(BAD_DOWNLOAD_PATTERN), F.lit("error_page")

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from meterline.operators.ledger import KEYS, LEDGER, SIGN
 from meterline.operators.upsert import latest_per_key, merge_by_key
 from meterline.schemas import COMPLETE_TRIP, ZONE_HOURLY_KPIS
 from meterline.sources.changelog import KeyedLog
@@ -31,6 +32,8 @@ class KeyedTable:
     partition: str
     partition_of: Callable[[], Column]
     key_sets_partition: bool
+    #: Keep what each delivery changed: new rows with sign 1, the rows they replaced with sign -1.
+    keep_changes: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark).drop(self.partition)
@@ -40,6 +43,26 @@ class KeyedTable:
         day = F.col(self.partition)
         return self._stored(spark).where(day.between(F.lit(first), F.lit(last))).drop(self.partition)
 
+    def read_partitions(self, spark: SparkSession, days: Sequence[dt.date | None]) -> DataFrame:
+        """Rows of exactly these partitions."""
+        return self._of_days(self._stored(spark), days).drop(self.partition)
+
+    def _of_days(self, stored: DataFrame, days: Sequence[dt.date | None]) -> DataFrame:
+        day = F.col(self.partition)
+        return stored.where(day.isin([d for d in days if d is not None]) | (day.isNull() if None in days else F.lit(False)))
+
+    def changes(self, spark: SparkSession, batch_id: str) -> DataFrame:
+        """What a delivery changed, with ``change_sign``; none for a delivery without rows."""
+        schema = T.StructType([*self.schema.fields, T.StructField(SIGN, T.IntegerType())])
+        path = self._changes_path(batch_id)
+        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+    def forget_changes(self, spark: SparkSession, batch_id: str) -> None:
+        remove_path(spark, self._changes_path(batch_id))
+
+    def _changes_path(self, batch_id: str) -> str:
+        return f"{self.path}/_changes/{batch_id}"
+
     def _full_schema(self) -> T.StructType:
         return T.StructType(self.schema.fields + [T.StructField(self.partition, T.DateType())])
 
@@ -72,7 +95,7 @@ class KeyedTable:
         if path_exists(spark, f"{stage}/published"):
             return 0
         if not path_exists(spark, f"{stage}/emptied"):
-            self._stage(spark, updates, order_by, stage)
+            self._stage(spark, updates, order_by, stage, self._changes_path(batch_id) if self.keep_changes else None)
         update = spark.read.parquet(f"{stage}/updates")
         taken = update.count()
         self._publish(spark, stage)
@@ -89,7 +112,7 @@ class KeyedTable:
         keys = [f for f in self.schema.fields if f.name in self.keys]
         return KeyedLog(f"{self.path}/_index", T.StructType([*keys, T.StructField(self.partition, T.DateType())]), tuple(self.keys))
 
-    def _stage(self, spark: SparkSession, updates: DataFrame, order_by: Sequence[str], stage: str) -> None:
+    def _stage(self, spark: SparkSession, updates: DataFrame, order_by: Sequence[str], stage: str, changes: str | None = None) -> None:
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         order = [c for c in order_by if c not in self.schema.names]
         latest = latest_per_key(updates.select(*typed, *order), self.keys, order_by).select(*self.schema.names)
@@ -102,8 +125,11 @@ class KeyedTable:
         stored = self._stored(spark)
         self._touched(spark, update).coalesce(1).write.mode("overwrite").parquet(f"{stage}/touched")
         days = self._days(spark, stage)
-        day = F.col(self.partition)
-        old = stored.where(day.isin([d for d in days if d is not None]) | (day.isNull() if None in days else F.lit(False)))
+        old = self._of_days(stored, days)
+        if changes is not None:
+            replaced = old.join(update.select(*self.keys), list(self.keys), "left_semi")
+            both = update.withColumn(SIGN, F.lit(1)).unionByName(replaced.withColumn(SIGN, F.lit(-1)))
+            both.drop(self.partition).write.mode("overwrite").parquet(changes)
         merged = merge_by_key(old, update, self.keys)
         (
             merged.hint("rebalance", self.partition)
@@ -138,7 +164,7 @@ class KeyedTable:
             remove_path(spark, f"{self.path}/{folder}")
 
 
-def staging_table(path: str, keys_hold_time: bool = False) -> KeyedTable:
+def staging_table(path: str, keys_hold_time: bool = False, keep_changes: bool = False) -> KeyedTable:
     """Complete trips by ``trip_key``, one partition per pickup day.
 
     Batch keys are hashes of the pickup time among others, so a batch-only table may say
@@ -146,10 +172,15 @@ def staging_table(path: str, keys_hold_time: bool = False) -> KeyedTable:
     correction can move a trip to another day, which the index finds.
     """
     return KeyedTable("complete_trip", path, COMPLETE_TRIP, ("trip_key",), "pickup_day",
-                      lambda: F.to_date("pickup_ts"), key_sets_partition=keys_hold_time)
+                      lambda: F.to_date("pickup_ts"), key_sets_partition=keys_hold_time, keep_changes=keep_changes)
 
 
 def mart_table(path: str) -> KeyedTable:
     """Zone-hour KPIs by ``(zone_id, hour_ts)``, one partition per day."""
     return KeyedTable("zone_hourly_kpis", path, ZONE_HOURLY_KPIS, ("zone_id", "hour_ts"), "hour_day",
                       lambda: F.to_date("hour_ts"), key_sets_partition=True)
+
+
+def kpi_ledger(path: str) -> KeyedTable:
+    """Sums per zone, hour and vehicle, from which KPIs are read; one partition per day."""
+    return KeyedTable("kpi_ledger", path, LEDGER, KEYS, "hour_day", lambda: F.to_date("hour_ts"), key_sets_partition=True)

@@ -238,6 +238,8 @@ CTES["kpi"] = (("stg",), f"""
                {pct("count(CASE WHEN payment_type = 1 THEN 1 END)", 'count(*)')} AS pct_card,
                count(DISTINCT vehicle_id_h) AS unique_vehicles
         FROM stg WHERE pu_zone_id IS NOT NULL GROUP BY 1, 2""")
+# the same over trips with one row per key, as the stored table has them
+CTES["kpi_of_keys"] = (("uniq",), CTES["kpi"][1].replace("FROM stg WHERE", "FROM uniq WHERE"))
 
 
 def with_ctes(names: str, body: str) -> str:

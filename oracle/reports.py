@@ -49,6 +49,9 @@ SQL: dict[str, str] = {
                CAST(unique_vehicles AS INTEGER) AS unique_vehicles,
                {MART_DECIMALS}, {AS_OF} AS created_at, true AS no_outlier_rate
         FROM kpi"""),
+    "kpi_changed_refresh": with_ctes("kpi_of_keys", f"""
+        SELECT CAST(zone_id AS INTEGER) AS zone_id, hour_ts, CAST(trips AS INTEGER) AS trips,
+               CAST(unique_vehicles AS INTEGER) AS unique_vehicles, {MART_DECIMALS} FROM kpi_of_keys"""),
     "kpi_incremental": with_ctes("kpi", """
         SELECT * FROM kpi WHERE hour_ts >= TIMESTAMP '2025-01-06 12:00:00' AND hour_ts < TIMESTAMP '2025-01-08 00:00:00'"""),
     "kpi_run_stats": with_ctes("kpi", """

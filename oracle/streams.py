@@ -244,6 +244,24 @@ SQL: dict[str, str] = {
             "zones": "pu_zone_id IN (SELECT zone_id FROM zone) AND do_zone_id IN (SELECT zone_id FROM zone)",
             "chronological": "pickup_ts < dropoff_ts",
         }.items())),
+    "fk_orphans_staged": with_ctes("stg zone", """
+        WITH trips AS (SELECT * FROM stg)
+        SELECT CAST((SELECT count(*) FROM trips t LEFT JOIN zone z ON t.pu_zone_id = z.zone_id WHERE z.zone_id IS NULL)
+                    AS BIGINT) AS invalid_pu_zone_refs,
+               CAST((SELECT count(*) FROM trips t LEFT JOIN zone z ON t.do_zone_id = z.zone_id WHERE z.zone_id IS NULL)
+                    AS BIGINT) AS invalid_do_zone_refs"""),
+    "fk_enforce_staged": with_ctes("stg zone", """
+        WITH trips AS (SELECT * FROM stg)
+        SELECT CASE WHEN pu_zone_id NOT IN (SELECT zone_id FROM zone) THEN 'pu_zone_unknown'
+                              WHEN do_zone_id NOT IN (SELECT zone_id FROM zone) THEN 'do_zone_unknown'
+                              ELSE 'kept' END AS outcome, count(*) AS trips FROM trips GROUP BY 1"""),
+    "dq_documented_rules_staged": with_ctes("stg zone", "WITH trips AS (SELECT * FROM stg) " + " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, count(CASE WHEN NOT coalesce({cond}, false) THEN 1 END) AS failed FROM trips" for name, cond in {
+            "duration": "date_diff('microsecond', pickup_ts, dropoff_ts) BETWEEN 1000000 AND 86400000000",
+            "fare": "fare_amount BETWEEN CAST(0.01 AS DOUBLE) AND 500",
+            "zones": "pu_zone_id IN (SELECT zone_id FROM zone) AND do_zone_id IN (SELECT zone_id FROM zone)",
+            "chronological": "pickup_ts < dropoff_ts",
+        }.items())),
     "assembled_trips_stream": with_ctes("good_typed good_newest", _GOOD_TRIPS),
     # a gap of more than six hours ends a trip's state; the latest complete stretch of a trip is what stays in the table
     "expiring_trips_stream": with_ctes("good", f"""

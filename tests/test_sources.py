@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meterline.operators import quality
 from meterline.plans import pipeline
-from meterline.sources import files, topics, zones
+from meterline.sources import files, listing, topics, zones
 from meterline.sources.tables import mart_table, staging_table
 
 D = dt.datetime
@@ -103,6 +103,24 @@ def test_suspicious_downloads(spark, tmp_path):
     assert found == {"denied.parquet": "error_page", "empty.parquet": "empty"}
 
 
+def test_nested_downloads_are_listed_by_tasks(spark, tmp_path):
+    """Files of every depth, whatever their names; the paths are those that the file source gives."""
+    for folder in ("", "a", "a/b=1", "a/b=1/c d", "e%20f"):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / folder / "empty.parquet").write_bytes(b"")
+        (tmp_path / folder / "page.parquet").write_text("<Error>Access Denied</Error>")
+    (tmp_path / "hollow").mkdir()
+    found = files.suspicious_downloads(spark, str(tmp_path))
+    assert found.groupBy("reason").count().orderBy("reason").collect() == [("empty", 5), ("error_page", 5)]
+    seen = listing.list_tree(spark, str(tmp_path))
+    assert seen.where("folder").count() == 5 and seen.where("length = 0").count() == 5
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path))
+    assert {r.path for r in source.select("path").collect()} == {
+        r.path for r in seen.where("NOT folder AND length > 0").collect()}
+    assert listing.list_tree(spark, str(tmp_path / "hollow")).isEmpty()
+    assert listing.list_tree(spark, str(tmp_path / "absent")).isEmpty()
+
+
 def test_first_rows_follow_file_order(spark, raw_root):
     raw = files.read_raw_month(spark, str(raw_root / "yellow/2025/01/*.parquet"))
     assert [r.row_offset for r in files.first_rows(raw, 2, "row_offset").collect()] == [0, 1]
