@@ -35,24 +35,36 @@ RECALL = 0.999999
 PICKS = 2
 SKETCH = 64
 LEAF = 2000
-DEPTH = 3
+DEPTH = 2
 CHUNK = 64
-#: Shared part of a sketch that links loosely, and the part that makes a set as good as the pivot.
-LOOSE, EQUAL = 0.6, 0.95
+#: Shared part of a sketch that links loosely, and the part that makes a set as good as the pivot. Of a pair at the threshold,
+#: one inside the other, sketches of 64 share fewer than half with a probability of 2e-8.
+LOOSE, EQUAL = 0.5, 0.95
 LOOSE_SIZE = 0.6
 SETS = "doc_id bigint, text_hash bigint, n int, v bigint, keys array<bigint>, sketch array<int>"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
-def runs_needed(recall: float = RECALL, similarity: float = SIMILARITY) -> int:
+def missed(mine: float, other: float, picks: int = PICKS) -> float:
+    """Probability that two sets share no pick, when these parts of their union are in one of them only.
+
+    Picks are the first in a random order of the union, so they meet unless one set has filled its picks with what only
+    it holds before a shared one comes.
+    """
+    def rest(x: int, y: int) -> float:
+        return 1.0 if picks in (x, y) else mine * rest(x + 1, y) + other * rest(x, y + 1)
+    return rest(0, 0)
+
+
+def runs_needed(recall: float = RECALL, similarity: float = SIMILARITY, levels: int = DEPTH) -> int:
     """Runs after which a pair at the threshold is missed with a probability of at most ``1 - recall``.
 
-    With two picks a run misses when the smallest shingle of the union is in one set only, and then either the next is
-    in that set only, or in the other only and the third is not shared.
+    The worst pair is one where a set contains the other: all that is apart lies on one side. Its bucket may be split at
+    every level, and there both sets pick from sketches of equal size, which share ``similarity`` of their entries.
     """
-    apart = 1 - similarity
-    missed = apart * (apart / 2 + apart / 2 * apart)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(missed)))
+    in_sketch = (1 - similarity) / (2 - similarity)
+    met = (1 - missed(1 - similarity, 0.0)) * (1 - missed(in_sketch, in_sketch)) ** levels
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - met)))
 
 
 def shingles(text: str | None, cache: WordHashes) -> np.ndarray:

@@ -75,8 +75,26 @@ def test_large_buckets_split_and_lose_nothing(crowd, monkeypatch):
     compare(crowd)
 
 
+@pytest.fixture(scope="module")
+def contained(ready):
+    """Pairs at a similarity of exactly 0.8, one text inside the other; half of them also share a passage with all others."""
+    rows = []
+    for i in range(300):
+        w = [f"s{j}" for j in range(40 * (i % 2))] + [f"t{i}_{j}" for j in range(104)]
+        rows += [" ".join(w[:104]), " ".join(w[:84])]
+    return ready.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+
+
+@pytest.mark.parametrize("leaf", [2000, 40])
+def test_contained_texts_at_the_threshold_are_all_found(contained, monkeypatch, leaf):
+    """With small leaves the buckets of the passage are split at every level."""
+    monkeypatch.setattr(cp, "LEAF", leaf)
+    got = {r.doc_id: (r.n_links, r.class_id) for r in cp.near_duplicates(contained).collect()}
+    assert got == {i: (1, i - i % 2) for i in range(600)}
+
+
 def test_runs_reach_the_recall():
-    assert cp.runs_needed() == 4 and cp.runs_needed(0.9) == 1
+    assert cp.runs_needed() == 8 and cp.runs_needed(0.9) == 2 and cp.runs_needed(levels=0) == 5
     rng = np.random.default_rng(1)
     missed = 0
     for _ in range(4000):
@@ -87,6 +105,20 @@ def test_runs_reach_the_recall():
     assert missed / 4000 < 0.04
 
 
+def test_contained_sets_and_sketches_meet_as_often_as_claimed():
+    rng = np.random.default_rng(2)
+    n, apart, sketched = 6000, 0, 0
+    for _ in range(n):
+        whole = rng.permutation(1000)
+        part = whole[whole < 800]
+        apart += not set(whole[:cp.PICKS]) & set(part[:cp.PICKS])
+        a, b = whole[:cp.SKETCH], part[:cp.SKETCH]
+        again = rng.permutation(1000)
+        sketched += not set(sorted(a, key=again.item)[:cp.PICKS]) & set(sorted(b, key=again.item)[:cp.PICKS])
+    assert abs(sketched / n - cp.missed(1 / 6, 1 / 6)) < 0.015
+    assert abs(cp.missed(0.2, 0.0) - 0.04) < 1e-12
+
+
 def test_shingles_are_sets_of_five_words():
     cache = WordHashes()
     assert len(cp.shingles("a b c d e f", cache)) == 2 and len(cp.shingles("a b", cache)) == 1 and not len(cp.shingles(None, cache))
