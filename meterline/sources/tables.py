@@ -96,13 +96,13 @@ class KeyedTable:
             return 0
         if not path_exists(spark, f"{stage}/emptied"):
             self._stage(spark, updates, order_by, stage, self._changes_path(batch_id) if self.keep_changes else None)
-        update = spark.read.parquet(f"{stage}/updates")
+        update = self._update(spark, stage)
         taken = update.count()
         self._publish(spark, stage)
         if taken and not self.key_sets_partition:
             self.index.append(spark, update.select(*self.keys, self.partition), batch_id)
         touch(spark, f"{stage}/published")
-        for part in ("updates", "touched", "merged", "emptied"):
+        for part in ("arrived", "repeated", "winners", "touched", "merged", "emptied"):
             remove_path(spark, f"{stage}/{part}")
         return taken
 
@@ -115,10 +115,17 @@ class KeyedTable:
     def _stage(self, spark: SparkSession, updates: DataFrame, order_by: Sequence[str], stage: str, changes: str | None = None) -> None:
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         order = [c for c in order_by if c not in self.schema.names]
-        latest = latest_per_key(updates.select(*typed, *order), self.keys, order_by).select(*self.schema.names)
-        # written once: it is read for the touched partitions, the anti join and the union
-        latest.withColumn(self.partition, self.partition_of()).write.mode("overwrite").parquet(f"{stage}/updates")
-        update = spark.read.parquet(f"{stage}/updates")
+        # written once: it is read for its keys, for the touched partitions, the anti join and the union
+        rows = updates.select(*typed, *order).withColumn(self.partition, self.partition_of())
+        rows.write.mode("overwrite").parquet(f"{stage}/arrived")
+        arrived = spark.read.schema(rows.schema).parquet(f"{stage}/arrived")
+        # most keys come once, and their rows need neither be ordered nor moved: only keys are counted. Those that come again
+        # are stored, so that Catalyst knows how many they are before it decides whether whole rows have to move
+        repeated = arrived.groupBy(*self.keys).agg(F.count("*").alias("n")).where("n > 1").select(*self.keys)
+        repeated.write.mode("overwrite").parquet(f"{stage}/repeated")
+        again = arrived.join(spark.read.schema(repeated.schema).parquet(f"{stage}/repeated"), list(self.keys), "left_semi")
+        latest_per_key(again, self.keys, order_by).select(*self.schema.names, self.partition).write.mode("overwrite").parquet(f"{stage}/winners")
+        update = self._update(spark, stage)
         if update.isEmpty():
             write_text(spark, f"{stage}/emptied", "[]")
             return
@@ -138,6 +145,12 @@ class KeyedTable:
         filled = set(child_names(spark, f"{stage}/merged"))
         write_text(spark, f"{stage}/emptied", json.dumps(sorted({self._folder(d) for d in days} - filled)))
 
+    def _update(self, spark: SparkSession, stage: str) -> DataFrame:
+        """The rows of a delivery, one per key: those that came once and the winners of the others."""
+        schema = self._full_schema()
+        arrived = spark.read.schema(schema).parquet(f"{stage}/arrived")
+        return merge_by_key(arrived, spark.read.schema(schema).parquet(f"{stage}/winners"), self.keys)
+
     def _folder(self, day: dt.date | None) -> str:
         return f"{self.partition}={day or '__HIVE_DEFAULT_PARTITION__'}"
 

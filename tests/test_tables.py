@@ -140,6 +140,20 @@ def test_last_write_wins_inside_a_batch(spark, tmp_path):
     assert content(table, spark) == {"a": (D(2025, 1, 1), 3.0)}
 
 
+def test_only_repeated_keys_are_ordered(spark, tmp_path):
+    """Rows whose key comes once go from the delivery to the table without a sort or a shuffle of their own."""
+    table = staging_table(str(tmp_path / "t"))
+    batch = trips(spark, *[(f"k{i % 90}", D(2025, 1, 1 + i % 3), i) for i in range(100)])
+    stage = table.stage_path("s13-1")
+    table._stage(spark, batch, (), stage)
+    assert spark.read.parquet(f"{stage}/winners").count() == spark.read.parquet(f"{stage}/repeated").count() == 10
+    plan = table._update(spark, stage)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert table.upsert(spark, batch, "s13-1") == 90
+    want = {r.trip_key: (r.pickup_ts, r.total_amount) for r in latest_per_key(batch, ["trip_key"]).collect()}
+    assert content(table, spark) == want
+
+
 def test_hot_key_collapses_before_the_shuffle(spark):
     df = spark.range(100_000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"), F.col("id").alias("v"))
     latest = latest_per_key(df, ["k"], ["seq"])
