@@ -98,3 +98,20 @@ def test_only_values_of_wanted_segments_are_shuffled(spark):
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(metric#" in plan and not re.search(r"hashpartitioning\(metric#\d+, value#", plan)
     assert 2 * MARGIN < 0.01 and result.count() == 1
+
+
+def test_statistics_read_their_source_once(spark, tmp_path):
+    """Rows that come out of a join are joined once, however many passes the quantiles take."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for rows in batches:
+            calls.add(rows.num_rows)
+            yield rows
+
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x")).mapInArrow(seen, "x double")
+    for result in (profiles.statistics(df, ["x"], {0.5: "median"}), profiles.histograms(df, {"x": 500.0}), profiles.exact_quantiles(df, ["x"], [0.5])):
+        before = calls.value
+        result.collect()
+        assert calls.value == before
+    assert calls.value == 3 * 1000
