@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.functions.numeric import fixed_avg, fixed_sum
+from meterline.functions.numeric import fixed_avg, fixed_sum, max_text
 from meterline.functions.parsing import iso_timestamp
 from meterline.operators.metrics import metric_total, parse_metric_lines
 
@@ -38,3 +38,11 @@ def test_times_need_a_date(spark):
     texts = ["10:30:00", "T10:30", "2025", "2025-01", "2025-01-02", "2025-01-02T03:04:05", "2025-01-02 03:04:05.5Z", "x", None]
     got = [r.t for r in spark.createDataFrame([(t,) for t in texts], "s string").select(iso_timestamp(F.col("s")).alias("t")).collect()]
     assert got == [None] * 4 + [dt.datetime(2025, 1, 2), dt.datetime(2025, 1, 2, 3, 4, 5), dt.datetime(2025, 1, 2, 3, 4, 5, 500_000), None, None]
+
+
+def test_greatest_text_of_few_groups_orders_no_rows(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "c"), (1, None), (2, None)], "g int, t string")
+    result = rows.groupBy("g").agg(max_text(F.col("t")).alias("t"))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    assert {r.g: r.t for r in result.collect()} == {1: "c", 2: None}
