@@ -6,6 +6,8 @@ import datetime as dt
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -15,6 +17,14 @@ from meterline.schemas import COMPLETE_TRIP, ZONE_HOURLY_KPIS
 from meterline.sources.changelog import KeyedLog
 from meterline.sources.store import child_names, path_exists, read_text, remove_path, rename_path, touch, write_text
 
+#: A delivery of which one row in so many has a key that comes again is reduced to one row per key as a whole.
+MOST_REPEATED = 2
+
+
+def _write(rows: DataFrame, path: str, *partition: str) -> None:
+    """Hashed keys fill most of a row; they are hexadecimal, which zstd halves and snappy leaves as it is."""
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition).parquet(path)
+
 
 @dataclass(frozen=True)
 class KeyedTable:
@@ -102,7 +112,7 @@ class KeyedTable:
         if taken and not self.key_sets_partition:
             self.index.append(spark, update.select(*self.keys, self.partition), batch_id)
         touch(spark, f"{stage}/published")
-        for part in ("arrived", "repeated", "winners", "touched", "merged", "emptied"):
+        for part in ("arrived", "repeated", "winners", "latest", "touched", "merged", "emptied"):
             remove_path(spark, f"{stage}/{part}")
         return taken
 
@@ -117,14 +127,24 @@ class KeyedTable:
         order = [c for c in order_by if c not in self.schema.names]
         # written once: it is read for its keys, for the touched partitions, the anti join and the union
         rows = updates.select(*typed, *order).withColumn(self.partition, self.partition_of())
-        rows.write.mode("overwrite").parquet(f"{stage}/arrived")
+        _write(rows, f"{stage}/arrived")
         arrived = spark.read.schema(rows.schema).parquet(f"{stage}/arrived")
-        # most keys come once, and their rows need neither be ordered nor moved: only keys are counted. Those that come again
-        # are stored, so that Catalyst knows how many they are before it decides whether whole rows have to move
-        repeated = arrived.groupBy(*self.keys).agg(F.count("*").alias("n")).where("n > 1").select(*self.keys)
-        repeated.write.mode("overwrite").parquet(f"{stage}/repeated")
-        again = arrived.join(spark.read.schema(repeated.schema).parquet(f"{stage}/repeated"), list(self.keys), "left_semi")
-        latest_per_key(again, self.keys, order_by).select(*self.schema.names, self.partition).write.mode("overwrite").parquet(f"{stage}/winners")
+        # most keys come once, and their rows need neither be ordered nor moved: only hashes of keys are counted. Those that come
+        # again are stored, so that Catalyst knows how many they are before it decides whether whole rows have to move
+        complete = reduce(and_, [F.col(k).isNotNull() for k in self.keys])
+        key_hash = F.when(complete, F.xxhash64(*self.keys)).alias("_hash")
+        counted = arrived.select(key_hash).where("_hash is not null").groupBy("_hash").agg(F.count("*").alias("n"))
+        counted.where("n > 1").write.mode("overwrite").parquet(f"{stage}/repeated")
+        repeated = spark.read.schema("_hash bigint, n bigint").parquet(f"{stage}/repeated")
+        remove_path(spark, f"{stage}/latest")
+        many = repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * MOST_REPEATED > arrived.count()
+        if many:
+            # rows move once, and those of one task are combined before
+            newest = latest_per_key(arrived.where(complete), self.keys, order_by).unionByName(arrived.where(~complete))
+        else:
+            again = arrived.select("*", key_hash).join(repeated, "_hash", "left_semi").drop("_hash")
+            newest = latest_per_key(again, self.keys, order_by)
+        _write(newest.select(*self.schema.names, self.partition), f"{stage}/latest" if many else f"{stage}/winners")
         update = self._update(spark, stage)
         if update.isEmpty():
             write_text(spark, f"{stage}/emptied", "[]")
@@ -136,18 +156,17 @@ class KeyedTable:
         if changes is not None:
             replaced = old.join(update.select(*self.keys), list(self.keys), "left_semi")
             both = update.withColumn(SIGN, F.lit(1)).unionByName(replaced.withColumn(SIGN, F.lit(-1)))
-            both.drop(self.partition).write.mode("overwrite").parquet(changes)
+            _write(both.drop(self.partition), changes)
         merged = merge_by_key(old, update, self.keys)
-        (
-            merged.hint("rebalance", self.partition)
-            .write.mode("overwrite").partitionBy(self.partition).parquet(f"{stage}/merged")
-        )
+        _write(merged.hint("rebalance", self.partition), f"{stage}/merged", self.partition)
         filled = set(child_names(spark, f"{stage}/merged"))
         write_text(spark, f"{stage}/emptied", json.dumps(sorted({self._folder(d) for d in days} - filled)))
 
     def _update(self, spark: SparkSession, stage: str) -> DataFrame:
         """The rows of a delivery, one per key: those that came once and the winners of the others."""
         schema = self._full_schema()
+        if path_exists(spark, f"{stage}/latest/_SUCCESS"):
+            return spark.read.schema(schema).parquet(f"{stage}/latest")
         arrived = spark.read.schema(schema).parquet(f"{stage}/arrived")
         return merge_by_key(arrived, spark.read.schema(schema).parquet(f"{stage}/winners"), self.keys)
 

@@ -178,3 +178,16 @@ def test_day_range_prunes_partitions(spark, tmp_path):
     table.upsert(spark, trips(spark, ("a", D(2025, 1, 1), 1), ("b", D(2025, 1, 2), 2)), "s7-1")
     plan = table.read_days(spark, dt.date(2025, 1, 2), dt.date(2025, 1, 2))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(pickup_day" in plan
+
+
+def test_mostly_repeated_keys_are_reduced_once(spark, tmp_path):
+    """When most rows have a key that comes again, the reduced rows are the whole update: nothing is joined with the delivery again."""
+    table = staging_table(str(tmp_path / "t"), keys_hold_time=True)
+    batch = trips(spark, *[(f"k{i % 40}", D(2025, 1, 1 + i % 4), i) for i in range(80)])
+    stage = table.stage_path("twice")
+    table._stage(spark, batch, (), stage)
+    plan = table._update(spark, stage)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert table.upsert(spark, batch, "twice") == 40
+    want = {r.trip_key: (r.pickup_ts, r.total_amount) for r in latest_per_key(batch, ["trip_key"]).collect()}
+    assert content(table, spark) == want
