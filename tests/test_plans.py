@@ -75,3 +75,13 @@ def test_dimension_joins_are_sized_not_hinted(spark, stored):
         assert rows.agg(F.count("*")).first()[0] == spark.read.parquet(str(stored / "staged")).count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_order_lines_are_joined_after_orders_met_customers(spark):
+    """However large the customers are, lines are moved by order only and not again by customer."""
+    import re
+
+    from meterline.sources import star
+
+    plan = star.raw_trips(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert re.findall(r"Join Inner, \((\w+)#", plan) == ["l_suppkey", "l_orderkey", "o_custkey"]
