@@ -301,3 +301,56 @@ def wait_for(query, condition, seconds=60):
             return
         time.sleep(0.5)
     raise AssertionError("the stream produced nothing in time")
+
+
+def test_trips_of_a_pack_share_the_calls_to_the_state_store():
+    """The trips of a pack are loaded, stored and timed together, and each for itself emitted, ended and deleted."""
+    calls, timers = [], []
+
+    class Stored:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+        def clear(self):
+            calls.append("clear")
+            self.value = None
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Stored()
+
+        def registerTimer(self, millis):
+            timers.append(millis)
+
+    class Times:
+        def __init__(self, watermark=0):
+            self.watermark = watermark
+
+        def getCurrentWatermarkInMs(self):
+            return self.watermark
+
+    def event(trip, kind, second, fare=9.5):
+        known = {"clock": second * 1_000_000, "event_type": kind, "event_ts": second * 1_000_000, "event_id": f"{trip}-{second}"}
+        return 7, trip, json.dumps(known | dict.fromkeys(expiry.FIELDS) | {"fare_amount": fare}), None
+
+    processor = expiry.TripAssembler(10_000)
+    processor.init(Handle())
+    rows = [event(f"t{n}", kind, n + i) for n in range(50) for i, kind in enumerate(KINDS)]
+    got = list(processor.handleInputRows((7,), iter([*rows, event("t49", "trip_deleted", 60)]), Times()))
+    assert [r.trip_key for r in got] == [f"t{n}" for n in range(49)] and calls == ["get", "update"]
+    # the first trip ends ten seconds after its last event; the others are still known and a correction emits them
+    assert timers == [12_001] and list(processor.handleExpiredTimer((7,), Times(12_001), None)) == [] and timers[1:] == [13_001]
+    # JSON has no number that is none
+    late = [event("t0", KINDS[2], 12, 1.0), event("t1", KINDS[2], 12, "NaN"), event("t49", KINDS[2], 55, 1.0)]
+    (again,) = processor.handleInputRows((7,), iter(late), Times())
+    assert again.trip_key == "t1" and again.fare_amount != again.fare_amount
+    assert calls == ["get", "update"] * 3
+    # in the end nothing is left
+    assert list(processor.handleExpiredTimer((7,), Times(1_000_000), None)) == [] and calls[6:] == ["get", "clear"]
