@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meterline.operators import kpis, staging
 from meterline.plans import reports
 from meterline.plans.catalog import AS_OF, QUERIES, SALT, Inputs
+from meterline.sources.tables import KeyedTable
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -85,3 +86,16 @@ def test_order_lines_are_joined_after_orders_met_customers(spark):
 
     plan = star.raw_trips(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert re.findall(r"Join Inner, \((\w+)#", plan) == ["l_suppkey", "l_orderkey", "o_custkey"]
+
+
+def test_kpi_deliveries_share_their_joins(spark, monkeypatch):
+    """Both deliveries read stored trips; neither joins the order lines again."""
+    read, upsert = [], KeyedTable.upsert
+
+    def seen(table, session, updates, *rest):
+        read.append(updates.inputFiles())
+        return upsert(table, session, updates, *rest)
+
+    monkeypatch.setattr(KeyedTable, "upsert", seen)
+    assert QUERIES["upsert_kpis"](spark, SF_DIR).count() > 0
+    assert len(read) == 2 and all(read) and not any("lineitem" in name for names in read for name in names)
