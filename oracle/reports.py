@@ -27,6 +27,8 @@ def _value_counts(columns: dict[str, str], source: str) -> str:
 
 _PLAUSIBLE = """plausible AS (SELECT *, duration_min AS trip_duration_min FROM timed
     WHERE trip_distance > 0 AND trip_distance < 100 AND duration_min > 0 AND duration_min < 180)"""
+_SPEEDS = """mph AS (SELECT trip_distance / (nullif(trip_duration_min, 0) / CAST(60 AS DOUBLE)) AS avg_speed_mph FROM plausible),
+    valid AS (SELECT * FROM mph WHERE avg_speed_mph > 0 AND avg_speed_mph < 60)"""
 _MEDIAN = {"median": 0.5}
 
 _HISTOGRAMS = " UNION ALL ".join(f"""
@@ -154,8 +156,9 @@ SQL: dict[str, str] = {
                l[CAST(floor(pos) AS BIGINT) + 1] * (1 - (pos - floor(pos)))
                + l[CAST(ceil(pos) AS BIGINT) + 1] * (pos - floor(pos)) AS quantile FROM ranks"""),
     "trip_distance_stats": with_ctes("timed", f"""
-        WITH {_PLAUSIBLE} {_stats('trip_distance', 'trip_distance', 'plausible', _MEDIAN)}
-        UNION ALL {_stats('trip_duration_min', 'trip_duration_min', 'plausible', _MEDIAN)}"""),
+        WITH {_PLAUSIBLE}, {_SPEEDS} {_stats('trip_distance', 'trip_distance', 'plausible', _MEDIAN)}
+        UNION ALL {_stats('trip_duration_min', 'trip_duration_min', 'plausible', _MEDIAN)}
+        UNION ALL {_stats('avg_speed_mph', 'avg_speed_mph', 'valid', _MEDIAN)}"""),
     "speed_mph_stats": with_ctes("timed", f"""
         WITH {_PLAUSIBLE},
         mph AS (SELECT trip_distance / (nullif(trip_duration_min, 0) / CAST(60 AS DOUBLE)) AS avg_speed_mph FROM plausible),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from meterline.functions.hashing import iso_text, trip_key, vehicle_id
 from meterline.functions.numeric import nan_to_null
 from meterline.operators import kpis, quality, staging, validation
+from meterline.plans import profiles
 
 D = dt.datetime
 RAW = "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, trip_distance double, total_amount double"
@@ -127,3 +128,19 @@ def test_kpi_values(spark):
     assert str(mart.avg_speed_kmh) == "32.19" and mart.outlier_rate is None
     empty = kpis.kpi_run_stats(kpis.zone_hourly_kpis(df.limit(0))).first()
     assert (empty.hours_processed, empty.zones_affected) == (0, 0)
+
+
+def test_distance_stats_hold_the_speed_step(spark):
+    """Speeds of 0 < mph < 60 count as speeds; distance and duration keep the trips whose speed is left out."""
+    start = D(2025, 1, 1)
+    minutes_miles = [(10, 2.0), (30, 20.0), (10, 30.0), (30, 30.0), (0, 1.0), (200, 5.0), (10, 120.0), (None, 1.0), (10, None)]
+    df = spark.createDataFrame([(start, None if m is None else start + dt.timedelta(minutes=m), d) for m, d in minutes_miles],
+                               "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, trip_distance double")
+    got = {r.metric: r for r in profiles.trip_distance_stats(df).collect()}
+    assert {m: r.row_count for m, r in got.items()} == {"trip_distance": 4, "trip_duration_min": 4, "avg_speed_mph": 2}
+    assert (got["avg_speed_mph"].min, got["avg_speed_mph"].median, got["avg_speed_mph"].max) == pytest.approx((12.0, 26.0, 40.0))
+    assert got["trip_distance"].max == 30.0
+    assert profiles.speed_mph_stats(df).collect() == [got["avg_speed_mph"]]
+    # a duration that is there is not computed again
+    given = df.withColumn("trip_duration_min", F.lit(60.0))
+    assert {r.metric: r.max for r in profiles.trip_distance_stats(given).collect()}["trip_duration_min"] == 60.0
