@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from meterline.functions.parsing import safe_float, safe_int
 from meterline.operators import events as ev
 from meterline.operators import state
+from meterline.plans.catalog import QUERIES
 from meterline.schemas import COMPLETE_TRIP
+from meterline.session import configure, configure_store
 
 D = dt.datetime
 BASE = D(2025, 1, 1, 10)
@@ -54,6 +56,30 @@ def test_json_round_trip(spark):
     assert (back.pickup_ts, back.dropoff_ts) == (BASE, BASE + dt.timedelta(minutes=30))
 
 
+def test_written_events_are_small(spark, tmp_path):
+    """A session of somebody else writes what the queries return in zstd; hashed ids take half their text."""
+    other = spark.newSession()
+    trip = one_trip(other).drop("trip_key")
+    trips = trip.join(other.range(4000).select(F.sha2(F.col("id").cast("string"), 256).alias("trip_key"))).select(*COMPLETE_TRIP.names)
+    sizes = []
+    for session in (configure, configure_store):
+        session(other)
+        sent = ev.trip_events(trips)
+        for name, rows in (("events", sent), ("json", ev.events_json(sent))):
+            rows.coalesce(1).write.parquet(str(path := tmp_path / f"{name}-{len(sizes)}"))
+            sizes.append(sum(f.stat().st_size for f in path.glob("*.parquet")) / 20_000)
+            assert other.read.parquet(str(path)).exceptAll(rows).isEmpty()
+    assert sizes[2] < 0.6 * sizes[0] and sizes[3] < 0.6 * sizes[1]
+
+
+def test_a_codec_the_session_names_stands(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.parquet.compression.codec", "gzip")
+    assert configure_store(other).conf.get("spark.sql.parquet.compression.codec") == "gzip"
+    assert QUERIES["load_zones"](fresh := spark.newSession(), "/root/testdata/sf0.001").count()
+    assert fresh.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+
+
 def test_reject_reasons(spark):
     good = message("trip_started")
     rows = [good, ("k", "not json"), message("lunch_break"), ("k", json.dumps({"event_type": "trip_started", "trip_key": "k"})),
