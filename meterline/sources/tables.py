@@ -15,10 +15,15 @@ from meterline.operators.ledger import KEYS, LEDGER, SIGN
 from meterline.operators.upsert import latest_per_key, merge_by_key
 from meterline.schemas import COMPLETE_TRIP, ZONE_HOURLY_KPIS
 from meterline.sources.changelog import KeyedLog
-from meterline.sources.store import child_names, path_exists, read_text, remove_path, rename_path, touch, write_text
+from meterline.sources.store import bytes_under, child_names, path_exists, read_text, release_shuffles, remove_path, rename_path, touch, write_text
 
 #: A delivery of which one row in so many has a key that comes again is reduced to one row per key as a whole.
 MOST_REPEATED = 2
+#: Up to so many partitions, rows are not moved before they are written: every task writes a file per partition, and tasks are so few
+#: that files have this size on average. With more partitions that would leave fewer tasks than a shuffle with parts of 64 MB.
+FEW_DAYS, LEAST_FILE = 64, 1 << 20
+#: Deliveries that rewrite so many bytes give their shuffle files back at once.
+LARGE = 1 << 28
 
 
 def _write(rows: DataFrame, path: str, *partition: str) -> None:
@@ -62,10 +67,21 @@ class KeyedTable:
         return stored.where(day.isin([d for d in days if d is not None]) | (day.isNull() if None in days else F.lit(False)))
 
     def changes(self, spark: SparkSession, batch_id: str) -> DataFrame:
-        """What a delivery changed, with ``change_sign``; none for a delivery without rows."""
+        """What a delivery changed, with ``change_sign``; none for a delivery without rows.
+
+        The new rows are the delivery as it was prepared, which is kept and not copied; the replaced ones are written when they are found.
+        """
         schema = T.StructType([*self.schema.fields, T.StructField(SIGN, T.IntegerType())])
         path = self._changes_path(batch_id)
-        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+        parts = child_names(spark, path)
+        if not {"arrived", "latest"} & {*parts}:
+            # changes from before they were kept in parts have their sign in the rows
+            return spark.read.schema(schema).parquet(path) if parts else spark.createDataFrame([], schema)
+        both = self._update(spark, path).withColumn(SIGN, F.lit(1))
+        if "replaced" in parts:
+            replaced = spark.read.schema(self._full_schema()).parquet(f"{path}/replaced")
+            both = both.unionByName(replaced.withColumn(SIGN, F.lit(-1)))
+        return both.select(*schema.names)
 
     def forget_changes(self, spark: SparkSession, batch_id: str) -> None:
         remove_path(spark, self._changes_path(batch_id))
@@ -104,16 +120,22 @@ class KeyedTable:
         stage = self.stage_path(batch_id)
         if path_exists(spark, f"{stage}/published"):
             return 0
+        changes = self._changes_path(batch_id) if self.keep_changes else None
         if not path_exists(spark, f"{stage}/emptied"):
-            self._stage(spark, updates, order_by, stage, self._changes_path(batch_id) if self.keep_changes else None)
-        update = self._update(spark, stage)
+            self._stage(spark, updates, order_by, stage, changes)
+        # a delivery that an earlier version prepared lies below the table
+        kept = changes is not None and {"arrived", "latest"} & {*child_names(spark, changes)}
+        update = self._update(spark, changes if kept else stage)
         taken = update.count()
+        large = bytes_under(spark, f"{stage}/merged") >= LARGE
         self._publish(spark, stage)
         if taken and not self.key_sets_partition:
             self.index.append(spark, update.select(*self.keys, self.partition), batch_id)
         touch(spark, f"{stage}/published")
-        for part in ("arrived", "repeated", "winners", "latest", "touched", "merged", "emptied"):
+        for part in ("arrived", "repeated", "winners", "latest", "touched", "old", "merged", "emptied"):
             remove_path(spark, f"{stage}/{part}")
+        if large:
+            release_shuffles(spark)
         return taken
 
     @property
@@ -125,10 +147,13 @@ class KeyedTable:
     def _stage(self, spark: SparkSession, updates: DataFrame, order_by: Sequence[str], stage: str, changes: str | None = None) -> None:
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         order = [c for c in order_by if c not in self.schema.names]
-        # written once: it is read for its keys, for the touched partitions, the anti join and the union
+        # written once: it is read for its keys, for the touched partitions, the anti join and the union, and for what it changes
         rows = updates.select(*typed, *order).withColumn(self.partition, self.partition_of())
-        _write(rows, f"{stage}/arrived")
-        arrived = spark.read.schema(rows.schema).parquet(f"{stage}/arrived")
+        at = changes or stage
+        for part in ("latest", "winners", "replaced"):
+            remove_path(spark, f"{at}/{part}")
+        _write(rows, f"{at}/arrived")
+        arrived = spark.read.schema(rows.schema).parquet(f"{at}/arrived")
         # most keys come once, and their rows need neither be ordered nor moved: only hashes of keys are counted. Those that come
         # again are stored, so that Catalyst knows how many they are before it decides whether whole rows have to move
         complete = reduce(and_, [F.col(k).isNotNull() for k in self.keys])
@@ -136,7 +161,6 @@ class KeyedTable:
         counted = arrived.select(key_hash).where("_hash is not null").groupBy("_hash").agg(F.count("*").alias("n"))
         counted.where("n > 1").write.mode("overwrite").parquet(f"{stage}/repeated")
         repeated = spark.read.schema("_hash bigint, n bigint").parquet(f"{stage}/repeated")
-        remove_path(spark, f"{stage}/latest")
         many = repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * MOST_REPEATED > arrived.count()
         if many:
             # rows move once, and those of one task are combined before
@@ -144,31 +168,54 @@ class KeyedTable:
         else:
             again = arrived.select("*", key_hash).join(repeated, "_hash", "left_semi").drop("_hash")
             newest = latest_per_key(again, self.keys, order_by)
-        _write(newest.select(*self.schema.names, self.partition), f"{stage}/latest" if many else f"{stage}/winners")
-        update = self._update(spark, stage)
+        _write(newest.select(*self.schema.names, self.partition), f"{at}/latest" if many else f"{at}/winners")
+        if many:
+            remove_path(spark, f"{at}/arrived")
+        update = self._update(spark, at)
         if update.isEmpty():
             write_text(spark, f"{stage}/emptied", "[]")
             return
-        stored = self._stored(spark)
         self._touched(spark, update).coalesce(1).write.mode("overwrite").parquet(f"{stage}/touched")
         days = self._days(spark, stage)
-        old = self._of_days(stored, days)
-        if changes is not None:
-            replaced = old.join(update.select(*self.keys), list(self.keys), "left_semi")
-            both = update.withColumn(SIGN, F.lit(1)).unionByName(replaced.withColumn(SIGN, F.lit(-1)))
-            _write(both.drop(self.partition), changes)
-        merged = merge_by_key(old, update, self.keys)
-        _write(merged.hint("rebalance", self.partition), f"{stage}/merged", self.partition)
+        there = set(child_names(spark, self.path))
+        stored = [d for d in days if self._folder(d) in there]
+        merged, sources = update, [f"{at}/latest" if many else f"{at}/arrived"]
+        if stored:
+            old = self._of_days(self._stored(spark), stored)
+            if changes is None:
+                merged = merge_by_key(old, update, self.keys)
+                sources += [f"{self.path}/{self._folder(d)}" for d in stored]
+            else:
+                merged = self._split(spark, old, update, stage, changes).unionByName(update)
+                sources.append(f"{stage}/old")
+        if len(days) <= FEW_DAYS:
+            size = sum(bytes_under(spark, path) for path in sources)
+            merged = merged.coalesce(max(1, size // (len(days) * LEAST_FILE)))
+        else:
+            merged = merged.hint("rebalance", self.partition)
+        _write(merged, f"{stage}/merged", self.partition)
         filled = set(child_names(spark, f"{stage}/merged"))
         write_text(spark, f"{stage}/emptied", json.dumps(sorted({self._folder(d) for d in days} - filled)))
 
-    def _update(self, spark: SparkSession, stage: str) -> DataFrame:
+    def _split(self, spark: SparkSession, old: DataFrame, update: DataFrame, stage: str, changes: str) -> DataFrame:
+        """The rows of ``old`` that stay. One join tells them from those that are replaced, which go to ``changes``."""
+        found = update.select(*self.keys, F.lit(True).alias("_found"))
+        split = old.join(found, list(self.keys), "left").withColumn("replaced", F.col("_found").isNotNull()).drop("_found")
+        _write(split, f"{stage}/old", "replaced")
+        if bytes_under(spark, f"{stage}/old") >= LARGE:
+            release_shuffles(spark)
+        if path_exists(spark, f"{stage}/old/replaced=true"):
+            rename_path(spark, f"{stage}/old/replaced=true", f"{changes}/replaced")
+        stay, schema = f"{stage}/old/replaced=false", self._full_schema()
+        return spark.read.schema(schema).parquet(stay) if path_exists(spark, stay) else spark.createDataFrame([], schema)
+
+    def _update(self, spark: SparkSession, at: str) -> DataFrame:
         """The rows of a delivery, one per key: those that came once and the winners of the others."""
-        schema = self._full_schema()
-        if path_exists(spark, f"{stage}/latest/_SUCCESS"):
-            return spark.read.schema(schema).parquet(f"{stage}/latest")
-        arrived = spark.read.schema(schema).parquet(f"{stage}/arrived")
-        return merge_by_key(arrived, spark.read.schema(schema).parquet(f"{stage}/winners"), self.keys)
+        rows = spark.read.schema(self._full_schema())
+        if path_exists(spark, f"{at}/latest/_SUCCESS"):
+            return rows.parquet(f"{at}/latest")
+        arrived = rows.parquet(f"{at}/arrived")
+        return merge_by_key(arrived, rows.parquet(f"{at}/winners"), self.keys)
 
     def _folder(self, day: dt.date | None) -> str:
         return f"{self.partition}={day or '__HIVE_DEFAULT_PARTITION__'}"

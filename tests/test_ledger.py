@@ -1,6 +1,7 @@
 """KPIs kept by changes equal KPIs of a full refresh, whatever the order and repetition of deliveries."""
 
 import datetime as dt
+import shutil
 from pathlib import Path
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from meterline.operators import kpis, ledger
 from meterline.plans import pipeline
 from meterline.schemas import COMPLETE_TRIP
+from meterline.sources import tables
 from meterline.sources.tables import kpi_ledger, mart_table, path_exists, staging_table
 
 D = dt.datetime
@@ -97,3 +99,48 @@ def test_contributions_of_no_change_are_empty(spark):
     same = rows(spark, ("a", H1, 1, "x", 10.0))
     both = same.withColumn(ledger.SIGN, F.lit(1)).unionByName(same.withColumn(ledger.SIGN, F.lit(-1)))
     assert ledger.contributions(both).isEmpty()
+
+
+def test_a_delivery_moves_and_writes_its_rows_once(spark, stores, monkeypatch):
+    """New rows are kept as what changed and not copied, stored rows meet them once, and few days are written where rows are read."""
+    trips, sums, mart = stores
+    plans, write = {}, tables._write
+
+    def noted(rows, path, *partition):
+        plans[path.rsplit("/", 1)[-1]] = rows._jdf.queryExecution().executedPlan().toString()
+        write(rows, path, *partition)
+
+    monkeypatch.setattr(tables, "_write", noted)
+    # one key comes twice in the first delivery, one row is replaced by the second
+    take(spark, stores, "1", ("a", H1, 1, "x", 10.0), ("b", H1, 1, "y", 2.0), ("b", H2, 1, "y", 3.0), ("c", OTHER_DAY, 1, "y", 4.0), ("d", H1, 2, "z", 5.0), ("e", H1, 2, "z", 5.0))
+    assert set(plans) == {"arrived", "winners", "merged"} and "Exchange hash" not in plans["merged"]
+    plans.clear()
+    trips.upsert(spark, rows(spark, ("a", H2, 1, "x", 11.0), ("f", H1, 1, "w", 6.0)), "2")
+    assert set(plans) == {"arrived", "winners", "old", "merged"} and "pickup_day=" not in plans["merged"] and "Exchange hash" not in plans["merged"]
+    signs = sorted((r.change_sign, r.trip_key, r.fare_amount) for r in trips.changes(spark, "2").collect())
+    assert signs == [(-1, "a", 10.0), (1, "a", 11.0), (1, "f", 6.0)]
+    assert sorted((r.change_sign, r.trip_key, r.fare_amount) for r in trips.changes(spark, "1").collect()) == [
+        (1, "a", 10.0), (1, "b", 3.0), (1, "c", 4.0), (1, "d", 5.0), (1, "e", 5.0)]
+    pipeline.refresh_changed_kpis(spark, *stores, AS_OF, "2")
+    assert from_ledger(spark, sums) == from_trips(spark, trips)
+    # many days would leave too few tasks
+    monkeypatch.setattr(tables, "FEW_DAYS", 1)
+    take(spark, stores, "3", ("c", OTHER_DAY, 1, "x", 4.0), ("g", H1, 1, "x", 1.0))
+    assert "REBALANCE" in plans["merged"] and from_ledger(spark, sums) == from_trips(spark, trips)
+
+
+def test_a_lost_driver_goes_on_from_the_kept_delivery(spark, stores):
+    """Staged and half published; also changes that an earlier version wrote with their sign."""
+    trips, sums, mart = stores
+    trips.upsert(spark, rows(spark, ("a", H1, 1, "x", 10.0), ("b", OTHER_DAY, 1, "y", 2.0)), "1")
+    update = rows(spark, ("a", H1, 1, "x", 11.0), ("a", H1, 1, "x", 12.0), ("c", H1, 1, "x", 1.0))
+    trips._stage(spark, update, ("fare_amount",), trips.stage_path("2"), trips._changes_path("2"))
+    shutil.rmtree(f"{trips.path}/pickup_day=2025-01-01")
+    assert trips.upsert(spark, update, "2", ("fare_amount",)) == 2
+    assert {(r.trip_key, r.fare_amount) for r in trips.read(spark).collect()} == {("a", 12.0), ("b", 2.0), ("c", 1.0)}
+    for batch in ("1", "2"):
+        pipeline.refresh_changed_kpis(spark, *stores, AS_OF, batch)
+    assert from_ledger(spark, sums) == from_trips(spark, trips)
+    old = rows(spark, ("a", H1, 1, "x", 10.0)).withColumn(ledger.SIGN, F.lit(-1))
+    old.write.parquet(f"{trips.path}/_changes/old")
+    assert [(r.trip_key, r.change_sign) for r in trips.changes(spark, "old").collect()] == [("a", -1)]
